@@ -7,9 +7,11 @@ that many unlike documents have in common are skipped.
 
 No list of postings is expanded into pairs. Each list has one pivot, the document whose pairs are the most common:
 
-1. every document is compared with its lists' pivots on full sets; links found that way join whole groups of copies;
-2. in the cluster of a pivot, the documents that are not linked to it are compared, in blocks, with all the others
-   whose distance to the pivot allows a link (Jaccard distance is a metric). Each block gives a spanning forest of links.
+1. every document that agrees in ``agree`` coordinates with a pivot of its lists is compared with it on full sets; links
+   found that way join whole groups of copies;
+2. in the cluster of a pivot, the documents that are not linked to it are compared, in blocks, with all the others:
+   agreement first, then, for those that agree with any, full sets. Pairs whose distances to the pivot rule a link out
+   are skipped (Jaccard distance is a metric). Each block gives a spanning forest of links.
 
 Both steps confirm links on full sets, so the components are those of the true links between the candidates.
 """
@@ -29,6 +31,8 @@ from .common import MIX, blank, cut, gram_hashes, mix64, text_bytes, word_hashes
 COORDINATES, AGREE = 24, 8
 #: Cells of the fixed-size sketch that estimates how common a (coordinate, value) pair is.
 SKETCH = 1 << 16
+#: 64-bit words of the Bloom filter that keeps texts without candidates out of a shuffle.
+BLOOM = 1 << 18
 #: Least and largest number of documents in a block of a cluster.
 BLOCK = (64, 512)
 
@@ -122,6 +126,17 @@ def shared_count(a: np.ndarray, b: np.ndarray) -> int:
     return int((both[1:] == both[:-1]).sum())
 
 
+def with_agreement(pairs: DataFrame) -> DataFrame:
+    """doc_id, pivot and ``same``, the number of coordinates in which ``sig`` and ``pivot_sig`` agree."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for k in (2, 3))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array((a == b).sum(1).astype(np.int64))], ["doc_id", "pivot", "same"])
+
+    return pairs.select("doc_id", "pivot", "sig", "pivot_sig").mapInArrow(run, "doc_id long, pivot long, same long")
+
+
 def linked(shared: Column, n: Column, m: Column, percent: int) -> Column:
     return shared * 100 >= (n + m - shared) * percent
 
@@ -142,8 +157,6 @@ def with_shared(pairs: DataFrame) -> DataFrame:
 def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     """Spanning forest of the links in a block pair with at least one end not linked to the pivot."""
     ids = table.column("doc_id").to_numpy()
-    near = table.column("near").to_numpy(zero_copy_only=False)
-    far = table.column("far").to_numpy()
     sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
@@ -162,7 +175,7 @@ def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
         m[owner[a:b], code[a:b] - at] = 1
         shared += m @ m.T
     union = sizes[:, None] + sizes[None] - shared
-    ok = (100 * shared >= percent * union) & ~(near[:, None] & near[None]) & (np.abs(far[:, None] - far[None]) <= 1 - percent / 100 + 1e-9)
+    ok = (100 * shared >= percent * union) & possible(table, percent)
     root = list(range(len(sets)))
 
     def find(x: int) -> int:
@@ -180,23 +193,73 @@ def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def cluster_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside clusters that do not run over the pivot. members: pivot, doc_id, near, far."""
-    sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("near")).alias("loose")).filter("loose > 0 and k > 2")
+def in_block_pairs(members: DataFrame, least_size: int) -> DataFrame:
+    """Members of clusters of ``least_size`` with a document not linked to the pivot, dealt to pairs of blocks i <= j."""
+    sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("near")).alias("loose")).filter((F.col("loose") > 0) & (F.col("k") >= least_size))
     least, most = BLOCK
     blocks = F.ceil(F.col("k") / F.greatest(F.lit(least), F.least(F.lit(most), F.floor(F.col("k") / 24)))).cast("int")
     sizes = cut(sizes.select("pivot", blocks.alias("blocks")))
     dealt = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("doc_id", "pivot"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("pivot", "doc_id", "near", "far", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
-    # sets join last, so that they are moved once a block pair
-    dealt = dealt.join(sets, "doc_id")
+    return dealt.select("pivot", "doc_id", "near", "far", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+
+
+def possible(table: pa.Table, percent: int) -> np.ndarray:
+    """Pairs of a block pair that a link is not ruled out for: not both linked to the pivot, and near enough by its distances."""
+    near = table.column("near").to_numpy(zero_copy_only=False)
+    far = table.column("far").to_numpy()  # NaN where the distance to the pivot is not known
+    return ~(near[:, None] & near[None]) & ~(np.abs(far[:, None] - far[None]) > 1 - percent / 100 + 1e-9)
+
+
+def agreeing(members: DataFrame, sigs: DataFrame, agree: int, percent: int) -> DataFrame:
+    """pivot, doc_id of the members that agree in at least ``agree`` coordinates with another they may be linked to."""
+
+    def run(table: pa.Table) -> pa.Table:
+        sig = np.stack([np.frombuffer(x, np.uint32) for x in table.column("sig").to_pylist()])
+        same = np.zeros((len(sig), len(sig)), np.uint8)
+        for c in range(sig.shape[1]):
+            same += sig[:, c, None] == sig[None, :, c]
+        np.fill_diagonal(same, 0)
+        hit = ((same >= agree) & possible(table, percent)).any(1)
+        return table.select(["pivot", "doc_id"]).filter(pa.array(hit))
+
+    dealt = in_block_pairs(members, 3).join(sigs, "doc_id")
+    return dealt.groupBy("pivot", "i", "j").applyInArrow(run, "pivot long, doc_id long").distinct()
+
+
+def cluster_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links inside clusters that do not run over the pivot. members: pivot, doc_id, near, far."""
 
     def run(table: pa.Table) -> pa.Table:
         found = block_links(table, percent)
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return dealt.groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
+    return in_block_pairs(members, 2).join(sets, "doc_id").groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
+
+
+def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """doc_id, set for the wanted ids. docs: doc_id, text.
+
+    A Bloom filter of fixed size (2 MB whatever the corpus) keeps most other texts out of the shuffle; the join decides.
+    """
+    cell, bit = F.pmod(F.xxhash64("doc_id"), F.lit(BLOOM)), F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)).cast("int")
+    words = np.zeros(BLOOM, np.int64)
+    for row in wanted.groupBy(cell.alias("cell")).agg(F.bit_or(F.expr("shiftleft(1L, cast(pmod(xxhash64(doc_id, 1), 64) as int))")).alias("bits")).toLocalIterator():
+        words[row["cell"]] = row["bits"]
+    shared = docs.sparkSession.sparkContext.broadcast(words.view(np.uint64))
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hit = (shared.value[batch.column(2).to_numpy()] >> batch.column(3).to_numpy().astype(np.uint64)) & np.uint64(1)
+            yield batch.select(["doc_id", "text"]).filter(pa.array(hit.astype(bool)))
+
+    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t, size).tobytes() for t in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "set"])
+
+    near = docs.select("doc_id", "text", cell.alias("cell"), bit.alias("bit")).mapInArrow(maybe, "doc_id long, text string")
+    return cut(near.join(wanted, "doc_id", "left_semi").mapInArrow(to_sets, "doc_id long, set binary").filter("length(set) > 0"))
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -239,23 +302,23 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, coordi
     pivots = cut(best.select("key", (-F.col("best.neg")).alias("pivot")))
     pairs = cut(posted.join(pivots, "key").select("doc_id", "pivot").distinct())
 
-    wanted = cut(pairs.select("doc_id").distinct())
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(text_col).alias("text")).join(wanted, "doc_id", "left_semi")
-
-    def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t, size).tobytes() for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc_id", "set"])
-
-    sets = cut(texts.mapInArrow(to_sets, "doc_id long, set binary").filter("length(set) > 0"))
-    with_set = pairs.filter("doc_id <> pivot").join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
-    measured = with_shared(with_set)
+    pivot_sigs = reps.select(F.col("doc_id").alias("pivot"), F.col("sig").alias("pivot_sig"))
+    matched = cut(with_agreement(pairs.filter("doc_id <> pivot").join(reps, "doc_id").join(pivot_sigs, "pivot")).filter(F.col("same") >= agree).select("doc_id", "pivot"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(text_col).alias("text")).filter("doc_id is not null")
+    sets = fetch_sets(texts, cut(matched.select("doc_id").unionByName(matched.select(F.col("pivot").alias("doc_id"))).distinct()), size)
+    with_set = matched.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
     near = linked(F.col("shared"), F.col("n"), F.col("m"), percent)
     far = 1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
-    measured = cut(measured.select("doc_id", "pivot", near.alias("near"), far.alias("far")))
-    own = pairs.filter("doc_id = pivot").select("doc_id", "pivot", F.lit(True).alias("near"), F.lit(0.0).alias("far"))
+    measured = cut(with_shared(with_set).select("doc_id", "pivot", near.alias("near"), far.alias("far")))
     links = measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
-    links = links.unionByName(cluster_links(measured.unionByName(own), sets, percent))
+
+    own = F.col("doc_id") == F.col("pivot")
+    members = pairs.join(measured, ["doc_id", "pivot"], "left")
+    members = cut(members.select("pivot", "doc_id", F.coalesce("near", own).alias("near"), F.coalesce("far", F.when(own, 0.0), F.lit(float("nan"))).alias("far")))
+    agreed = cut(agreeing(members, reps, agree, percent))
+    members = cut(members.join(agreed, ["pivot", "doc_id"], "left_semi"))
+    sets = fetch_sets(texts, cut(agreed.select("doc_id").distinct()), size)
+    links = links.unionByName(cluster_links(members, sets, percent))
     # rows that share an id but not a text
     several = full.groupBy("doc_id").agg(F.min("same").alias("x"), F.max("same").alias("y")).filter("x <> y").select("doc_id")
     twice = full.join(several, "doc_id").join(classes.select("same", "rep"), "same").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
