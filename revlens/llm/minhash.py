@@ -197,7 +197,7 @@ def in_block_pairs(members: DataFrame, least_size: int) -> DataFrame:
     """Members of clusters of ``least_size`` with a document not linked to the pivot, dealt to pairs of blocks i <= j."""
     sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("near")).alias("loose")).filter((F.col("loose") > 0) & (F.col("k") >= least_size))
     least, most = BLOCK
-    blocks = F.ceil(F.col("k") / F.greatest(F.lit(least), F.least(F.lit(most), F.floor(F.col("k") / 24)))).cast("int")
+    blocks = F.ceil(F.col("k") / F.greatest(F.lit(least), F.least(F.lit(most), F.floor(F.col("k") / 8)))).cast("int")
     sizes = cut(sizes.select("pivot", blocks.alias("blocks")))
     dealt = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("doc_id", "pivot"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
