@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,14 +34,30 @@ CHUNK_START = re.compile(r"(?= \S)")
 
 
 class Remembered(dict):
-    """Ids of chunks, encoded when first asked for."""
+    """Ids of chunks, encoded when first asked for: split by the tokenizer's own rule, then its model on each new piece.
+
+    A chunk that spells a special token goes through the whole tokenizer.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.split = tokenizer, tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        self.plain = tokenizer.normalizer is None
+        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, chunk: str) -> bytes:
-        out = self[chunk] = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        if not self.plain or any(s in chunk for s in self.special):
+            out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        else:
+            out = b"".join([self.pieces.get(piece) or self.piece(piece) for piece, _ in self.split(chunk)])
+        self[chunk] = out
+        return out
+
+    def piece(self, piece: str) -> bytes:
+        if 2 * len(self.pieces) > REMEMBERED:
+            self.pieces.clear()
+        out = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
         return out
 
 
