@@ -30,13 +30,19 @@ END_ID = 2
 #: Chunks of text (a word with its leading space and punctuation) whose ids a worker remembers.
 REMEMBERED = 1_000_000
 WIDE_GAP = re.compile(r"\s\s")
+#: A word (letters, to be checked) and ASCII marks other than apostrophe and underscore: two pieces of the splitting pattern.
+WORD_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
+#: Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in their order.
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 CHUNK_START = re.compile(r"(?= \S)")
 
 
 class Remembered(dict):
     """Ids of chunks, encoded when first asked for: split by the tokenizer's own rule, then its model on each new piece.
 
-    A chunk that spells a special token goes through the whole tokenizer.
+    A word with marks behind it, the common case, is split here. A chunk that spells a special token goes through the
+    whole tokenizer.
     """
 
     def __init__(self, tokenizer):
@@ -50,7 +56,12 @@ class Remembered(dict):
         if not self.plain or any(s in chunk for s in self.special):
             out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
         else:
-            out = b"".join([self.pieces.get(piece) or self.piece(piece) for piece, _ in self.split(chunk)])
+            simple = WORD_AND_MARKS.fullmatch(chunk)
+            if simple and simple[1].strip(" ").isalpha():
+                found = [x.encode().decode("latin-1").translate(BYTE_CHARS) for x in simple.groups() if x]
+            else:
+                found = [x for x, _ in self.split(chunk)]
+            out = b"".join([self.pieces.get(x) or self.piece(x) for x in found])
         self[chunk] = out
         return out
 

@@ -66,6 +66,17 @@ def test_packing(which, request):
     assert out.sequence_id.nunique() <= best + 1 + 0.02 * best
 
 
+def test_chunk_encoder_is_exact():
+    from tokenizers import Tokenizer
+
+    whole, mine = Tokenizer.from_file(queries.tokenizer_path()), packing.ChunkEncoder(queries.tokenizer_path())
+    rng = random.Random(2)
+    parts = [" ", "  ", "\n", "\t", "a", "Bc", "é", "ß", "²", "½", "Ⅷ", "7", "'", "'s", "_", ".", ",%", "<|endoftext|>", "<|", "中文", "😀", "\u00a0", "\u0301", "\0", "word"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert mine(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+
+
 def test_packing_plan_is_exact():
     rng = random.Random(1)
     for _ in range(30):
