@@ -1,6 +1,9 @@
 """Operators that SQL does not state: greedy evidence, batches with a provider, streaming upserts, export, taxonomies."""
 
 import json
+import random
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,6 +26,27 @@ def test_eligibility_rules(spark):
         assert got == want | {"ok": ok}
 
 
+def test_repetition_against_brute_force(spark):
+    """Random texts over few characters, with runs, one-token texts and marks that join tokens."""
+    draw = random.Random(3)
+    units = ("ab", "a ", "Aa b", "a！ é", "aß-s ", "a.", "_1 ", "A ")
+    texts = ["".join(draw.choice(some) for _ in range(draw.randrange(1, 40))) for some in (draw.choices(units, k=draw.randrange(1, 5)) for _ in range(1500))]
+    texts += [w * k for w in ("ha ", "Ha, hA! ", "a！a ", "- ", "aaaab", "aaab") for k in (1, 2, 3, 7, 40)] + ["a" * 79 + "b" * 20, "a" * 80 + "b" * 20]
+
+    def repeats(text):
+        m = "".join(c for c in text if not c.isspace())
+        if m and max(Counter(m).values()) / len(m) >= 0.8:
+            return len(m) >= 3
+        words = [w.replace("ß", "ss").lower() for w in re.findall("\\b[\\w\u0080-\uffff]+\\b", text)]
+        return len(words) >= 3 and len(set(words)) == 1
+
+    t = F.col("t")
+    df = spark.createDataFrame([(x,) for x in texts], "t string").filter(X.meaningful(t) != "")
+    got = df.select("t", X.is_repetition(t, X.meaningful(t), FilterPolicy()).alias("r")).collect()
+    assert [(r["t"], r["r"]) for r in got if r["r"] != repeats(r["t"])] == []
+    assert sum(r["r"] for r in got) > 50
+
+
 def test_evidence_is_greedy(spark):
     rows = evidence.candidates(R.current(spark, SF), R.PROJECT)
     limits = EvidenceLimits(limit=6, per_language=2)
