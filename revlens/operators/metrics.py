@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import COHORT_NAMES, FRICTION, POSTURES, SENTIMENTS, Cohorts
@@ -32,69 +30,97 @@ def cells(current: DataFrame, limits: Cohorts = Cohorts()) -> DataFrame:
     )
 
 
-def grid(counted: DataFrame, **dimensions: tuple[str, ...]) -> DataFrame:
-    """Every (app, language) with both polarities and all values of the dimensions."""
-    out = counted.select("appid", "language").distinct().withColumn("polarity", F.explode(F.array(F.lit("positive"), F.lit("negative"))))
-    for name, values in dimensions.items():
-        out = out.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
-    return out
+def dense(counted: DataFrame) -> DataFrame:
+    """One row per (app, language, polarity) with every count a fixed family needs. Both polarities come from conditional
+    sums over the same cells, so the rows are dense and filled with 0 without a join."""
+
+    def total(column: str, where: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0)).alias(name)
+
+    def counts(polarity: str) -> Column:
+        mine = F.col("polarity") == polarity
+        friction = mine & F.col("posture").isin(*FRICTION)
+        return F.struct(
+            F.lit(polarity).alias("polarity"),
+            *[total(c, mine, c) for c in ("n", "refunded", "votes", "mentioned")],
+            *[total("n", mine & (F.col("posture") == p), f"posture_{p}") for p in POSTURES],
+            *[total("n", mine & (F.col("cohort") == c), f"cohort_{c}") for c in COHORT_NAMES],
+            *[total("n", friction & (F.col("cohort") == c), f"friction_{c}") for c in COHORT_NAMES],
+        )
+
+    rows = counted.groupBy("appid", "language").agg(F.sum("n").alias("all"), F.array(counts("positive"), counts("negative")).alias("by_polarity"))
+    return rows.select("appid", "language", "all", F.inline("by_polarity"))
+
+
+def entry(name: str, numerator: str, denominator: str, **extra: Column) -> Column:
+    """One metric of a row: name, dimensions in key order, numerator and denominator."""
+    dims = {k: F.col(k) for k in GRAIN} | extra
+    return F.struct(
+        F.lit(name).alias("metric_name"),
+        F.to_json(F.struct(*[dims[k].alias(k) for k in sorted(dims)])).alias("dimensions_json"),
+        F.col(numerator).cast("long").alias("numerator"),
+        F.col(denominator).cast("long").alias("denominator"),
+    )
 
 
-def totals(counted: DataFrame) -> DataFrame:
-    sums = counted.groupBy(*GRAIN).agg(*[F.sum(c).alias(c) for c in ("n", "refunded", "votes", "mentioned")])
-    return grid(counted).join(sums, GRAIN, "left").fillna(0, ["n", "refunded", "votes", "mentioned"])
+def review_count() -> list[Column]:
+    return [entry("review_count", "n", "all")]
 
 
-def metric(rows: DataFrame, name: str, numerator: Column, denominator: Column, *extra: str) -> DataFrame:
-    dims = sorted([*GRAIN, *extra])
-    as_json = F.to_json(F.struct(*dims))
-    ident = F.substring(F.sha2(F.concat(F.lit(f'["{name}",'), as_json, F.lit("]")), 256), 1, 24)
-    num, den = F.coalesce(numerator, F.lit(0)).cast("long"), F.coalesce(denominator, F.lit(0)).cast("long")
-    return rows.select(ident.alias("metric_id"), F.lit(name).alias("metric_name"), as_json.alias("dimensions_json"), num.alias("numerator"), den.alias("denominator"), rate(num, den).alias("value"))
+def posture_rate() -> list[Column]:
+    return [entry("posture_rate", f"posture_{p}", "n", posture=F.lit(p)) for p in POSTURES]
 
 
-def review_count(counted: DataFrame) -> DataFrame:
-    whole = counted.groupBy("appid", "language").agg(F.sum("n").alias("all"))
-    return metric(totals(counted).join(whole, ["appid", "language"]), "review_count", F.col("n"), F.col("all"))
+def refunded_rate() -> list[Column]:
+    return [entry("refunded_rate", "refunded", "n")]
 
 
-def posture_rate(counted: DataFrame) -> DataFrame:
-    hits = counted.groupBy(*GRAIN, "posture").agg(F.sum("n").alias("hit"))
-    rows = grid(counted, posture=POSTURES).join(hits, [*GRAIN, "posture"], "left").join(totals(counted), GRAIN)
-    return metric(rows, "posture_rate", F.col("hit"), F.col("n"), "posture")
+def abandonment_mention_rate() -> list[Column]:
+    return [entry("abandonment_mention_rate", "mentioned", "n")]
 
 
-def refunded_rate(counted: DataFrame) -> DataFrame:
-    return metric(totals(counted), "refunded_rate", F.col("refunded"), F.col("n"))
+def helpfulness_visibility() -> list[Column]:
+    return [entry("helpfulness_visibility", "votes", "votes")]
 
 
-def abandonment_mention_rate(counted: DataFrame) -> DataFrame:
-    return metric(totals(counted), "abandonment_mention_rate", F.col("mentioned"), F.col("n"))
+def friction_rate() -> list[Column]:
+    return [entry("friction_rate", f"friction_{c}", f"cohort_{c}", cohort=F.lit(c)) for c in COHORT_NAMES]
 
 
-def helpfulness_visibility(counted: DataFrame) -> DataFrame:
-    return metric(totals(counted), "helpfulness_visibility", F.col("votes"), F.col("votes"))
+#: Families with a fixed number of rows per (app, language, polarity).
+FIXED = (review_count, posture_rate, refunded_rate, abandonment_mention_rate, helpfulness_visibility, friction_rate)
 
 
-def friction_rate(counted: DataFrame) -> DataFrame:
-    hits = counted.groupBy(*GRAIN, "cohort").agg(F.sum("n").alias("all"), F.sum(F.when(F.col("posture").isin(*FRICTION), F.col("n")).otherwise(0)).alias("hit"))
-    return metric(grid(counted, cohort=COHORT_NAMES).join(hits, [*GRAIN, "cohort"], "left"), "friction_rate", F.col("hit"), F.col("all"), "cohort")
+def finished(entries: DataFrame) -> DataFrame:
+    """Adds the id (a hash of name and dimensions) and the rate."""
+    ident = F.substring(F.sha2(F.concat(F.lit('["'), "metric_name", F.lit('",'), "dimensions_json", F.lit("]")), 256), 1, 24)
+    return entries.select(ident.alias("metric_id"), "*", rate(F.col("numerator"), F.col("denominator")).alias("value"))
 
 
-def aspect_rate(current: DataFrame, counted: DataFrame) -> DataFrame:
-    """Share of reviews with at least one matching aspect; several equal aspects of a review count once."""
-    rows = with_polarity(current)
+def fixed_metrics(current: DataFrame, limits: Cohorts = Cohorts(), families: tuple = FIXED) -> DataFrame:
+    """The given families from one pass over the current view."""
+    return finished(dense(cells(current, limits)).select(F.inline(F.array(*[e for f in families for e in f()]))))
+
+
+def aspect_rate(current: DataFrame) -> DataFrame:
+    """Share of reviews with at least one matching aspect; several equal aspects of a review count once.
+
+    Each review also gives one row without an aspect; those rows are the denominator, so one aggregation is enough.
+    Aspects without a taxonomy id are left out.
+    """
     pairs = F.array_distinct(F.transform("result.aspects", lambda a: F.struct(a["taxonomy_id"].alias("taxonomy_id"), a["sentiment"].alias("sentiment"))))
-    hits = rows.select(*GRAIN, F.explode(pairs).alias("a")).groupBy(*GRAIN, "a.taxonomy_id", "a.sentiment").agg(F.count(F.lit(1)).alias("hit"))
-    seen = hits.select(*GRAIN, "taxonomy_id").distinct().withColumn("sentiment", F.explode(F.array(*[F.lit(s) for s in SENTIMENTS])))
-    out = seen.join(hits, [*GRAIN, "taxonomy_id", "sentiment"], "left").join(totals(counted), GRAIN)
-    return metric(out, "aspect_rate", F.col("hit"), F.col("n"), "taxonomy_id", "sentiment")
+    named = F.coalesce(F.filter(pairs, lambda a: a["taxonomy_id"].isNotNull()), F.array().cast("array<struct<taxonomy_id:string,sentiment:string>>"))
+    none = F.array(F.struct(F.lit(None).cast("string").alias("taxonomy_id"), F.lit(None).cast("string").alias("sentiment")))
+    rows = with_polarity(current).select(*GRAIN, F.inline(F.concat(named, none)))
+    hits = rows.groupBy(*GRAIN, "taxonomy_id").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTIMENTS])
+    whole = F.max(F.when(F.col("taxonomy_id").isNull(), F.col("rows"))).over(Window.partitionBy(*GRAIN))
+    entries = F.array(*[entry("aspect_rate", s, "n", taxonomy_id=F.col("taxonomy_id"), sentiment=F.lit(s)) for s in SENTIMENTS])
+    return finished(hits.withColumn("n", whole).filter("taxonomy_id is not null").select(F.inline(entries)))
 
 
 def all_metrics(current: DataFrame, limits: Cohorts = Cohorts()) -> DataFrame:
-    counted = cells(current, limits)
-    families = [review_count(counted), posture_rate(counted), aspect_rate(current, counted), refunded_rate(counted), abandonment_mention_rate(counted), helpfulness_visibility(counted), friction_rate(counted)]
-    return reduce(DataFrame.unionByName, families)
+    """Two passes over the current view: the fixed families together, and the aspects."""
+    return fixed_metrics(current, limits).unionByName(aspect_rate(current))
 
 
 def coverage(source: DataFrame, current: DataFrame) -> DataFrame:

@@ -124,8 +124,7 @@ def stage1_validation_errors(spark, sf):
 def _metric(family):
     def run(spark, sf):
         now = R.current(spark, sf)
-        counted = metrics.cells(now)
-        out = metrics.aspect_rate(now, counted) if family is metrics.aspect_rate else family(counted)
+        out = metrics.aspect_rate(now) if family is metrics.aspect_rate else metrics.fixed_metrics(now, families=(family,))
         return out.select("metric_name", "dimensions_json", "numerator", "denominator", "value")
 
     return run
@@ -298,5 +297,5 @@ QUERIES = {
         export_classifications, payload_top_metrics, reference_integrity, report_word_count, priority_order,
     )
 }
-for _f in (metrics.review_count, metrics.posture_rate, metrics.aspect_rate, metrics.refunded_rate, metrics.abandonment_mention_rate, metrics.helpfulness_visibility, metrics.friction_rate):
+for _f in (*metrics.FIXED, metrics.aspect_rate):
     QUERIES[f"metric_{_f.__name__}"] = _metric(_f)
