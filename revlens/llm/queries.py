@@ -30,7 +30,8 @@ def audio(docs: DataFrame) -> DataFrame:
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spotsigs.fingerprints(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
+    return spotsigs.fingerprints(docs, anchors=spotsigs.learn_anchors(docs))
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,8 @@
 """SpotSigs document fingerprints: chains of content words that follow common-word anchors.
 
 A signature is an anchor (a common word) with the next ``chain`` content words behind it; a document's fingerprint is the
-set of its signatures as sorted 32-bit hashes. Likeness is the Jaccard similarity of two such sets. For a similarity join
+set of its signatures as sorted 32-bit hashes. Stretches of a text that such chains leave unread (a language without
+known anchors, code, word lists) are read by word n-grams chosen by their hash. Likeness is the Jaccard similarity of two such sets. For a similarity join
 the sets are partitioned by their length: two sets can only reach a threshold if their lengths are within its ratio.
 """
 
@@ -9,18 +10,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import MIX, blank, units_for
+from .common import MIX, blank, cut, gram_hashes, sliding_min, units_for
 
-#: Common words of the languages served, used as anchors.
+#: Common words of four languages, anchors without learning and beside the learned ones.
 ANCHORS = frozenset(
     """a an and are as at be but by for from had has have he her his i in is it its not of on or she that the their they this to was were
     which will with you der die das und ist nicht ein eine einer einem einen den dem des zu mit sich auf für im von es sie er wir als auch
@@ -29,16 +32,28 @@ ANCHORS = frozenset(
 )
 CHAIN = 2
 WORD = re.compile(r"[^\W\d_]+")
+#: Words in a row that chains may leave unread; of longer stretches, one n-gram of every FILL is read at least.
+GAP, FILL = 12, 4
+#: Learned anchors: words of at least COMMON of the documents of their language label and script, the MOST commonest of these,
+#: where there are MIN_DOCS such documents. At most MAX_ANCHORS are broadcast.
+COMMON, MOST, MIN_DOCS, MAX_ANCHORS = 0.35, 60, 50, 5000
+#: Entries that a task counts before it hands them to Spark.
+COUNTED = 200_000
 
 
 class Signer:
     """Signature sets of texts; remembers the code of each word it has met."""
 
-    def __init__(self, chain: int = CHAIN):
-        self.chain, self.codes = chain, Codes()
+    def __init__(self, chain: int = CHAIN, anchors: frozenset[str] = ANCHORS):
+        self.chain, self.codes = chain, Codes(anchors)
 
     def __call__(self, text: str) -> np.ndarray:
-        words = WORD.findall(text.lower())
+        text = text.lower()
+        words = WORD.findall(text)
+        if len(words) <= GAP:  # texts of figures and marks: all that is between spaces counts as a word
+            tokens = text.split()
+            if len(tokens) > max(GAP, 2 * len(words)) or not words:
+                words = tokens
         if not words:
             return np.zeros(0, np.uint32)
         if len(self.codes) > 500_000:
@@ -49,26 +64,104 @@ class Signer:
         anchors = np.concatenate([[-1], np.flatnonzero(common)])
         content = np.append(np.flatnonzero(~common), [len(words)] * self.chain)
         first = np.searchsorted(content, anchors, side="right")
-        codes = np.append(codes, np.uint64(0))
+        plain, codes = codes, np.append(codes, np.uint64(0))
         sig = np.where(anchors < 0, np.uint64(7), codes[anchors])
         whole = np.ones(len(anchors), bool)
+        places = [anchors]
         for k in range(self.chain):
             at = content[np.minimum(first + k, len(content) - 1)]
+            places.append(at)
             whole &= at < len(words)
             sig = (sig ^ codes[at]) * MIX
             sig ^= sig >> np.uint64(32)
+        read = np.zeros(len(words) + 2, bool)  # place -1 is the last one, a missing content word the one before
+        for at in places:
+            read[at[whole]] = True
         whole[0] = True
-        return np.unique(sig[whole].astype(np.uint32))
+        found = sig[whole].astype(np.uint32)
+        more = self.unread(plain, read[: len(words)])
+        if len(more):
+            found = np.concatenate([found, more])
+        elif len(found) == 1:  # a short text without chains is read as a whole
+            found = (gram_hashes(plain, len(words)) >> np.uint64(32)).astype(np.uint32)
+        return np.unique(found)
+
+    def unread(self, codes: np.ndarray, read: np.ndarray) -> np.ndarray:
+        """Hashes of the n-grams that are the smallest of some FILL in a row, in stretches of more than GAP unread words."""
+        edges = np.concatenate([[-1], np.flatnonzero(read), [len(read)]])
+        long = np.flatnonzero(np.diff(edges) - 1 > GAP)
+        if not len(long):
+            return np.zeros(0, np.uint32)
+        out = []
+        for k in long:
+            grams = gram_hashes(codes[edges[k] + 1 : edges[k + 1]], self.chain + 1)
+            least = sliding_min(grams, FILL) if len(grams) >= FILL else grams.min(keepdims=True)
+            out.append(np.unique(least) >> np.uint64(32))
+        return np.concatenate(out).astype(np.uint32)
 
 
 class Codes(dict):
     """64-bit code of a word, odd for anchors."""
 
+    def __init__(self, anchors: frozenset[str]):
+        self.anchors = anchors
+
     def __missing__(self, word: str) -> int:
-        code = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~1 | (word in ANCHORS)
+        code = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~1 | (word in self.anchors)
         return code
 
 
+def script_of(word: str) -> str:
+    return unicodedata.name(word[0], "").split(" ")[0]
+
+
+def learn_anchors(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> frozenset[str]:
+    """The words that are common among the documents of a language label (null: "") and script, with ANCHORS.
+
+    All documents are counted, exact copies once a task, so that a text copied through the corpus does not make its words
+    common. Labels and scripts with less than MIN_DOCS documents get no anchors of their own.
+    """
+    lang = blank(lang_col) if lang_col in docs.columns else F.lit("")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
+        total: Counter = Counter()
+        scripts: dict[str, str] = {}
+
+        def entries() -> pa.RecordBatch:
+            columns = zip(*((*k, n) for k, n in total.items()), strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.string(), pa.string(), pa.int64()), strict=True)], ["lang", "script", "word", "n"])
+
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                key = xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass"))
+                if key in met:
+                    continue
+                met.add(key)
+                seen = set()
+                for word in set(WORD.findall(text.lower())):
+                    script = scripts.get(word[0]) or scripts.setdefault(word[0], script_of(word))
+                    total[label, script, word] += 1
+                    seen.add(script)
+                for script in seen:
+                    total[label, script, ""] += 1
+                if len(total) > COUNTED:
+                    yield entries()
+                    total.clear()
+        if total:
+            yield entries()
+
+    counts = docs.select(lang.cast("string").alias("lang"), blank(text_col).alias("text")).mapInArrow(count, "lang string, script string, word string, n long")
+    counts = cut(counts.groupBy("lang", "script", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON * MIN_DOCS))
+    groups = counts.filter((F.col("word") == "") & (F.col("n") >= MIN_DOCS)).orderBy(F.desc("n"), "lang", "script").limit(MAX_ANCHORS)
+    groups = F.broadcast(groups.select("lang", "script", F.col("n").alias("docs")))
+    learned = counts.join(groups, ["lang", "script"]).filter((F.col("word") != "") & (F.col("n") >= COMMON * F.col("docs")))
+    rank = F.row_number().over(Window.partitionBy("lang", "script").orderBy(F.desc("n"), "word"))
+    learned = learned.withColumn("rank", rank).filter(F.col("rank") <= MOST)
+    best = learned.groupBy("word").agg(F.max("n").alias("n")).orderBy(F.desc("n"), "word").limit(MAX_ANCHORS)
+    return ANCHORS | {r["word"] for r in best.collect()}
+
+
 def jaccard(a: np.ndarray, b: np.ndarray, at_least: float = 0.0) -> float:
     """Jaccard of two sorted sets; 0 without merging them where their lengths rule ``at_least`` out. Two empty sets: 1."""
     small, large = sorted((len(a), len(b)))
@@ -128,18 +221,20 @@ def part_of(bounds: np.ndarray):
     return part
 
 
-def fingerprints(docs: DataFrame, *, chain: int = CHAIN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, *, chain: int = CHAIN, anchors: frozenset[str] = ANCHORS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint each whole text, and its edit: the last third replaced by the start of the next document.
 
     The next document is that with the next smaller id (after the smallest, the largest); a single document follows
     itself. Null text is empty; an empty text's fingerprint is empty and like only to another empty one. Rows that share
-    an id are ordered by their text. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
+    an id are ordered by their text. ``anchors`` are the fixed words or those of ``learn_anchors``. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
     near_next.
     """
     schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
+    shared = docs.sparkSession.sparkContext.broadcast(anchors)  # at most MAX_ANCHORS words and the fixed ones
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sign = Signer(chain)
+        sign = Signer(chain, shared.value)
         held: tuple | None = None
         for batch in batches:
             columns = [c.to_pylist() for c in batch.columns]

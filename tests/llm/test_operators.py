@@ -189,6 +189,31 @@ def test_spotsig_chains_and_pairs(spark):
     assert got == {(min(a, b), max(a, b)) for a, b in itertools.combinations(sets, 2) if spotsigs.jaccard(sets[a], sets[b]) >= 0.8}
 
 
+def test_spotsigs_read_whole_texts(spark):
+    """Texts without known anchors are not judged by their first two words, and anchors are learned."""
+    sign = spotsigs.Signer()
+    rng = random.Random(4)
+    made = [f"{a}{b}" for a in "ka lo mi tu re".split() for b in "lam pok sid van tor bex".split()]
+    unknown = [" ".join(["kalam lopok", *(rng.choice(made) for _ in range(200))]) for _ in range(2)]
+    assert spotsigs.jaccard(*map(sign, unknown)) < 0.2
+    edited = unknown[0].split()
+    edited[100] = "changed"
+    assert spotsigs.jaccard(sign(unknown[0]), sign(" ".join(edited))) > 0.8
+    half = ["the cat saw the dog and the dog was in the house " * 3 + x for x in unknown]
+    assert spotsigs.jaccard(*map(sign, half)) < 0.5
+    tables = [" ".join(str(rng.randrange(1000)) for _ in range(60)) for _ in range(2)]
+    assert all(len(sign(t)) > 10 for t in tables) and spotsigs.jaccard(*map(sign, tables)) < 0.1
+    assert not np.array_equal(sign("alpha beta gamma"), sign("alpha beta delta"))
+    assert len(sign("der die das und ist nicht " * 10)) > 1
+    rows = [(k, " ".join(("zu" if j % 3 else "qom") + " " + rng.choice(made) + str(k) for j in range(30)), "xx") for k in range(60)] + [(100 + k, "unique copied words", "xx") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(2)
+    learned = spotsigs.learn_anchors(df)
+    assert "qom" in learned and not learned & {"unique", "copied"}
+    assert spotsigs.learn_anchors(df.limit(0)) == spotsigs.ANCHORS
+    out = spotsigs.fingerprints(df, anchors=learned).toPandas().set_index("doc_id")
+    assert out.loc[3].fingerprint == spotsigs.hex_set(spotsigs.Signer(anchors=learned)(rows[3][1]))
+
+
 def base_spans(text):
     out = []
     for m in re.finditer(r"""(?i:(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+))""", text):
