@@ -1,8 +1,9 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 Every candidate value is hashed, and the corpus counts in how many repositories and under how many owners each hash
-occurs. A value that several owners share is a copied example; one that a single owner holds is a live-looking credential.
-Besides the base kinds (always kept), a generic ``owned`` kind takes random-looking tokens that only one owner has.
+occurs. A value in many repositories, or in several of more than one owner, is a copied example; one in few repositories
+is a live-looking credential. Besides the base kinds (always kept), a generic ``owned`` kind takes random-looking tokens
+that are no copied examples.
 """
 
 from __future__ import annotations
@@ -20,8 +21,9 @@ HEX = r"[0-9a-f]{16,}"
 #: Random-looking tokens: at least 24 characters with a lower-case letter, a capital and a digit among them.
 GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{24,}"
 VALUE_MIN = 12
-#: A value that this many owners have is a copied example.
-SHARED_OWNERS = 2
+#: A value is a copied example in at least MANY_REPOS repositories, whoever owns them, or in at least SHARED_REPOS
+#: repositories of at least SHARED_OWNERS owners.
+SHARED_OWNERS, SHARED_REPOS, MANY_REPOS = 2, 3, 10
 
 
 def matches(text: Column, kind: str, pattern: str, value_group: int = 0, value_min: int = 0) -> Column:
@@ -69,13 +71,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
-def scan(docs: DataFrame, *, shared_owners: int = SHARED_OWNERS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+def scan(docs: DataFrame, *, shared_owners: int = SHARED_OWNERS, shared_repos: int = SHARED_REPOS, many_repos: int = MANY_REPOS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
     """Spans of every document with their corpus-wide ownership: doc_id, spans array<struct<kind, start, end, hash,
     n_repos, n_owners, live>>.
 
-    Base spans (assign, access, hex) are always there. A generic token becomes a span of kind ``owned`` only if fewer
-    than ``shared_owners`` owners have it and no base span overlaps it. ``live`` is false for values shared by at least
-    ``shared_owners`` owners. Null text has no spans; a null owner counts as one owner; rows that repeat an id each get
+    Base spans (assign, access, hex) are always there. ``live`` is false for copied examples: values in at least
+    ``many_repos`` repositories, or in at least ``shared_repos`` of at least ``shared_owners`` owners. A generic token
+    becomes a span of kind ``owned`` only if it is live and no base span overlaps it. Null text has no spans; a null owner counts as one owner; rows that repeat an id each get
     the spans of that id's text. An empty table gives an empty result.
     """
     rid = F.xxhash64("doc_id", "owner", "repo", "base", "extra")
@@ -84,10 +86,11 @@ def scan(docs: DataFrame, *, shared_owners: int = SHARED_OWNERS, id_col: str = "
     clear = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
     spans = found.select("_rid", F.explode(F.concat("base", clear)).alias("s")).distinct()
     spans = spans.select("_rid", "s.kind", "s.start", "s.end", digest(F.col("s.value")).alias("hash")).join(counts, "hash")
-    spans = spans.filter((F.col("kind") != "generic") | (F.col("n_owners") < shared_owners))
+    copied = (F.col("n_repos") >= many_repos) | ((F.col("n_owners") >= shared_owners) & (F.col("n_repos") >= shared_repos))
+    spans = spans.withColumn("live", ~copied).filter((F.col("kind") != "generic") | F.col("live"))
     rank = F.element_at(F.create_map(*[F.lit(x) for k, kind in enumerate(("assign", "access", "hex", "owned")) for x in (kind, k)]), F.col("kind"))
     spans = spans.withColumn("kind", F.when(F.col("kind") == "generic", "owned").otherwise(F.col("kind")))
-    one = F.struct("start", rank.alias("rank"), "kind", "end", "hash", "n_repos", "n_owners", (F.col("n_owners") < shared_owners).alias("live"))
+    one = F.struct("start", rank.alias("rank"), "kind", "end", "hash", "n_repos", "n_owners", "live")
     per_doc = spans.groupBy("_rid").agg(F.array_sort(F.collect_list(one)).alias("spans"))  # the spans of one document
     out = found.select("doc_id", "_rid").join(per_doc, "_rid", "left")
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,hash:string,n_repos:bigint,n_owners:bigint,live:boolean>>")
@@ -95,7 +98,8 @@ def scan(docs: DataFrame, *, shared_owners: int = SHARED_OWNERS, id_col: str = "
 
 
 def scan_digest(spans: DataFrame) -> DataFrame:
-    """One row per document: n_assign, n_access, n_hex, base_sha256, spans, n_live, n_shared."""
+    """One row per document: n_assign, n_access, n_hex, base_sha256, spans, n_repos (of each span, in
+    their order), n_live, n_shared."""
 
     def joined(keep) -> Column:
         return F.array_join(F.transform(F.filter("spans", keep), lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
@@ -110,6 +114,7 @@ def scan_digest(spans: DataFrame) -> DataFrame:
         count(lambda s: s["kind"] == "hex").alias("n_hex"),
         F.sha2(joined(lambda s: s["kind"] != "owned"), 256).alias("base_sha256"),
         joined(lambda s: F.lit(True)).alias("spans"),
+        F.array_join(F.transform("spans", lambda s: s["n_repos"].cast("string")), ",").alias("n_repos"),
         count(lambda s: s["live"]).alias("n_live"),
         count(lambda s: ~s["live"]).alias("n_shared"),
     )

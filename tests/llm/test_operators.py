@@ -248,6 +248,18 @@ def test_secrets(spark, corpus):
     assert counts == {1: 1, 2: 3}
 
 
+def test_secrets_copied_by_one_owner(spark):
+    """Repositories and owners both decide."""
+    hot, few, two, wide = "Az1hothothothothothothothot0", "Az1fewfewfewfewfewfewfewfew0", "Az1twotwotwotwotwotwotwotwo0", "Az1widewidewidewidewidewide0"
+    rows = [(k, hot + " password=examplepassword1", "hot") for k in range(12)] + [(20 + k, few, "hot") for k in range(3)] + [(30, two, "a"), (31, two, "b")]
+    rows += [(40, wide, "a"), (41, wide, "b"), (42, wide, "b")]
+    out = secrets.scan_digest(secrets.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"))).toPandas().set_index("doc_id")
+    assert out.loc[5].spans == "assign:29:54" and (out.loc[5].n_live, out.loc[5].n_shared, out.loc[5].n_repos) == (0, 1, "12")
+    assert out.loc[20].spans == "owned:0:28" and (out.loc[20].n_live, out.loc[20].n_repos) == (1, "3")
+    assert out.loc[30].spans == "owned:0:28" and (out.loc[30].n_live, out.loc[30].n_repos) == (1, "2")
+    assert out.loc[40].spans == "" and out.loc[40].n_repos == ""
+
+
 def test_mixing(spark, corpus):
     out = mixing.mix(corpus).toPandas()
     assert len(out) == corpus.count() and out.p.between(0, 1).all() and set(out.kept) <= {True, False}
