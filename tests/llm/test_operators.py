@@ -373,6 +373,24 @@ def test_language(spark, corpus):
     assert langid.predict(both, langid.fit(both.limit(0))).filter("lang_pred <> 'und'").count() == 0
 
 
+def test_language_rejects_the_unknown(spark):
+    """One odd row of a language does not open its limit; languages left out and gibberish are rejected, clean texts stay."""
+    df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang").cache()
+    rng = random.Random(8)
+    junk = [(next(k for k in range(95_000 + 20 * i, 99_999) if zlib.crc32(str(k).encode()) % 5 == 1), "".join(rng.choice("qxzjkwvyhg ") for _ in range(600)), "en") for i in range(6)]
+    known = df.filter("lang <> 'de'").unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))
+    model = langid.fit(known)
+    assert all(1.5 < x < 3.2 for x in model.limits.values()), model.limits
+    clean = df.filter("length(text) > 200")
+    found = langid.predict(clean, model, keep=["doc_id", "lang"]).toPandas()
+    assert found[found.lang != "de"].rejected.mean() < 0.02 and found[found.lang == "de"].rejected.mean() > 0.9
+    odd = [(k, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz     ") for _ in range(500)), "en") for k in range(40)]
+    assert langid.predict(spark.createDataFrame(odd, "doc_id long, text string, lang string"), model).filter("not rejected").count() == 0
+    own, wrong = np.zeros(1500), np.zeros(1500)
+    own[140:170], own[370], wrong[300:400] = 10, 1, 1
+    assert 1.7 < langid.limit_of(own, wrong) <= 3.0
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     symbols = rng.integers(1, 6, 400).astype(np.uint64)
