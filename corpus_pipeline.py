@@ -6,11 +6,13 @@ the last returns the packed pieces.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from revlens.llm import langid, lines, minhash, mixing, packing
-from revlens.llm.common import table
+from revlens.llm.common import shared_folder, table
 from revlens.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -34,15 +36,28 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: that with the smallest id."""
-    kept = minhash.near_duplicates(docs, size=5, percent=80).filter("kept or doc_id is null").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    """One document of each group of near-duplicates stays: that with the smallest id.
+
+    Of the rows that repeat a kept id, that with the longest text stays. Rows without an id are linked with nothing: all stay.
+    """
+    docs = docs.select(*COLUMNS)
+    kept = minhash.near_duplicates(docs, size=5, percent=80).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    found = docs.filter("doc_id is not null").join(kept, "doc_id")
+    longest = F.max(F.struct(F.length("text"), *[F.col(c) for c in COLUMNS if c != "doc_id"])).alias("_row")
+    several = found.filter("_rows > 1").groupBy("doc_id").agg(longest).select("doc_id", *[f"_row.{c}" for c in COLUMNS if c != "doc_id"])
+    return docs.filter("doc_id is null").unionByName(found.filter("_rows = 1").select(*COLUMNS)).unionByName(several.select(*COLUMNS))
+
+
+def row_key() -> Column:
+    """Key of a row by its values; nulls count as values."""
+    return F.xxhash64(*[c for name in COLUMNS for c in (F.col(name).isNull(), F.col(name))])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents are sampled to the raked target weights."""
-    kept = mixing.mix(docs).filter("kept").select("doc_id").distinct()
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
+    """Rows are sampled to the raked target weights, each by its own decision, with or without an id; equal rows share one."""
+    docs = docs.select(*COLUMNS).withColumn("_key", row_key())
+    kept = mixing.mix(docs, id_col="_key").filter("kept").select(F.col("doc_id").alias("_key")).distinct()
+    return docs.join(kept, "_key", "left_semi").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +71,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each stage's output is written as Parquet to the shared folder and read again; the last one's is returned."""
+    folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (name, stage) in enumerate(STAGES):
+        path = f"{folder}/{k}-{name}"
+        stage(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
     return docs

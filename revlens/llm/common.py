@@ -19,15 +19,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with a reliable checkpoint, so that lost executors cannot lose it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests, a single
-    machine) is a temporary folder used.
+    Only where that is unset (tests, a single machine) a temporary folder is used.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-checkpoint-"))
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        named = tempfile.mkdtemp(prefix="revlens-checkpoint-")
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` with a reliable checkpoint in the shared folder, so that lost executors cannot lose it."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -35,6 +35,34 @@ def test_stages(spark, tmp_path):
     assert {r["doc_id"] for r in after.select("doc_id").distinct().collect()} == set(texts_of(before))
 
 
+def test_null_and_repeated_ids(spark):
+    """Rows without an id stay, of the rows of one id one stays."""
+    import corpus_pipeline as p
+
+    long = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, long, "en", "a", 0), (None, "no id here", "en", "b", 0), (1, long, "en", "a", 0), (1, long, "en", "a", 0), (2, long, "en", "a", 0), (2, "other words", "en", "a", 0), (3, "short", "en", "a", 0), (3, "some more words", None, "a", 0), (4, None, "en", None, 0), (5, "alone", "en", "b", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = sorted(((r["doc_id"] or 0, r["text"] or "") for r in p.near_dedup(spark, docs, "").collect()))
+    linked = [x for x in got if x[0] in (2, 3)]
+    assert [x for x in got if x not in linked] == [(0, "no id here"), (0, long), (1, long), (4, ""), (5, "alone")]
+    assert linked == [(3, "some more words")]
+    nulls = spark.range(400).selectExpr("cast(null as long) doc_id", "concat('text number ', id) text", "'en' lang", "'a' source", "1L n_chars")
+    kept = p.mixture(spark, nulls, "").count()
+    assert 200 < kept < 360
+    twice = spark.range(300).selectExpr("id % 150 doc_id", "if(id < 150, 'plain words', repeat('12345 ', 200)) text", "'en' lang", "'a' source", "1L n_chars")
+    out = p.mixture(spark, twice, "")
+    assert out.filter("text = 'plain words'").count() != out.filter("text <> 'plain words'").count() and out.columns == list(p.COLUMNS)
+
+
+def test_run_writes_its_stages(spark, monkeypatch):
+    import corpus_pipeline as p
+
+    read = []
+    monkeypatch.setattr(p, "STAGES", [(n, lambda s, d, f: (read.append(d.inputFiles()), d.limit(3))[1]) for n in "abc"])
+    assert p.run(spark, "/root/testdata/sf0.001").count() == 3
+    assert "/0-a/" in read[1][0] and "/1-b/" in read[2][0]
+
+
 def test_run_is_registered(spark):
     import __spark_entry__ as e
 
