@@ -20,16 +20,32 @@ from pyspark.sql import functions as F
 from .common import blank
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
-NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Elements whose content is not text, elements that are page furniture, and words in a class, id or role that mark furniture.
-RAW = frozenset("script style noscript template svg iframe object textarea select option canvas math title".split())
+RAW = frozenset("script style noscript template svg iframe textarea select option canvas annotation annotation-xml title".split())
 FURNITURE = frozenset("nav footer header aside form menu dialog button head".split())
 MARKS = frozenset(
     """ad ads advert adverts advertisement sponsor sponsored promo banner menu nav navbar navigation breadcrumb breadcrumbs sidebar footer header masthead
     cookie cookies consent notice notices alert popup modal newsletter subscribe signup login search comment comments respond replies
     reply disqus discussion share sharing social related recommended widget toolbar pagination pager copyright complementary contentinfo""".split()
 )
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
+INLINE = frozenset(
+    """a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr
+    math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics""".split()
+)
+#: Words that name the content. Inside of it (or of article and main), a mark is a whole class or role, not a word of one or an id.
+CONTENT = frozenset("article main content post entry body text story prose".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: HTML's implied end tags: an opening tag closes the open ones named, but none outside of the innermost bound.
+BLOCKS = frozenset(
+    """address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup
+    hr main menu nav ol p pre search section summary table ul li dd dt""".split()
+)
+CELLS = ("td", "th")
+CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": CELLS, "th": CELLS, "tr": ("tr", *CELLS)}
+CLOSES |= dict.fromkeys(("thead", "tbody", "tfoot"), ("thead", "tbody", "tfoot", "tr", *CELLS))
+BOUNDS = {"p": frozenset("table caption td th object button".split()), "li": frozenset("ul ol menu dir table".split()), "dt": frozenset(["dl", "table"])}
+BOUNDS |= {"dd": BOUNDS["dt"]} | dict.fromkeys((*CELLS, "tr", "thead", "tbody", "tfoot"), frozenset(["table"]))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A word's score; a tag costs LEAST and up to MOST more by its share outside of content. Tags that labelled pages only have in
 #: furniture cost that part of it elsewhere.
@@ -38,18 +54,48 @@ WORD, LEAST, MOST, ELSEWHERE = 1.0, 0.1, 4.0, 0.25
 MAX_TAGS = 500
 
 
-def is_furniture(tag: str, attributes: str) -> bool:
+def is_furniture(tag: str, attributes: str, inside: bool = False) -> bool:
+    """``inside``: in the content, where only whole classes and roles mark furniture, and not on what is called content too."""
     if tag in FURNITURE:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    return any(w in MARKS for m in NAMES.finditer(attributes) for w in re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower()))
+    found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in NAMES.finditer(attributes)]
+    if inside or tag in HEADINGS:
+        whole = {w for name, value in found if name != "id" for w in value.split()}
+        return bool(whole & MARKS) and not whole & CONTENT
+    return any(w in MARKS for _, value in found for w in re.split(r"[^a-z]+", value))
+
+
+def is_content(tag: str, attributes: str) -> bool:
+    if tag in ("article", "main"):
+        return True
+    return bool(attributes) and any(m[1].lower() != "class" and (m[2] or m[3] or m[4] or "").lower() in ("main", "article", "content") for m in NAMES.finditer(attributes))
+
+
+def innermost(stack: list, tags: tuple[str, ...], bounds: frozenset[str]) -> int:
+    """Place of the outermost open element of ``tags`` within the innermost of ``bounds``, or -1."""
+    found = -1
+    for k in range(len(stack) - 1, -1, -1):
+        if stack[k][0] in tags:
+            found = k
+        elif stack[k][0] in bounds:
+            break
+    return found
 
 
 def events(page: str) -> Iterator[tuple[str, str, bool]]:
     """("text", characters, in furniture), or (tag name, "open" or "close", in furniture), in page order."""
-    at, stack = 0, []
-    depth = 0
+    at, stack = 0, []  # (tag, is furniture, is content)
+    depth = inside = 0
+
+    def close(k: int) -> None:
+        nonlocal depth, inside
+        if k >= 0:
+            depth -= sum(x for _, x, _ in stack[k:])
+            inside -= sum(x for _, _, x in stack[k:])
+            del stack[k:]
+
     size = len(page)
     while at < size:
         found = MARKUP.search(page, at)
@@ -64,19 +110,26 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
             continue
         if found[1]:
             yield tag, "close", depth > 0
+            bounds = BOUNDS.get(tag, frozenset())
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
-                    depth -= sum(x for _, x in stack[k:])
-                    del stack[k:]
+                    close(k)
+                    break
+                if stack[k][0] in bounds:
                     break
         elif tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             at = end.end() if end else (size if tag in ("script", "style") else at)
         else:
-            mark = is_furniture(tag, found[3])
-            if tag not in VOID and not found[3].endswith("/") and tag not in ("p", "li", "tr", "td", "th", "dt", "dd"):
-                stack.append((tag, mark))
+            if tag in BLOCKS:
+                close(innermost(stack, ("p",), BOUNDS["p"]))
+            if tag in CLOSES:
+                close(innermost(stack, CLOSES[tag], BOUNDS[tag]))
+            mark = is_furniture(tag, found[3], inside > 0)
+            if tag not in VOID and not found[3].endswith("/"):
+                stack.append((tag, mark, is_content(tag, found[3])))
                 depth += mark
+                inside += stack[-1][2]
             yield tag, "open", depth > 0
 
 

@@ -296,6 +296,23 @@ def test_html(spark):
     assert got[2] == got[3] == got[6] == "" and got[5] == "plain words only"
 
 
+def test_html_marks_and_implied_ends():
+    text = "plain words of the article that go on for long enough"
+    pages = {
+        f"<article><p>{text}<p class='advert'>buy this now<p>and more</article>": f"{text} and more",
+        f"<article><p>{text}</p><ul><li>one<li class='comment'>great post<ul><li>inner reply</ul><li>two</ul></article>": f"{text} one two",
+        f"<article><table><tr><td>{text}<td class='sidebar'>side words here<tr><td>next row</table></article>": f"{text} next row",
+        f"<article><dl><dt>{text}<dd class='promo'>buy it<dt>term</dl></article>": f"{text} term",
+        f"<article><section id='discussion'><h2 id='search'>Search</h2><p>{text}</section></article>": f"Search {text}",
+        f"<article><p>{text}</p><div id='related-work'>Related work follows</div></article>": f"{text} Related work follows",
+        f"<article><div class='content social'><p>{text}</div><div class='social'>share it</div></article>": text,
+        f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>": f"{text} x=2 holds",
+        f"<article><p>{text}</p><object data='x'>told in words</object></article>": f"{text} told in words",
+        f"<article><p data-id='search'>{text}</p></article><div class='site-comments'><p>nice one</div>": text,
+    }
+    assert {k: html_extract.main_text(k, {}) for k in pages} == pages
+
+
 def slow_substrings(texts, window=13):
     words = {d: re.findall(rb"[^\x20\x09-\x0D]+", t.encode()) for d, t in texts.items()}
     first = {}
