@@ -1,17 +1,18 @@
-"""MinHash near-dedup with an inverted index of signature coordinates, and exact confirmation.
+"""MinHash near-dedup: an inverted join of signature coordinates, with exact confirmation.
 
-Documents are posted under each (coordinate, value) pair of their signature. Two documents whose sets are ``threshold``
-alike agree in at least ``agree`` of ``coordinates`` coordinates (but for about one such pair in ten million at the
-defaults), so it is enough to post each under its ``coordinates - agree + 1`` rarest pairs (the prefix), and the pairs
-that many unlike documents have in common are skipped.
+Documents are posted under the (coordinate, value) pairs of their signature. Two documents whose sets are ``threshold``
+alike collide in at least ``agree`` of ``coordinates`` coordinates (but for about one such pair in 200 000 at the defaults,
+for 0.85 one in 30 million), so they meet in a list even if each is posted under its ``coordinates - agree + 1`` rarest
+pairs alone (the prefix). The other, longer lists are skipped: collisions in them are counted by looking them up in the
+signatures of the pairs that the prefix lists give. Pairs with ``agree`` collisions are confirmed on full sets.
 
-No list of postings is expanded into pairs. Each list has one pivot, the document whose pairs are the most common:
+No list is expanded into pairs. Each list has one pivot, the document whose pairs are the most common:
 
-1. every document that agrees in ``agree`` coordinates with a pivot of its lists is compared with it on full sets; links
-   found that way join whole groups of copies;
-2. in the cluster of a pivot, the documents that are not linked to it are compared, in blocks, with all the others:
-   agreement first, then, for those that agree with any, full sets. Pairs whose distances to the pivot rule a link out
-   are skipped (Jaccard distance is a metric). Each block gives a spanning forest of links.
+1. every document of a list is counted and confirmed against the pivot; links found that way join whole groups of copies;
+2. of the documents that met the pivot, those outside of its component are the queries; collisions of queries with all
+   the others are counted in blocks of bounded size, then confirmed on full sets. Pairs that already are in one component
+   say nothing new and are skipped, as are those whose distances to the pivot rule a link out (the Hamming distance of
+   signatures and the Jaccard distance of sets are metrics).
 
 Both steps confirm links on full sets, so the components are those of the true links between the candidates.
 """
@@ -28,13 +29,13 @@ from pyspark.sql import functions as F
 
 from .common import MIX, blank, cut, gram_hashes, mix64, text_bytes, word_hashes
 
-COORDINATES, AGREE = 24, 8
+COORDINATES, AGREE = 40, 20
 #: Cells of the fixed-size sketch that estimates how common a (coordinate, value) pair is.
 SKETCH = 1 << 16
 #: 64-bit words of the Bloom filter that keeps texts without candidates out of a shuffle.
 BLOOM = 1 << 18
-#: Least and largest number of documents in a block of a cluster.
-BLOCK = (64, 512)
+#: Queries and bases of a block, when collisions are counted; full sets go in blocks of a half and a quarter of that.
+BLOCK = (512, 2048)
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:
@@ -155,86 +156,97 @@ def with_shared(pairs: DataFrame) -> DataFrame:
 
 
 def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    """Spanning forest of the links in a block pair with at least one end not linked to the pivot."""
-    ids = table.column("doc_id").to_numpy()
+    """Links of a block between its queries and its bases, as few as join what they join."""
+    ids, label, query = (table.column(c).to_numpy(zero_copy_only=False) for c in ("doc_id", "label", "query"))
     sets = [np.frombuffer(x, np.uint64) for x in table.column("set").to_pylist()]
     sizes = np.array([len(s) for s in sets])
     owner = np.repeat(np.arange(len(sets)), sizes)
-    tokens = np.concatenate(sets)
-    order = np.argsort(tokens, kind="stable")
-    t, owner = tokens[order], owner[order]
-    fresh = np.concatenate([[True], t[1:] != t[:-1]])
-    code = np.cumsum(fresh) - 1
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
     often = np.bincount(code) > 1
     keep = often[code]
     code, owner = (np.cumsum(often) - 1)[code[keep]], owner[keep]
-    shared = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    q, b = np.flatnonzero(query), np.flatnonzero(~query)
+    shared = np.zeros((len(q), len(b)), np.float32)
     for at in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
-        a, b = np.searchsorted(code, [at, at + 4096])
+        x, y = np.searchsorted(code, [at, at + 4096])
         m = np.zeros((len(sets), 4096), np.float32)
-        m[owner[a:b], code[a:b] - at] = 1
-        shared += m @ m.T
-    union = sizes[:, None] + sizes[None] - shared
-    ok = (100 * shared >= percent * union) & possible(table, percent)
-    root = list(range(len(sets)))
+        m[owner[x:y], code[x:y] - at] = 1
+        shared += m[q] @ m[b].T
+    union = sizes[q][:, None] + sizes[b][None] - shared
+    ok = (100 * shared >= percent * union) & possible(table, q, b, percent)
+    root: dict[int, int] = {}
 
     def find(x: int) -> int:
-        while root[x] != x:
+        while root.setdefault(x, x) != x:
             root[x] = root[root[x]]
             x = root[x]
         return x
 
     out = []
-    for a, b in zip(*np.nonzero(np.triu(ok, 1)), strict=True):
-        x, y = find(int(a)), find(int(b))
+    for k, j in zip(*np.nonzero(ok), strict=True):
+        x, y = find(int(label[q[k]])), find(int(label[b[j]]))
         if x != y:
             root[y] = x
-            out.append((int(ids[a]), int(ids[b])))
+            out.append((int(ids[q[k]]), int(ids[b[j]])))
     return out
 
 
-def in_block_pairs(members: DataFrame, least_size: int) -> DataFrame:
-    """Members of clusters of ``least_size`` with a document not linked to the pivot, dealt to pairs of blocks i <= j."""
-    sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(~F.col("near")).alias("loose")).filter((F.col("loose") > 0) & (F.col("k") >= least_size))
-    least, most = BLOCK
-    blocks = F.ceil(F.col("k") / F.greatest(F.lit(least), F.least(F.lit(most), F.floor(F.col("k") / 8)))).cast("int")
-    sizes = cut(sizes.select("pivot", blocks.alias("blocks")))
-    dealt = members.join(sizes, "pivot").withColumn("block", F.pmod(F.xxhash64("doc_id", "pivot"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    return dealt.select("pivot", "doc_id", "near", "far", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+def possible(table: pa.Table, q: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
+    """Pairs of queries and bases that a link would tell something about: not yet in one component, and not ruled out by
+    their distances to the pivot."""
+    label = table.column("label").to_numpy()
+    far = table.column("far").to_numpy()  # NaN where the distance to the pivot is not known
+    return (label[q][:, None] != label[b][None]) & ~(np.abs(far[q][:, None] - far[b][None]) > 1 - percent / 100 + 1e-9)
 
 
-def possible(table: pa.Table, percent: int) -> np.ndarray:
-    """Pairs of a block pair that a link is not ruled out for: not both linked to the pivot, and near enough by its distances."""
-    near = table.column("near").to_numpy(zero_copy_only=False)
-    far = table.column("far").to_numpy()  # NaN where the distance to the pivot is not known
-    return ~(near[:, None] & near[None]) & ~(np.abs(far[:, None] - far[None]) > 1 - percent / 100 + 1e-9)
+def in_blocks(members: DataFrame, queries: int, bases: int, slack: int) -> DataFrame:
+    """Deal each cluster's queries (members outside of its pivot's component) to blocks against blocks of all its members.
+
+    A block has about ``queries`` queries and ``bases`` bases. A cluster with few queries sends its members to one block
+    each; nothing is paired here. ``slack``: in so many coordinates linked documents may differ, so a member much nearer
+    to the pivot than the nearest query is left out.
+    """
+    loose = F.col("label") != F.col("pivot_label")
+    sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(loose).alias("n"), F.min(F.when(loose, F.col("apart"))).alias("least")).filter("n > 0 and k > 1")
+    sizes = sizes.select("pivot", "least", F.ceil(F.col("n") / queries).cast("int").alias("_q"), F.ceil(F.col("k") / bases).cast("int").alias("_b"))
+    rows = members.join(cut(sizes), "pivot").withColumn("_loose", loose).filter(F.col("_loose") | (F.col("apart") >= F.col("least") - slack))
+    i, j = F.pmod(F.xxhash64("doc_id", "pivot"), F.col("_q")).cast("int"), F.pmod(F.xxhash64("doc_id"), F.col("_b")).cast("int")
+    asked = rows.filter("_loose").withColumn("i", i).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).withColumn("query", F.lit(True))
+    against = rows.withColumn("j", j).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_q") - 1))).withColumn("query", F.lit(False))
+    names = ["pivot", "i", "j", "doc_id", "query", "label", "pivot_label", "apart", "far"]
+    return against.select(*names).unionByName(asked.select(*names))
 
 
-def agreeing(members: DataFrame, sigs: DataFrame, agree: int, percent: int) -> DataFrame:
-    """pivot, doc_id of the members that agree in at least ``agree`` coordinates with another they may be linked to."""
+def colliding(members: DataFrame, sigs: DataFrame, agree: int, coordinates: int, percent: int) -> DataFrame:
+    """The members of each cluster that collide in at least ``agree`` coordinates across components: pivot, doc_id."""
 
     def run(table: pa.Table) -> pa.Table:
         sig = np.stack([np.frombuffer(x, np.uint32) for x in table.column("sig").to_pylist()])
-        same = np.zeros((len(sig), len(sig)), np.uint8)
+        query = table.column("query").to_numpy(zero_copy_only=False)
+        q, b = np.flatnonzero(query), np.flatnonzero(~query)
+        same = np.zeros((len(q), len(b)), np.uint8)
         for c in range(sig.shape[1]):
-            same += sig[:, c, None] == sig[None, :, c]
-        np.fill_diagonal(same, 0)
-        hit = ((same >= agree) & possible(table, percent)).any(1)
-        return table.select(["pivot", "doc_id"]).filter(pa.array(hit))
+            same += sig[q, c, None] == sig[None, b, c]
+        hit = (same >= agree) & possible(table, q, b, percent)
+        took = np.zeros(len(query), bool)
+        took[q], took[b] = hit.any(1), hit.any(0)
+        return table.select(["pivot", "doc_id"]).filter(pa.array(took))
 
-    dealt = in_block_pairs(members, 3).join(sigs, "doc_id")
+    dealt = in_blocks(members, *BLOCK, coordinates - agree).join(sigs, "doc_id")
     return dealt.groupBy("pivot", "i", "j").applyInArrow(run, "pivot long, doc_id long").distinct()
 
 
-def cluster_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links inside clusters that do not run over the pivot. members: pivot, doc_id, near, far."""
+def cluster_links(members: DataFrame, sets: DataFrame, slack: int, percent: int) -> DataFrame:
+    """Links inside of clusters between different components, confirmed on full sets: a, b."""
 
     def run(table: pa.Table) -> pa.Table:
         found = block_links(table, percent)
         return pa.table([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return in_block_pairs(members, 2).join(sets, "doc_id").groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
+    dealt = in_blocks(members, BLOCK[0] // 2, BLOCK[1] // 4, slack).join(sets, "doc_id")
+    return dealt.groupBy("pivot", "i", "j").applyInArrow(run, "a long, b long")
 
 
 def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -300,25 +312,27 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, coordi
     posted = postings(reps, sketch(reps), agree)
     best = posted.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("weight", (-F.col("doc_id")).alias("neg"))).alias("best")).filter("k > 1")
     pivots = cut(best.select("key", (-F.col("best.neg")).alias("pivot")))
-    pairs = cut(posted.join(pivots, "key").select("doc_id", "pivot").distinct())
+    pairs = posted.join(pivots, "key").filter("doc_id <> pivot").select("doc_id", "pivot").distinct()
 
     pivot_sigs = reps.select(F.col("doc_id").alias("pivot"), F.col("sig").alias("pivot_sig"))
-    matched = cut(with_agreement(pairs.filter("doc_id <> pivot").join(reps, "doc_id").join(pivot_sigs, "pivot")).filter(F.col("same") >= agree).select("doc_id", "pivot"))
+    pairs = cut(with_agreement(pairs.join(reps, "doc_id").join(pivot_sigs, "pivot")))
+    matched = pairs.filter(F.col("same") >= agree).select("doc_id", "pivot")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(text_col).alias("text")).filter("doc_id is not null")
     sets = fetch_sets(texts, cut(matched.select("doc_id").unionByName(matched.select(F.col("pivot").alias("doc_id"))).distinct()), size)
     with_set = matched.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
     near = linked(F.col("shared"), F.col("n"), F.col("m"), percent)
     far = 1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
     measured = cut(with_shared(with_set).select("doc_id", "pivot", near.alias("near"), far.alias("far")))
-    links = measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
-
-    own = F.col("doc_id") == F.col("pivot")
-    members = pairs.join(measured, ["doc_id", "pivot"], "left")
-    members = cut(members.select("pivot", "doc_id", F.coalesce("near", own).alias("near"), F.coalesce("far", F.when(own, 0.0), F.lit(float("nan"))).alias("far")))
-    agreed = cut(agreeing(members, reps, agree, percent))
-    members = cut(members.join(agreed, ["pivot", "doc_id"], "left_semi"))
-    sets = fetch_sets(texts, cut(agreed.select("doc_id").distinct()), size)
-    links = links.unionByName(cluster_links(members, sets, percent))
+    stars = cut(components(measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))))
+
+    members = pairs.join(measured.select("doc_id", "pivot", "far"), ["doc_id", "pivot"], "left")
+    members = members.join(stars.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left")
+    members = members.join(stars.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_label")), "pivot", "left")
+    members = cut(members.select("pivot", "doc_id", F.coalesce("label", "doc_id").alias("label"), F.coalesce("pivot_label", "pivot").alias("pivot_label"), (coordinates - F.col("same")).alias("apart"), F.coalesce("far", F.lit(float("nan"))).alias("far")))
+    found = cut(colliding(members, reps, agree, coordinates, percent))
+    members = cut(members.join(found, ["pivot", "doc_id"], "left_semi"))
+    sets = fetch_sets(texts, cut(found.select("doc_id").distinct()), size)
+    links = stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(cluster_links(members, sets, coordinates - agree, percent))
     # rows that share an id but not a text
     several = full.groupBy("doc_id").agg(F.min("same").alias("x"), F.max("same").alias("y")).filter("x <> y").select("doc_id")
     twice = full.join(several, "doc_id").join(classes.select("same", "rep"), "same").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
