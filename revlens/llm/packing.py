@@ -11,10 +11,9 @@ Tokens are counted once per document; what is packed afterwards are piece *lengt
 
 from __future__ import annotations
 
+import json
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,70 +26,56 @@ from .common import blank, cut, shuffle_partitions
 
 CAPACITY = 1024
 END_ID = 2
-#: Chunks of text (a word with its leading space and punctuation) whose ids a worker remembers.
-REMEMBERED = 1_000_000
-WIDE_GAP = re.compile(r"\s\s")
-#: A word (letters, to be checked) and ASCII marks other than apostrophe and underscore: two pieces of the splitting pattern.
-WORD_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-^`{-~]*)")
-#: Byte-level alphabet: printable bytes stand for themselves, the others for the characters from 256 on, in their order.
+#: The splitting pattern of byte-level BPE, and its alphabet (printable bytes stand for themselves, the others
+#: for the characters from 256 on, in their order).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-BYTE_CHARS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
-CHUNK_START = re.compile(r"(?= \S)")
+BYTE_OF = {chr(b): b for b in PRINTABLE} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
 
-class Remembered(dict):
-    """Ids of chunks, encoded when first asked for: split by the tokenizer's own rule, then its model on each new piece.
+def merge_ranks(definition: dict) -> tuple[dict[bytes, int], dict[str, int]] | None:
+    """Ranks and special tokens of a tokenizer file, if it is plain byte-level BPE whose ids follow the order of its merges.
 
-    A word with marks behind it, the common case, is split here. A chunk that spells a special token goes through the
-    whole tokenizer.
+    Then, and only then, the lowest id is the next merge, and an encoder that knows ranks alone gives the file's own ids.
     """
-
-    def __init__(self, tokenizer):
-        super().__init__()
-        self.tokenizer, self.model, self.split = tokenizer, tokenizer.model, tokenizer.pre_tokenizer.pre_tokenize_str
-        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-        self.plain = tokenizer.normalizer is None
-        self.pieces: dict[str, bytes] = {}
-
-    def __missing__(self, chunk: str) -> bytes:
-        if not self.plain or any(s in chunk for s in self.special):
-            out = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        else:
-            simple = WORD_AND_MARKS.fullmatch(chunk)
-            if simple and simple[1].strip(" ").isalpha():
-                found = [x.encode().decode("latin-1").translate(BYTE_CHARS) for x in simple.groups() if x]
-            else:
-                found = [x for x, _ in self.split(chunk)]
-            out = b"".join([self.pieces.get(x) or self.piece(x) for x in found])
-        self[chunk] = out
-        return out
-
-    def piece(self, piece: str) -> bytes:
-        if 2 * len(self.pieces) > REMEMBERED:
-            self.pieces.clear()
-        out = self.pieces[piece] = array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
-        return out
-
-
-class ChunkEncoder:
-    """Token ids of whole texts as little-endian uint32 bytes, by ``tokenizers``.
-
-    The splitting pattern of byte-level BPE starts a new piece at every space that is followed by a visible character,
-    whatever stands before it. So a text's ids are those of its chunks between such places, one after the other. Chunks
-    recur (a word with its leading space and punctuation), and their ids are remembered.
+    model, before, added = definition["model"], definition.get("pre_tokenizer") or {}, definition.get("added_tokens") or []
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges"))
+    plain &= before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and definition.get("normalizer") is None
+    plain &= all(t["special"] and not (t["lstrip"] or t["rstrip"] or t["single_word"]) for t in added)
+    if not plain:
+        return None
+    special = {t["content"]: t["id"] for t in added}
+    vocab = {k: v for k, v in model["vocab"].items() if k not in special}
+    merged = [vocab.get("".join(m if isinstance(m, list) else m.split(" ")), -1) for m in model["merges"]]
+    single = [v for k, v in vocab.items() if len(k) == 1]
+    ordered = len(single) == 256 and len(vocab) == 256 + len(merged) and all(a < b for a, b in zip([max(single), *merged], merged, strict=False))
+    return ({bytes(BYTE_OF[c] for c in k): v for k, v in vocab.items()}, special) if ordered else None
+
+
+class Encoder:
+    """Token ids of whole texts as little-endian uint32 bytes, as ``tokenizers`` gives them for the file at ``path``.
+
+    The ids of plain byte-level BPE are found by ``tiktoken``, from the same file's vocabulary, in half the time: both cut
+    by the same pattern and merge by the same ranks. Other tokenizers go through ``tokenizers`` itself.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        with open(path, encoding="utf-8") as file:
+            found = merge_ranks(json.load(file))
+        if found is None:
+            from tokenizers import Tokenizer
+
+            whole = Tokenizer.from_file(path)
+            self.ids = lambda text: np.array(whole.encode(text, add_special_tokens=False).ids, "<u4")
+        else:
+            import tiktoken
 
-        self.known = Remembered(Tokenizer.from_file(path))
+            ranked = tiktoken.Encoding(path, pat_str=PATTERN, mergeable_ranks=found[0], special_tokens=found[1])
+            self.ids = lambda text: ranked.encode_to_numpy(text, allowed_special="all")
 
     def __call__(self, text: str) -> bytes:
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        chunks = CHUNK_START.split(text) if "\0" in text or WIDE_GAP.search(text) else text.replace(" ", "\0 ").split("\0")
-        return b"".join(map(self.known.__getitem__, chunks))
+        return self.ids(text).astype("<u4", copy=False).tobytes()
 
 
 def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,7 +88,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACI
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = ChunkEncoder(tokenizer_path)
+        encode = Encoder(tokenizer_path)
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 256):

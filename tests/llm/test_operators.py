@@ -66,15 +66,29 @@ def test_packing(which, request):
     assert out.sequence_id.nunique() <= best + 1 + 0.02 * best
 
 
-def test_chunk_encoder_is_exact():
+def test_encoder_is_exact(tmp_path):
+    """Against ``tokenizers``: every code point between all kinds of neighbours, and random mixtures."""
+    import json
+
     from tokenizers import Tokenizer
 
-    whole, mine = Tokenizer.from_file(queries.tokenizer_path()), packing.ChunkEncoder(queries.tokenizer_path())
+    path = queries.tokenizer_path()
+    whole, mine = Tokenizer.from_file(path), packing.Encoder(path)
     rng = random.Random(2)
     parts = [" ", "  ", "\n", "\t", "a", "Bc", "é", "ß", "²", "½", "Ⅷ", "7", "'", "'s", "_", ".", ",%", "<|endoftext|>", "<|", "中文", "😀", "\u00a0", "\u0301", "\0", "word"]
-    for _ in range(3000):
-        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
-        assert mine(text) == np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    points = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    texts += ["".join(f"a{c}1{c} {c}  {c}.{c}\n" for c in points[at : at + 40]) for at in range(0, len(points), 40)]
+    texts += [c * 20_000 for c in ("a", " ", "\n", "^", "中")] + ["x" + " " * 9000 + "y"]
+    for text, want in zip(texts, whole.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert mine(text) == np.array(want.ids, "<u4").tobytes(), repr(text[:40])
+    definition = json.loads(open(path, encoding="utf-8").read())
+    assert packing.merge_ranks(definition) is not None
+    definition["model"]["merges"] = definition["model"]["merges"][:50:-1] + definition["model"]["merges"][:51]
+    assert packing.merge_ranks(definition) is None
+    (tmp_path / "other.json").write_text(json.dumps(definition))
+    text, other = "some other order of merges", Tokenizer.from_file(str(tmp_path / "other.json"))
+    assert packing.Encoder(str(tmp_path / "other.json"))(text) == np.array(other.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
 def test_packing_plan_is_exact():
