@@ -1,11 +1,18 @@
 """Line dedup by a suffix array over line ids, in DataFrame functions only.
 
-Suffixes of the documents' line sequences are ranked by distributed prefix doubling: a suffix's rank over its first 2n
-lines is the pair of its rank over n lines and the rank of the suffix n lines further on. The order that ranks need is
-any fixed total order of lines, so hashes serve as line ids and their pairs are hashed again. Suffixes of equal rank at
-depth ``min_lines`` form the intervals whose longest common prefix is at least that long; deeper ranks would only split
-these intervals, and the union of the runs they cover stays the same, so doubling stops there. Only suffixes still in an
-interval with others go on to the next doubling.
+The suffixes of all documents' line sequences are ranked by distributed prefix doubling: a suffix's rank over its first 2n
+lines is made of its rank over n lines and that of the suffix n lines further on. Ranks name classes of equal prefixes
+(two 64-bit hashes); their order carries nothing, since only equality and the place of the first occurrence are asked for.
+
+1. Documents of equal text are one class of which the smallest id goes into the array; all others are copies as a whole.
+2. Doubling goes on as long as an interval (suffixes of equal rank) has two suffixes. Suffixes alone in theirs leave.
+3. Going back down the levels, the longest common prefix of each suffix with any earlier one is put together of powers of
+   two: an interval is divided by the rank of what follows; of each part the first stays behind, to stand for it among
+   those that go on with shorter steps. A suffix is asked about in one interval at a time, so no level has more than two
+   rows a suffix.
+4. These prefixes are the maximal repeated runs; lines that they cover are deleted.
+
+What leaves the documents is a row a line (level 1), afterwards a row a suffix that occurs twice.
 """
 
 from __future__ import annotations
@@ -16,81 +23,129 @@ from pyspark.sql import functions as F
 from .common import cut
 
 MIN_LINES = 2
+#: Stands for a null id, which comes before all others.
+NO_ID = -(2**63)
+TEXT, RANK, NEXT, GROUP = ["_t1", "_t2"], ["r1", "r2"], ["n1", "n2"], ["g1", "g2"]
 
 
-def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The documents with ``_rid`` (rows that share id and text share it) beside their own columns."""
-    return docs.withColumn("_rid", F.xxhash64(F.col(id_col), F.col(text_col)))
+def two_hashes(*parts: Column | str) -> tuple[Column, Column]:
+    return F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)
 
 
-def line_suffixes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """doc, _rid, pos, rank (over one line), one row per line."""
-    lines = docs.select(F.col(id_col).cast("long").alias("doc"), "_rid", F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "line"))
-    return lines.select("doc", "_rid", "pos", F.xxhash64("line").alias("rank")).dropDuplicates(["doc", "_rid", "pos"])
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents with ``_doc`` and the class of their text, ``_t1`` and ``_t2`` (of its own by id where the text is null)."""
+    t1, t2 = two_hashes(F.col(text_col))
+    return docs.withColumn("_doc", F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))).withColumn("_t1", t1).withColumn("_t2", F.when(F.col(text_col).isNull(), F.xxhash64("_doc")).otherwise(t2))
 
 
-def doubled(suffixes: DataFrame, by: int) -> DataFrame:
-    """Ranks over ``by`` more lines; suffixes that are too short for that leave."""
-    along = Window.partitionBy("doc", "_rid").orderBy("pos")
-    following = F.when(F.lead("pos", by).over(along) == F.col("pos") + by, F.lead("rank", by).over(along))
-    return suffixes.withColumn("_next", following).filter("_next is not null").withColumn("rank", F.xxhash64("rank", "_next")).drop("_next")
+def place() -> Column:
+    return F.struct("doc", *TEXT, "pos")
 
 
-def place(doc: Column, rid: Column, pos: Column) -> Column:
-    return F.struct(doc.alias("doc"), rid.alias("rid"), pos.alias("pos"))
+def suffixes(docs: DataFrame, text_col: str) -> DataFrame:
+    """doc, _t1, _t2, pos and the rank over one line, one row a suffix of a different text."""
+    lines = docs.filter(F.col(text_col).isNotNull()).select("_doc", *TEXT, F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("pos", "_line"))
+    r1, r2 = two_hashes("_line")
+    lines = lines.select("_doc", *TEXT, "pos", r1.alias("r1"), r2.alias("r2"))
+    return lines.groupBy(*TEXT, "pos").agg(F.min("_doc").alias("doc"), F.first("r1").alias("r1"), F.first("r2").alias("r2"))
 
 
-def repeated_starts(docs: DataFrame, min_lines: int = MIN_LINES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Suffixes whose first ``min_lines`` lines also start at an earlier place (smaller id, then smaller position).
+def in_intervals(ranked: DataFrame) -> DataFrame:
+    """The suffixes whose rank another one has too; ``later``: an earlier one."""
+    first = ranked.groupBy(*RANK).agg(F.count(F.lit(1)).alias("n"), F.min(place()).alias("first")).filter("n > 1").drop("n")
+    return ranked.join(first, RANK).select("doc", *TEXT, "pos", *RANK, (place() > F.col("first")).alias("later"))
 
-    Returns doc, _rid, pos. ``docs`` must come from :func:`numbered`.
+
+def levels(docs: DataFrame, text_col: str) -> list[tuple[int, DataFrame]]:
+    """(depth, suffixes in intervals at that depth) for depths 1, 2, 4 and so on."""
+    now, depth, out = cut(in_intervals(suffixes(docs, text_col))), 1, []
+    while not now.isEmpty():
+        out.append((depth, now))
+        following = now.select(*TEXT, (F.col("pos") - depth).alias("pos"), *[F.col(r).alias(n) for r, n in zip(RANK, NEXT, strict=True)])
+        r1, r2 = two_hashes(*RANK, *NEXT)
+        ranked = now.join(following, [*TEXT, "pos"]).select("doc", *TEXT, "pos", r1.alias("r1"), r2.alias("r2"))
+        now, depth = cut(in_intervals(ranked)), 2 * depth
+    return out
+
+
+def longest_earlier(found: list[tuple[int, DataFrame]], least: int = 1) -> DataFrame | None:
+    """_t1, _t2, pos, n_lines: the longest common prefix, of at least ``least`` lines, of each suffix with an earlier one;
+    None without any.
+
+    ``asked`` rows are those of which the length is still sought in their interval; the others stand for earlier places.
     """
-    ranks, depth = line_suffixes(docs, id_col, text_col), 1
-    while depth < min_lines:
-        by = min(depth, min_lines - depth)
-        ranks, depth = doubled(ranks, by), depth + by
-    ranks = cut(ranks)
-    # one row per rank and task before the shuffle; a rank met once has no interval
-    first = ranks.groupBy("rank").agg(F.count(F.lit(1)).alias("n"), F.min(place(F.col("doc"), F.col("_rid"), F.col("pos"))).alias("first"))
-    intervals = cut(first.filter("n > 1").select("rank", "first"))
-    # the rows are dealt by rank again on both sides, so a rank that a third of all lines has can be split
-    return ranks.join(intervals, "rank").filter(place(F.col("doc"), F.col("_rid"), F.col("pos")) > F.col("first")).select("doc", "_rid", "pos")
-
-
-def repeated_runs(starts: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """Maximal runs of lines to delete: doc, _rid, first, n_lines. Starts that overlap or touch make one run."""
-    along = Window.partitionBy("doc", "_rid").orderBy("pos")
-    fresh = F.coalesce((F.col("pos") - F.lag("pos").over(along) > min_lines).cast("int"), F.lit(1))
-    runs = starts.withColumn("_run", F.sum(fresh).over(along)).groupBy("doc", "_rid", "_run")
-    return runs.agg(F.min("pos").alias("first"), (F.max("pos") - F.min("pos") + min_lines).alias("n_lines")).drop("_run")
+    now, above = None, None
+    for depth, level in reversed(found):
+        if now is not None:
+            following = level.select(*TEXT, F.col("pos").alias("_at"), *[F.col(r).alias(n) for r, n in zip(RANK, NEXT, strict=True)])
+            seen = now.withColumn("_at", F.col("pos") + F.col("n_lines")).join(following, [*TEXT, "_at"], "left").drop("_at")
+            parts = seen.filter("n1 is not null").groupBy(*GROUP, *NEXT).agg(F.count(F.lit(1)).alias("_n"), F.min(place()).alias("_first")).filter("_n > 1").drop("_n")
+            seen = seen.join(parts, [*GROUP, *NEXT], "left")
+            g1, g2 = two_hashes(*GROUP, *NEXT)
+            is_first = place() == F.col("_first")
+            up = F.struct((F.col("n_lines") + depth).alias("n_lines"), g1.alias("g1"), g2.alias("g2"), (~is_first).alias("asked"))
+            stay = F.struct("n_lines", *GROUP, "asked")
+            goes = F.when(F.col("_first").isNull(), F.array(stay)).when(is_first, F.array(up, stay)).otherwise(F.array(up))
+            now = seen.select("doc", *TEXT, "pos", F.explode(goes).alias("_g")).select("doc", *TEXT, "pos", "_g.*")
+        if 2 * depth <= least and now is None:
+            break
+        rest = level if above is None else level.join(above.filter("later").select(*TEXT, "pos"), [*TEXT, "pos"], "left_anti")
+        fresh = rest.join(rest.filter("later").select(*RANK).distinct(), RANK, "left_semi")
+        fresh = fresh.select("doc", *TEXT, "pos", F.lit(depth).alias("n_lines"), *[F.col(r).alias(g) for r, g in zip(RANK, GROUP, strict=True)], F.col("later").alias("asked"))
+        if 2 * depth > least:  # else what is shared to this depth alone is too short
+            now = fresh if now is None else now.unionByName(fresh)
+        now, above = cut(now), level
+    return None if now is None else now.filter(F.col("asked") & (F.col("n_lines") >= least)).select(*TEXT, "pos", "n_lines")
+
+
+def repeated_runs(longest: DataFrame) -> DataFrame:
+    """Maximal repeated runs of lines, those that no run from the line before goes on with: _t1, _t2, pos, n_lines."""
+    along = Window.partitionBy(*TEXT).orderBy("pos")
+    within = (F.lag("pos").over(along) == F.col("pos") - 1) & (F.lag("n_lines").over(along) > F.col("n_lines"))
+    return longest.withColumn("_within", F.coalesce(within, F.lit(False))).filter("not _within").drop("_within")
+
+
+def stretches(runs: DataFrame) -> DataFrame:
+    """What the runs of a text cover: _t1, _t2, ``_gone`` (first and last line of each stretch), ``_longest`` run."""
+    before = Window.partitionBy(*TEXT).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    upto = Window.partitionBy(*TEXT).orderBy("pos")
+    end = F.col("pos") + F.col("n_lines")
+    rows = runs.withColumn("_end", end).withColumn("_new", F.coalesce((F.col("pos") > F.max("_end").over(before)).cast("int"), F.lit(1)))
+    rows = rows.withColumn("_k", F.sum("_new").over(upto)).groupBy(*TEXT, "_k").agg(F.min("pos").alias("a"), (F.max("_end") - 1).alias("b"), F.max("n_lines").alias("_longest"))
+    return rows.groupBy(*TEXT).agg(F.collect_list(F.struct("a", "b")).alias("_gone"), F.max("_longest").alias("_longest"))  # of one text
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Delete every line of a run of at least ``min_lines`` lines that has occurred before.
 
-    "Before" is a smaller id or, in one document, a smaller line number; a null id comes first. Lines end at line feeds
-    and are compared exactly. Returns the input's columns with the text reduced, and n_lines, n_removed, longest_run
-    (those names are overwritten if the input has them). Null text stays null with 0 lines; a text that loses all its
-    lines becomes empty. Rows that repeat both id and text count as one document and each get its result.
+    "Before" is a smaller id or, in one document, a smaller line number; a null id comes first. Lines end at line feeds;
+    equal lines are those of equal 128-bit hashes. Returns the input's columns with the text reduced, and n_lines,
+    n_removed and longest_run, the longest run of the document that has occurred before (those names are overwritten if
+    the input has them). Null text stays null with 0 lines; a text that loses all its lines becomes empty. Rows that
+    repeat both id and text count as one document and each get its result.
     """
     if min_lines < 1:
         raise ValueError("min_lines must be at least 1")
-    own = [c for c in docs.columns if c not in ("_rid", "n_lines", "n_removed", "longest_run")]
-    docs = numbered(docs.select(*own), id_col, text_col)
-    runs = repeated_runs(repeated_starts(docs, min_lines, id_col=id_col, text_col=text_col), min_lines)
-    one = F.struct(F.col("first"), F.col("n_lines").alias("n"))
-    per_doc = runs.groupBy("_rid").agg(F.collect_list(one).alias("_runs"), F.max("n_lines").alias("_longest"))  # the runs of one document
-    # positions become a set, so that a document is filtered in time linear in its lines
-    gone = F.aggregate("_runs", F.array().cast("array<int>"), lambda acc, r: F.concat(acc, F.sequence(r["first"], r["first"] + r["n"].cast("int") - 1)))
-    per_doc = per_doc.select("_rid", F.array_distinct(gone).alias("_gone"), "_longest")
+    hidden = {"_doc", "_first_doc", "_gone", "_longest", *TEXT}
+    own = [c for c in docs.columns if c not in hidden | {"n_lines", "n_removed", "longest_run"}]
+    docs = keyed(docs.select(*own), id_col, text_col)
+    longest = longest_earlier(levels(docs, text_col), min_lines)
+    copied = docs.filter(F.col(text_col).isNotNull()).groupBy(*TEXT).agg(F.min("_doc").alias("_first_doc"), F.max("_doc").alias("_last")).filter("_first_doc < _last").drop("_last")
+    if longest is None:
+        known = copied.withColumn("_gone", F.lit(None).cast("array<struct<a:int,b:int>>")).withColumn("_longest", F.lit(None).cast("int"))
+    else:
+        known = copied.join(stretches(repeated_runs(longest)), TEXT, "full")
+    rows = docs.join(known, TEXT, "left")
     lines = F.split(F.col(text_col), "\n", -1)
-    numbers = F.sequence(F.lit(0), F.size(lines) - 1)
-    kept = F.array_join(F.transform(F.array_except(numbers, F.col("_gone")), lambda k: F.element_at(lines, k + 1)), "\n")
-    joined = docs.join(per_doc, "_rid", "left")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
-    return joined.select(
+    n = F.size(lines)
+    whole = (F.col("_doc") > F.col("_first_doc")) & (n >= min_lines)
+    gone = F.flatten(F.transform("_gone", lambda s: F.sequence(s["a"], s["b"])))  # different lines: stretches do not meet
+    kept = F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), n - 1), gone), lambda k: F.element_at(lines, k + 1)), "\n")
+    text = F.when(whole, "").when(F.col("_gone").isNull(), F.col(text_col)).otherwise(kept)
+    size = F.when(F.col(text_col).isNull(), 0).otherwise(n)
+    return rows.select(
         *[text.alias(c) if c == text_col else F.col(c) for c in own],
-        F.when(F.col(text_col).isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_removed"),
-        F.coalesce("_longest", F.lit(0)).cast("long").alias("longest_run"),
+        size.cast("long").alias("n_lines"),
+        F.when(whole, n).otherwise(F.coalesce(F.size(gone), F.lit(0))).cast("long").alias("n_removed"),
+        F.when(whole, n).otherwise(F.coalesce("_longest", F.lit(0))).cast("long").alias("longest_run"),
     )

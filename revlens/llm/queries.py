@@ -78,20 +78,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash": op10_minhash,
 }
 
-#: Line dedup: a line goes if it is in a pair of consecutive lines that has started before.
+#: Line dedup, from its definition: lines i and i + 1 of a document that also follow one another at an earlier place are a
+#: pair of places; pairs that go on line by line are a common run. A line goes if it is in such a run.
 OP8_SQL = """
 WITH docs AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents),
 starts AS (SELECT doc_id, unnest(range(1, len(lines))) AS pos, lines FROM docs),
-pairs AS (SELECT doc_id, pos, lines[pos] AS a, lines[pos + 1] AS b FROM starts),
-seen AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY a, b ORDER BY doc_id, pos) AS nth FROM pairs),
-later AS (SELECT doc_id, pos FROM seen WHERE nth > 1),
-runs AS (
-    SELECT doc_id, max(pos) - min(pos) + 2 AS n FROM (
-        SELECT doc_id, pos, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM (
-            SELECT doc_id, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) <= 2 THEN 0 ELSE 1 END AS fresh FROM later))
-    GROUP BY doc_id, run),
-longest AS (SELECT doc_id, max(n) AS longest_run FROM runs GROUP BY doc_id),
-gone AS (SELECT doc_id, list(DISTINCT pos) AS lost FROM (SELECT doc_id, pos FROM later UNION ALL SELECT doc_id, pos + 1 FROM later) GROUP BY doc_id)
+places AS (SELECT doc_id, pos, lines[pos] AS a, lines[pos + 1] AS b FROM starts),
+pairs AS (SELECT x.doc_id, x.pos, y.doc_id AS other, x.pos - y.pos AS shift FROM places x JOIN places y ON x.a = y.a AND x.b = y.b AND (y.doc_id, y.pos) < (x.doc_id, x.pos)),
+common AS (SELECT doc_id, count(*) + 1 AS n FROM (SELECT *, pos - row_number() OVER (PARTITION BY doc_id, other, shift ORDER BY pos) AS run FROM pairs) GROUP BY doc_id, other, shift, run),
+longest AS (SELECT doc_id, max(n) AS longest_run FROM common GROUP BY doc_id),
+gone AS (SELECT doc_id, list(DISTINCT pos) AS lost FROM (SELECT doc_id, pos FROM pairs UNION ALL SELECT doc_id, pos + 1 FROM pairs) GROUP BY doc_id)
 SELECT d.doc_id, len(d.lines)::BIGINT AS n_lines, coalesce(len(g.lost), 0)::BIGINT AS n_removed, coalesce(l.longest_run, 0)::BIGINT AS longest_run,
     sha256(coalesce(array_to_string(list_transform(list_filter(range(1, len(d.lines) + 1), lambda k: NOT coalesce(list_contains(g.lost, k), false)), lambda k: d.lines[k]), chr(10)), '')) AS kept_sha256
 FROM docs d LEFT JOIN gone g USING (doc_id) LEFT JOIN longest l USING (doc_id)

@@ -362,16 +362,22 @@ def test_substrings_random(spark):
 
 
 def slow_lines(texts, k):
-    seen, out = set(), {}
+    """Per document: lines, removed lines, what is left, and the longest run that starts at an earlier place too."""
+    places, out = {}, {}
     for d in sorted(texts):
         ls = texts[d].split("\n")
-        gone = set()
+        gone, longest = set(), 0
         for i in range(len(ls) - k + 1):
-            key = tuple(ls[i : i + k])
-            if key in seen:
+            known = places.setdefault(tuple(ls[i : i + k]), [])
+            for other, j in known:
+                n = k
+                while i + n < len(ls) and j + n < len(other) and ls[i + n] == other[j + n]:
+                    n += 1
+                longest = max(longest, n)
+            if known:
                 gone.update(range(i, i + k))
-            seen.add(key)
-        out[d] = (len(ls), len(gone), "\n".join(x for i, x in enumerate(ls) if i not in gone))
+            known.append((ls, i))
+        out[d] = (len(ls), len(gone), "\n".join(x for i, x in enumerate(ls) if i not in gone), longest)
     return out
 
 
@@ -384,10 +390,23 @@ def test_lines(which, k, request):
     want = slow_lines({d: t for d, t in texts_of(df).items() if d not in nulls}, k)
     for r in out.itertuples():
         if r.doc_id in nulls:
-            assert r.text is None and (r.n_lines, r.n_removed) == (0, 0)
+            assert r.text is None and (r.n_lines, r.n_removed, r.longest_run) == (0, 0, 0)
         else:
-            assert (r.n_lines, r.n_removed, r.text) == want[r.doc_id]
-            assert (r.longest_run > 0) == (r.n_removed > 0)
+            assert (r.n_lines, r.n_removed, r.text, r.longest_run) == want[r.doc_id]
+
+
+def test_lines_runs(spark):
+    """Runs that touch are not one run; the longest match may be with another place than the first; random texts."""
+    rng = random.Random(6)
+    texts = {1: "a\nb", 2: "c\nd", 3: "a\nb\nc\nd", 4: "z\na\nb\nc\ny", 5: "a\nb\nc\nx", 6: "\n".join("q" * 9)}
+    texts |= {10 + k: "\n".join(rng.choice("ab") for _ in range(rng.randrange(40))) for k in range(12)} | {30 + k: "\n".join(rng.choice("abcdefgh") for _ in range(rng.randrange(60))) for k in range(12)}
+    texts |= {50 + k: "\n".join([*map(str, range(k, k + 37)), "end"]) for k in range(0, 20, 5)}
+    df = spark.createDataFrame([(k, v, 7, 8) for k, v in texts.items()], "doc_id long, text string, pos int, _gone int")
+    for k in (2, 3):
+        got = {r["doc_id"]: (r["n_lines"], r["n_removed"], r["text"], r["longest_run"]) for r in lines.dedup_lines(df, k).collect()}
+        assert got == slow_lines(texts, k)
+    assert got[6][3] == 8
+    assert {r["doc_id"]: r["longest_run"] for r in lines.dedup_lines(df.filter("doc_id < 4")).collect()} == {1: 0, 2: 0, 3: 2}
 
 
 def test_language(spark, corpus):

@@ -25,7 +25,7 @@ def test_stages(spark, tmp_path):
     before, after = outs["language"]
     assert after.count() >= 0.97 * before.count()
     before, after = outs["line_dedup"]
-    want = {d: text for d, (n, gone, text) in slow_lines(texts_of(before), 2).items() if gone < n}
+    want = {d: text for d, (n, gone, text, _) in slow_lines(texts_of(before), 2).items() if gone < n}
     assert texts_of(after) == want
     before, after = outs["near_dedup"]
     assert sorted(texts_of(after)) == sorted(d for d, (_, c) in slow_components(texts_of(before), 5, 80).items() if c == d)
