@@ -361,6 +361,18 @@ def test_substrings_random(spark):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out.itertuples()} == slow_substrings(texts, 7)
 
 
+def test_substrings_survive_hash_collisions(spark, docs, monkeypatch):
+    """Texts decide: the result is the same if windows share 32 hashes."""
+    plain = substrings.gram_hashes
+    monkeypatch.setattr(substrings, "gram_hashes", lambda words, size: plain(words, size) % np.uint64(32))
+    rng = random.Random(9)
+    texts = {k: " ".join(rng.choice("abc") for _ in range(rng.randrange(80))) for k in range(60)}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for frame, some, window in ((df, texts, 7), (docs, texts_of(docs), 13)):
+        out = substrings.remove_repeats(frame, window=window, seed=3).toPandas()
+        assert {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in out.itertuples()} == slow_substrings(some, window)
+
+
 def slow_lines(texts, k):
     """Per document: lines, removed lines, what is left, and the longest run that starts at an earlier place too."""
     places, out = {}, {}
