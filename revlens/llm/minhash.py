@@ -9,8 +9,8 @@ signatures of the pairs that the prefix lists give. Pairs with ``agree`` collisi
 No list is expanded into pairs. Each list has one pivot, the document whose pairs are the most common:
 
 1. every document of a list is counted and confirmed against the pivot; links found that way join whole groups of copies;
-2. of the documents that met the pivot, those outside of its component are the queries; collisions of queries with all
-   the others are counted in blocks of bounded size, then confirmed on full sets. Pairs that already are in one component
+2. of the documents that met the pivot, those not joined to it that way are the queries; collisions of queries with all
+   the others are counted in blocks of bounded size, then confirmed on full sets. Pairs that already are joined
    say nothing new and are skipped, as are those whose distances to the pivot rule a link out (the Hamming distance of
    signatures and the Jaccard distance of sets are metrics).
 
@@ -194,7 +194,7 @@ def block_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
 
 
 def possible(table: pa.Table, q: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs of queries and bases that a link would tell something about: not yet in one component, and not ruled out by
+    """Pairs of queries and bases that a link would tell something about: not yet joined, and not ruled out by
     their distances to the pivot."""
     label = table.column("label").to_numpy()
     far = table.column("far").to_numpy()  # NaN where the distance to the pivot is not known
@@ -202,7 +202,7 @@ def possible(table: pa.Table, q: np.ndarray, b: np.ndarray, percent: int) -> np.
 
 
 def in_blocks(members: DataFrame, queries: int, bases: int, slack: int) -> DataFrame:
-    """Deal each cluster's queries (members outside of its pivot's component) to blocks against blocks of all its members.
+    """Deal each cluster's queries (members not yet joined to its pivot) to blocks against blocks of all its members.
 
     A block has about ``queries`` queries and ``bases`` bases. A cluster with few queries sends its members to one block
     each; nothing is paired here. ``slack``: in so many coordinates linked documents may differ, so a member much nearer
@@ -220,7 +220,7 @@ def in_blocks(members: DataFrame, queries: int, bases: int, slack: int) -> DataF
 
 
 def colliding(members: DataFrame, sigs: DataFrame, agree: int, coordinates: int, percent: int) -> DataFrame:
-    """The members of each cluster that collide in at least ``agree`` coordinates across components: pivot, doc_id."""
+    """The members of each cluster that collide in at least ``agree`` coordinates and are not joined: pivot, doc_id."""
 
     def run(table: pa.Table) -> pa.Table:
         sig = np.stack([np.frombuffer(x, np.uint32) for x in table.column("sig").to_pylist()])
@@ -239,7 +239,7 @@ def colliding(members: DataFrame, sigs: DataFrame, agree: int, coordinates: int,
 
 
 def cluster_links(members: DataFrame, sets: DataFrame, slack: int, percent: int) -> DataFrame:
-    """Links inside of clusters between different components, confirmed on full sets: a, b."""
+    """Links inside of clusters between members not yet joined, confirmed on full sets: a, b."""
 
     def run(table: pa.Table) -> pa.Table:
         found = block_links(table, percent)
@@ -274,6 +274,16 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return cut(near.join(wanted, "doc_id", "left_semi").mapInArrow(to_sets, "doc_id long, set binary").filter("length(set) > 0"))
 
 
+def meeting(links: DataFrame, rounds: int = 4) -> DataFrame:
+    """node, label: the smallest node within ``rounds`` links. Nodes of one label are connected; not all that are have one."""
+    edges = cut(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))))
+    label = edges.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("label"))
+    for _ in range(rounds - 1):
+        told = edges.join(label.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), "label")
+        label = told.unionByName(label).groupBy("node").agg(F.min("label").alias("label"))
+    return label
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node), for nodes that have links. links: a, b.
 
@@ -284,9 +294,9 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
         large = cut(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
@@ -323,16 +333,17 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, coordi
     near = linked(F.col("shared"), F.col("n"), F.col("m"), percent)
     far = 1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
     measured = cut(with_shared(with_set).select("doc_id", "pivot", near.alias("near"), far.alias("far")))
-    stars = cut(components(measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))))
+    links = measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
+    stars = cut(meeting(links))
 
     members = pairs.join(measured.select("doc_id", "pivot", "far"), ["doc_id", "pivot"], "left")
-    members = members.join(stars.select(F.col("node").alias("doc_id"), F.col("component").alias("label")), "doc_id", "left")
-    members = members.join(stars.select(F.col("node").alias("pivot"), F.col("component").alias("pivot_label")), "pivot", "left")
+    members = members.join(stars.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left")
+    members = members.join(stars.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
     members = cut(members.select("pivot", "doc_id", F.coalesce("label", "doc_id").alias("label"), F.coalesce("pivot_label", "pivot").alias("pivot_label"), (coordinates - F.col("same")).alias("apart"), F.coalesce("far", F.lit(float("nan"))).alias("far")))
     found = cut(colliding(members, reps, agree, coordinates, percent))
     members = cut(members.join(found, ["pivot", "doc_id"], "left_semi"))
     sets = fetch_sets(texts, cut(found.select("doc_id").distinct()), size)
-    links = stars.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(cluster_links(members, sets, coordinates - agree, percent))
+    links = links.unionByName(cluster_links(members, sets, coordinates - agree, percent))
     # rows that share an id but not a text
     several = full.groupBy("doc_id").agg(F.min("same").alias("x"), F.max("same").alias("y")).filter("x <> y").select("doc_id")
     twice = full.join(several, "doc_id").join(classes.select("same", "rep"), "same").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
