@@ -423,11 +423,14 @@ def test_lines_runs(spark):
 
 def test_language(spark, corpus):
     df = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    odd = spark.createDataFrame([(90_000, None, "en"), (90_001, "", "en"), (90_002, "123 %%%", None), (90_003, "Q", None)], "doc_id long, text string, lang string")
+    odd = spark.createDataFrame([(90_000, None, "en"), (90_001, "", "en"), (90_002, "123 %%%", None), (90_003, "Q", None), (90_004, "\U00020000\U00020001 \U0002a6d0", None)], "doc_id long, text string, lang string")
     both = df.select("doc_id", "text", "lang").unionByName(odd)
     out = langid.predict(both, langid.fit(both)).toPandas().set_index("doc_id")
     assert len(out) == both.count() and out.score.between(0, 1).all()
-    assert (out.loc[[90_000, 90_001, 90_002]].lang_pred == "und").all() and out.loc[90_003].lang_pred != "und"
+    assert (out.loc[[90_000, 90_001, 90_002]].lang_pred == "und").all() and (out.loc[[90_003, 90_004]].lang_pred != "und").all()
+    clash = both.withColumn("score", F.lit("x")).withColumn("rejected", F.lit(1)).filter("doc_id < 9")
+    kept = langid.predict(clash, langid.fit(both), keep=["doc_id", "score", "rejected", "text"])
+    assert sorted(kept.columns) == ["doc_id", "lang_pred", "rejected", "score", "text"] and dict(kept.dtypes)["score"] == "double"
     truth = df.toPandas().set_index("doc_id").lang
     held = [d for d in truth.index if zlib.crc32(str(d).encode()) % 5 == 0]
     assert (out.loc[held].lang_pred == truth[held]).mean() > 0.97
@@ -453,6 +456,17 @@ def test_language_rejects_the_unknown(spark):
     assert 1.7 < langid.limit_of(own, wrong) <= 3.0
 
 
+def test_language_sample_is_bounded(spark, monkeypatch):
+    """Different texts, at most so many and so many characters a language; a text copied through the corpus counts once."""
+    rows = [(f"l{k % 2}", f"text {k % 40} " + "x" * (k % 40)) for k in range(400)] + [("l0", "copied")] * 300 + [("l1", "y" * 5000)]
+    df = spark.createDataFrame(rows, "lang string, text string")
+    got = langid.sample(df, 2, 12).toPandas()
+    assert (got.groupby("lang").text.nunique() == 12).all() and len(got) == 24
+    monkeypatch.setattr(langid, "FIT_CHARS", 300)
+    got = langid.sample(df, 2, 1000).toPandas()
+    assert (got.groupby("lang").text.apply(lambda t: t.str.len().sum()) <= 300).all() and not got.text.duplicated().any()
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     symbols = rng.integers(1, 6, 400).astype(np.uint64)
