@@ -14,17 +14,21 @@ def canonical_hash(value) -> str:
 
 @dataclass(frozen=True)
 class FilterPolicy:
+    #: Names and defaults are what the policy's hash is made of; the terms keep a short review.
     policy_version: str = "eligibility-v1"
     large_corpus_threshold: int = 10_000
     short_character_threshold: int = 10
     short_word_threshold: int = 3
     repeated_character_ratio: float = 0.8
     repeated_token_threshold: int = 3
-    #: Terms that keep a short review.
     high_signal_terms: tuple[str, ...] = ("bug", "crash", "error", "lag", "love", "hate", "refund", "refundé", "おすすめ", "喜欢", "плохо", "ошибка")
 
+    def folded_terms(self) -> list[str]:
+        return sorted(term.casefold() for term in self.high_signal_terms)
+
     def hash(self) -> str:
-        return canonical_hash(asdict(self))
+        """Depends on what the policy means, not on the order or case of its terms."""
+        return canonical_hash(asdict(self) | {"high_signal_terms": self.folded_terms()})
 
 
 @dataclass(frozen=True)
@@ -65,10 +69,15 @@ class Cohorts:
 
 
 @dataclass(frozen=True)
-class CrawlPolicy:
-    retries: int = 3
-    backoff_seconds: float = 1.0
-    overlap_seconds: int = 86_400
+class BriefLimits:
+    """Most items of a recommendation set and of the payload behind it."""
+
+    metrics: int = 120
+    evidence: int = 24
+    findings: int = 8
+    priorities: int = 10
+    risks: int = 8
+    vulnerabilities: int = 8
 
 
 #: Label sets of the structured result.

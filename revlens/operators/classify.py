@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..config import ABANDONMENT_TYPES, POSTURES, SENTIMENTS
+from ..functions.text import stripped
 from .state import latest
 
 KEYS = ["appid", "recommendationid"]
@@ -21,15 +22,16 @@ def parsed(rows: DataFrame) -> DataFrame:
 
 
 def latest_success(rows: DataFrame) -> DataFrame:
-    """One successful classification per review: the latest by update time, then run."""
-    return latest(rows.filter("status = 'success'"), KEYS, F.desc("updated_at"), F.desc("run_id"))
+    """One successful classification per review, parsed: the latest by update time, then run."""
+    return parsed(latest(rows.filter("status = 'success'"), KEYS, F.desc("updated_at"), F.desc("run_id")))
 
 
 def current(reviews: DataFrame, decisions: DataFrame, classifications: DataFrame) -> DataFrame:
-    """Eligible reviews with their latest success for the same text. The one current view that all readers share."""
-    eligible = decisions.filter("decision = 'eligible' and obsolete_at is null").select(*KEYS)
+    """Eligible reviews with their latest success for the same text, and the policy that admitted them. The one current
+    view that all readers share."""
+    eligible = decisions.filter("decision = 'eligible' and obsolete_at is null").select(*KEYS, "policy_hash")
     labelled = latest_success(classifications).select(*KEYS, "source_hash", "run_id", "result")
-    return reviews.join(eligible, KEYS, "left_semi").join(labelled, [*KEYS, "source_hash"])
+    return reviews.join(eligible, KEYS).join(labelled, [*KEYS, "source_hash"])
 
 
 def unclassified(reviews: DataFrame, classifications: DataFrame, identity: list[str]) -> DataFrame:
@@ -48,28 +50,94 @@ def aspects(current_rows: DataFrame) -> DataFrame:
     return current_rows.withColumn("aspect", F.explode("result.aspects")).select(*[c for c in current_rows.columns if c != "result"], "aspect.*", F.col("result.overall_sentiment").alias("overall_sentiment"))
 
 
-def validation_error(result: Column, review_text: Column, taxonomy: list[str]) -> Column:
-    """Code of the first broken rule, or null."""
+RESULT_KEYS = ("review_id", "is_actionable", "engagement_posture", "overall_sentiment", "sentiment_intensity", "aspects", "use_cases", "self_reported_abandonment", "summary")
+ASPECT_KEYS = ("taxonomy_id", "sentiment", "intensity", "evidence", "feature_request", "confidence")
+
+
+def _kind(v: Column, path: str) -> Column:
+    """Type of what stands at a path: VOID for null, SQL null where there is nothing."""
+    return F.schema_of_variant(F.try_variant_get(v, path, "variant"))
+
+
+def _text(v: Column, path: str) -> Column:
+    return F.when(_kind(v, path) == "STRING", F.try_variant_get(v, path, "string"))
+
+
+def _outside(v: Column, path: str, least: float, most: float) -> Column:
+    """Whether a value is no number (true and false are none) or out of its range."""
+    number = _kind(v, path).rlike(r"^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
+    return ~F.coalesce(number & F.try_variant_get(v, path, "double").between(least, most), F.lit(False))
+
+
+def _missing(v: Column, keys: tuple[str, ...]) -> Column:
+    found = F.lit(False)
+    for key in keys:
+        found = found | _kind(v, f"$.{key}").isNull()
+    return found
+
+
+def _is_object(v: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
+
+
+def validation_error(result_json: Column, review_text: Column, taxonomy: list[str]) -> Column:
+    """Code of the first rule that a result's JSON text breaks, or null.
+
+    The rules stand in the order in which a result is read: the object, its keys, labels and intensity, then each aspect,
+    then the statement of abandonment. ``review_text`` is null for an ``input_id`` that was not asked for.
+    """
+    v = F.try_parse_json(result_json)
+    aspects = F.coalesce(F.try_variant_get(v, "$.aspects", "array<variant>"), F.array().cast("array<variant>"))
 
     def any_aspect(rule: Callable[[Column], Column]) -> Column:
-        return F.exists(F.coalesce(result["aspects"], F.array().cast("array<struct<taxonomy_id:string,sentiment:string,intensity:int,evidence:string,feature_request:string,confidence:double>>")), lambda a: F.coalesce(rule(a), F.lit(True)))
+        return F.exists(aspects, rule)
+
+    def not_in(x: Column, values) -> Column:
+        return ~F.coalesce(x.isin(*values), F.lit(False))
 
-    abandonment = result["self_reported_abandonment"]
+    def no_evidence(a: Column) -> Column:
+        quote = _text(a, "$.evidence")
+        return ~F.coalesce((stripped(quote) != "") & F.contains(review_text, quote), F.lit(False))
+
+    abandonment = F.try_variant_get(v, "$.self_reported_abandonment", "variant")
     return (
-        F.when(result.isNull() | result["input_id"].isNull(), "not_an_object")
-        .when(result["engagement_posture"].isNull() | result["overall_sentiment"].isNull() | result["aspects"].isNull() | abandonment.isNull(), "missing_field")
-        .when(~result["engagement_posture"].isin(*POSTURES), "posture")
-        .when(~result["overall_sentiment"].isin(*SENTIMENTS), "sentiment")
-        .when(~F.coalesce(result["sentiment_intensity"].between(1, 5), F.lit(False)), "intensity")
-        .when(any_aspect(lambda a: ~a["taxonomy_id"].isin(*taxonomy)), "taxonomy")
-        .when(any_aspect(lambda a: ~a["sentiment"].isin(*SENTIMENTS)), "aspect_sentiment")
-        .when(any_aspect(lambda a: ~a["confidence"].between(0, 1)), "confidence")
-        .when(any_aspect(lambda a: (F.btrim(a["evidence"]) == "") | ~F.contains(review_text, a["evidence"])), "evidence")
-        .when(F.coalesce(abandonment["verified"], F.lit(True)), "verified")
-        .when(~F.coalesce(abandonment["statement_type"].isin(*ABANDONMENT_TYPES), F.lit(True)), "statement_type")
+        F.when(~_is_object(v), "not_an_object")
+        .when(_text(v, "$.input_id").isNull() | review_text.isNull(), "unknown_input")
+        .when(_missing(v, RESULT_KEYS), "missing_field")
+        .when(not_in(_text(v, "$.engagement_posture"), POSTURES), "posture")
+        .when(not_in(_text(v, "$.overall_sentiment"), SENTIMENTS), "sentiment")
+        .when(_outside(v, "$.sentiment_intensity", 1, 5), "intensity")
+        .when(~F.coalesce(_kind(v, "$.aspects").startswith("ARRAY"), F.lit(False)), "aspects")
+        .when(any_aspect(lambda a: ~_is_object(a)), "aspect_not_an_object")
+        .when(any_aspect(lambda a: _missing(a, ASPECT_KEYS)), "aspect_missing_field")
+        .when(any_aspect(lambda a: not_in(_text(a, "$.taxonomy_id"), taxonomy)), "taxonomy")
+        .when(any_aspect(lambda a: not_in(_text(a, "$.sentiment"), SENTIMENTS)), "aspect_sentiment")
+        .when(any_aspect(lambda a: _outside(a, "$.intensity", 1, 5)), "aspect_intensity")
+        .when(any_aspect(lambda a: _outside(a, "$.confidence", 0, 1)), "confidence")
+        .when(any_aspect(no_evidence), "evidence")
+        .when(~_is_object(abandonment), "abandonment_not_an_object")
+        .when(~F.coalesce((_kind(abandonment, "$.verified") == "BOOLEAN") & ~F.try_variant_get(abandonment, "$.verified", "boolean"), F.lit(False)), "verified")
+        .when(~F.coalesce(_kind(abandonment, "$.statement_type") == "VOID", F.lit(True)) & not_in(_text(abandonment, "$.statement_type"), ABANDONMENT_TYPES), "statement_type")
     )
 
 
+def batch_errors(answers: DataFrame, asked: DataFrame, taxonomy: list[str]) -> DataFrame:
+    """One row per asked batch: batch, error (null: every asked id has one valid result and there are no others).
+
+    answers: batch, position, result_json. asked: batch, input_id, review_text. The first broken result of a batch gives
+    its code; an id that is answered twice is ``duplicate_input``, one without an answer ``missing_ids``.
+    """
+    named = answers.withColumn("input_id", F.get_json_object("result_json", "$.input_id"))
+    nth = F.row_number().over(Window.partitionBy("batch", "input_id").orderBy("position"))
+    rows = named.withColumn("_nth", nth).join(asked.select("batch", "input_id", "review_text"), ["batch", "input_id"], "left")
+    code = F.when(F.col("review_text").isNotNull() & (F.col("_nth") > 1), "duplicate_input").otherwise(validation_error(F.col("result_json"), F.col("review_text"), taxonomy))
+    judged = rows.withColumn("code", code)
+    first = judged.filter("code is not null").groupBy("batch").agg(F.min_by("code", "position").alias("first"))
+    answered = judged.filter("review_text is not null").select("batch", "input_id").distinct().withColumn("_there", F.lit(True))
+    missing = asked.join(answered, ["batch", "input_id"], "left").groupBy("batch").agg(F.count_if(F.col("_there").isNull()).alias("missing"))
+    return missing.join(first, "batch", "left").select("batch", F.coalesce("first", F.when(F.col("missing") > 0, "missing_ids")).alias("error"))
+
+
 def run_batches(planned: DataFrame, provider: Callable[[list[dict]], list[dict]], *, min_split: int = 1) -> DataFrame:
     """Call a provider per planned batch: batch, input_id, status, result_json.
 

@@ -46,4 +46,4 @@ def select(rows: DataFrame, limits: EvidenceLimits = EvidenceLimits()) -> DataFr
             taken.append(r)
     spark = rows.sparkSession
     schema = rows.schema
-    return spark.createDataFrame([tuple(r[c] for c in schema.names) for r in taken], schema).withColumn("selection_reason", F.lit("score_order"))
+    return spark.createDataFrame([tuple(r[c] for c in schema.names) for r in taken], schema).withColumn("selection_reason", F.lit("confidence_then_stable_diversity"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COHORT_NAMES, FRICTION, POSTURES, SENTIMENTS, Cohorts
-from ..functions.text import rate
+from ..functions.text import json_object, rate
 
 GRAIN = ["appid", "language", "polarity"]
 
@@ -19,47 +19,93 @@ def with_polarity(current: DataFrame) -> DataFrame:
     return current.withColumn("appid", F.col("appid").cast("string")).withColumn("polarity", F.when(F.col("voted_up"), "positive").otherwise("negative"))
 
 
-def cells(current: DataFrame, limits: Cohorts = Cohorts()) -> DataFrame:
-    """One scan of the current view, reduced to counts by grain, posture and cohort; every family but aspects reads it."""
-    rows = with_polarity(current)
-    return rows.groupBy(*GRAIN, F.col("result.engagement_posture").alias("posture"), cohort(F.col("playtime_at_review"), limits).alias("cohort")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.col("refunded").cast("long")).alias("refunded"),
-        F.sum("votes_up").alias("votes"),
-        F.count_if(F.coalesce(F.col("result.self_reported_abandonment.mentioned"), F.lit(False))).alias("mentioned"),
+#: What the metrics read of the current view.
+NO_PAIR = "array<struct<taxonomy_id:string,sentiment:string>>"
+
+
+def counted(current: DataFrame, limits: Cohorts = Cohorts(), aspects: bool = True) -> DataFrame:
+    """One scan of the current view, reduced to counts; every family reads this.
+
+    Each review gives a row for its posture and cohort and, with ``aspects``, one per different (taxonomy id, sentiment) of
+    its aspects. Aspects without a taxonomy id are left out.
+    """
+    pairs = F.array_distinct(F.transform("result.aspects", lambda a: F.struct(a["taxonomy_id"].alias("taxonomy_id"), a["sentiment"].alias("sentiment"))))
+    named = F.coalesce(F.filter(pairs, lambda a: a["taxonomy_id"].isNotNull()), F.array().cast(NO_PAIR)) if aspects else F.array().cast(NO_PAIR)
+    none = F.array(F.struct(F.lit(None).cast("string").alias("taxonomy_id"), F.lit(None).cast("string").alias("sentiment")))
+    rows = with_polarity(current).select(
+        *GRAIN,
+        F.col("result.engagement_posture").alias("posture"),
+        cohort(F.col("playtime_at_review"), limits).alias("cohort"),
+        F.col("refunded").cast("long").alias("refunded"),
+        "votes_up",
+        F.coalesce(F.col("result.self_reported_abandonment.mentioned"), F.lit(False)).alias("mentioned"),
+        F.inline(F.concat(none, named)),
+    )
+    own = F.col("taxonomy_id").isNull()
+    rows = rows.withColumn("posture", F.when(own, F.col("posture"))).withColumn("cohort", F.when(own, F.col("cohort")))
+    return rows.groupBy(*GRAIN, "posture", "cohort", "taxonomy_id", "sentiment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("refunded").alias("refunded"), F.sum("votes_up").alias("votes"), F.count_if("mentioned").alias("mentioned")
     )
 
 
-def dense(counted: DataFrame) -> DataFrame:
-    """One row per (app, language, polarity) with every count a fixed family needs. Both polarities come from conditional
-    sums over the same cells, so the rows are dense and filled with 0 without a join."""
+def dense(cells: DataFrame) -> DataFrame:
+    """One row per (app, language, polarity) with every count the families need. Both polarities come from conditional
+    sums over the same cells, so the rows are dense and filled with 0 without a join. ``aspects`` has the counts of each
+    taxonomy id and sentiment (as many as the taxonomy has)."""
+    own = F.col("taxonomy_id").isNull()
 
     def total(column: str, where: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(where, F.col(column))), F.lit(0)).alias(name)
 
     def counts(polarity: str) -> Column:
-        mine = F.col("polarity") == polarity
+        mine = (F.col("polarity") == polarity) & own
         friction = mine & F.col("posture").isin(*FRICTION)
+        aspect = F.struct("taxonomy_id", "sentiment", "n")
         return F.struct(
             F.lit(polarity).alias("polarity"),
             *[total(c, mine, c) for c in ("n", "refunded", "votes", "mentioned")],
             *[total("n", mine & (F.col("posture") == p), f"posture_{p}") for p in POSTURES],
             *[total("n", mine & (F.col("cohort") == c), f"cohort_{c}") for c in COHORT_NAMES],
             *[total("n", friction & (F.col("cohort") == c), f"friction_{c}") for c in COHORT_NAMES],
+            F.collect_list(F.when(~own & (F.col("polarity") == polarity), aspect)).alias("aspects"),
         )
 
-    rows = counted.groupBy("appid", "language").agg(F.sum("n").alias("all"), F.array(counts("positive"), counts("negative")).alias("by_polarity"))
+    rows = cells.groupBy("appid", "language").agg(total("n", own, "all"), F.array(counts("positive"), counts("negative")).alias("by_polarity"))
     return rows.select("appid", "language", "all", F.inline("by_polarity"))
 
 
-def entry(name: str, numerator: str, denominator: str, **extra: Column) -> Column:
-    """One metric of a row: name, dimensions in key order, numerator and denominator."""
+#: What each family's denominator is, and what has to be said with its numbers.
+POPULATION = {
+    "review_count": "eligible classified reviews",
+    "posture_rate": "classified reviews of polarity",
+    "aspect_rate": "classified reviews of polarity",
+    "refunded_rate": "classified reviews of polarity",
+    "abandonment_mention_rate": "classified reviews of polarity",
+    "helpfulness_visibility": "up-vote visibility among classified reviews of polarity",
+    "friction_rate": "classified reviews in playtime cohort",
+}
+CAVEATS = {
+    "refunded_rate": "API refund fact is distinct from textual abandonment evidence",
+    "abandonment_mention_rate": "self-reported abandonment is unverified text evidence",
+    "helpfulness_visibility": "visibility weighting is separate from unweighted prevalence",
+    "friction_rate": "low playtime indicates early friction, not verified churn",
+}
+
+
+def entry(name: str, numerator: Column | str, denominator: str, **extra: Column) -> Column:
+    """One metric of a row: name, dimensions in key order (compact, and spaced as they are stored), numerator, denominator, caveats."""
     dims = {k: F.col(k) for k in GRAIN} | extra
+    caveats = F.to_json(F.array(F.lit(CAVEATS[name]))) if name in CAVEATS else F.lit("[]")
+    if name == "friction_rate":
+        caveats = F.when(extra["cohort"] == "early", caveats).otherwise("[]")
     return F.struct(
         F.lit(name).alias("metric_name"),
-        F.to_json(F.struct(*[dims[k].alias(k) for k in sorted(dims)])).alias("dimensions_json"),
-        F.col(numerator).cast("long").alias("numerator"),
+        json_object(dims).alias("dimensions_json"),
+        json_object(dims, spaced=True).alias("dimensions_spaced"),
+        (F.col(numerator) if isinstance(numerator, str) else numerator).cast("long").alias("numerator"),
         F.col(denominator).cast("long").alias("denominator"),
+        F.lit(POPULATION[name]).alias("population_definition"),
+        caveats.alias("caveats_json"),
     )
 
 
@@ -91,6 +137,19 @@ def friction_rate() -> list[Column]:
 FIXED = (review_count, posture_rate, refunded_rate, abandonment_mention_rate, helpfulness_visibility, friction_rate)
 
 
+def aspect_entries() -> Column:
+    """Four sentiments of each taxonomy id that the row's aspects have."""
+    ids = F.array_distinct(F.transform("aspects", lambda a: a["taxonomy_id"]))
+
+    def of(taxonomy: Column) -> Column:
+        def hits(sentiment: str) -> Column:
+            return F.aggregate(F.filter("aspects", lambda a: (a["taxonomy_id"] == taxonomy) & (a["sentiment"] == sentiment)), F.lit(0).cast("long"), lambda n, a: n + a["n"])
+
+        return F.array(*[entry("aspect_rate", hits(s), "n", taxonomy_id=taxonomy, sentiment=F.lit(s)) for s in SENTIMENTS])
+
+    return F.flatten(F.transform(ids, of))
+
+
 def finished(entries: DataFrame) -> DataFrame:
     """Adds the id (a hash of name and dimensions) and the rate."""
     ident = F.substring(F.sha2(F.concat(F.lit('["'), "metric_name", F.lit('",'), "dimensions_json", F.lit("]")), 256), 1, 24)
@@ -99,28 +158,28 @@ def finished(entries: DataFrame) -> DataFrame:
 
 def fixed_metrics(current: DataFrame, limits: Cohorts = Cohorts(), families: tuple = FIXED) -> DataFrame:
     """The given families from one pass over the current view."""
-    return finished(dense(cells(current, limits)).select(F.inline(F.array(*[e for f in families for e in f()]))))
+    return finished(dense(counted(current, limits, aspects=False)).select(F.inline(F.array(*[e for f in families for e in f()]))))
 
 
 def aspect_rate(current: DataFrame) -> DataFrame:
-    """Share of reviews with at least one matching aspect; several equal aspects of a review count once.
-
-    Each review also gives one row without an aspect; those rows are the denominator, so one aggregation is enough.
-    Aspects without a taxonomy id are left out.
-    """
-    pairs = F.array_distinct(F.transform("result.aspects", lambda a: F.struct(a["taxonomy_id"].alias("taxonomy_id"), a["sentiment"].alias("sentiment"))))
-    named = F.coalesce(F.filter(pairs, lambda a: a["taxonomy_id"].isNotNull()), F.array().cast("array<struct<taxonomy_id:string,sentiment:string>>"))
-    none = F.array(F.struct(F.lit(None).cast("string").alias("taxonomy_id"), F.lit(None).cast("string").alias("sentiment")))
-    rows = with_polarity(current).select(*GRAIN, F.inline(F.concat(named, none)))
-    hits = rows.groupBy(*GRAIN, "taxonomy_id").agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("sentiment") == s).alias(s) for s in SENTIMENTS])
-    whole = F.max(F.when(F.col("taxonomy_id").isNull(), F.col("rows"))).over(Window.partitionBy(*GRAIN))
-    entries = F.array(*[entry("aspect_rate", s, "n", taxonomy_id=F.col("taxonomy_id"), sentiment=F.lit(s)) for s in SENTIMENTS])
-    return finished(hits.withColumn("n", whole).filter("taxonomy_id is not null").select(F.inline(entries)))
+    """Share of reviews with at least one matching aspect; several equal aspects of a review count once."""
+    return finished(dense(counted(current)).select(F.inline(aspect_entries())))
 
 
 def all_metrics(current: DataFrame, limits: Cohorts = Cohorts()) -> DataFrame:
-    """Two passes over the current view: the fixed families together, and the aspects."""
-    return fixed_metrics(current, limits).unionByName(aspect_rate(current))
+    """All families from one pass over the current view."""
+    fixed = F.array(*[e for f in FIXED for e in f()])
+    return finished(dense(counted(current, limits)).select(F.inline(F.concat(fixed, aspect_entries()))))
+
+
+def stored(metrics: DataFrame, run_id: str, source_count: Column, classified_count: Column) -> DataFrame:
+    """Metrics as an append-only run keeps them, with the run's coverage (see :func:`coverage`)."""
+    rate_text = F.when(source_count > 0, (classified_count / source_count).cast("string")).otherwise("null")
+    numbers = {"classified_count": classified_count.cast("string"), "coverage_rate": rate_text, "source_count": source_count.cast("string"), "unclassified_count": F.greatest(F.lit(0), source_count - classified_count).cast("string")}
+    text = F.concat(F.lit("{"), F.concat_ws(", ", *[F.concat(F.lit(f'"{k}": '), v) for k, v in numbers.items()]), F.lit("}"))
+    return metrics.select(
+        F.lit(run_id).alias("run_id"), "metric_id", "metric_name", F.col("dimensions_spaced").alias("dimensions_json"), "numerator", "denominator", "value", "population_definition", text.alias("coverage_json"), "caveats_json"
+    )
 
 
 def coverage(source: DataFrame, current: DataFrame) -> DataFrame:
@@ -133,3 +192,10 @@ def lineage(current: DataFrame) -> DataFrame:
     """Number of different texts and the sorted run ids behind the current view. Hashes are counted, not gathered."""
     runs = current.select("run_id").distinct()
     return current.agg(F.countDistinct("source_hash").alias("source_hashes")).crossJoin(runs.agg(F.array_join(F.array_sort(F.collect_list("run_id")), ",").alias("run_ids")))
+
+
+def lineage_values(current: DataFrame) -> DataFrame:
+    """kind, value: every text hash, run and policy behind the current view, one row each, however many there are."""
+    kinds = {"source_hash": "source_hash", "classification_run_id": "run_id", "eligibility_policy_hash": "policy_hash"}
+    values = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()])
+    return current.select(F.inline(values)).distinct()

@@ -5,11 +5,13 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..config import canonical_hash
+from ..config import BriefLimits, canonical_hash
+from ..functions.text import claims_geography
+from .classify import aspects
 
 
 def shaped(df: DataFrame, dataset: str) -> DataFrame:
@@ -17,23 +19,94 @@ def shaped(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*[(F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in schemas.columns(schemas.EXPORTS[dataset])])
 
 
-def export_parquet(datasets: dict[str, DataFrame], path: str, lineage: dict, *, files: int = 0) -> dict:
-    """Write the datasets, sorted within files, with zstd, and return the manifest. ``files`` 0 leaves their number to Spark."""
+def export_parquet(datasets: dict[str, DataFrame], path: str, lineage: dict, *, project_id: str = "", files: int = 0) -> dict:
+    """Write the datasets, sorted within files, with zstd, and return the manifest. ``files`` 0 leaves their number to Spark.
+
+    Rows are counted while they are written.
+    """
     spark: SparkSession | None = None
     counts = {}
     for name, df in datasets.items():
         spark = df.sparkSession
         rows = shaped(df, name)
         order = [F.col(c) for c in schemas.EXPORT_ORDER[name]]
-        rows = rows.repartitionByRange(files, *order) if files else rows.repartitionByRange(*order)
-        rows.sortWithinPartitions(*order).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
-        counts[name] = spark.read.parquet(f"{path}/{name}").count()
-    manifest = {"schema_version": schemas.SCHEMA_VERSION, "lineage": lineage, "lineage_hash": canonical_hash(lineage), "row_counts": counts}
+        rows = rows.repartitionByRange(files, *order) if files else rows
+        seen = Observation(name)
+        rows.sortWithinPartitions(*order).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
+        counts[name] = seen.get["n"]
+    manifest = {
+        "export_schema_version": schemas.SCHEMA_VERSION,
+        "project_id": project_id,
+        "lineage": lineage,
+        "lineage_hash": canonical_hash(lineage),
+        "datasets": {name: {"path": name, "rows": n} for name, n in counts.items()},
+        "partition_policy": "one folder a dataset; files are sorted by the dataset's order",
+    }
     if spark is not None:
         spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
     return manifest
 
 
+def classification_rows(current: DataFrame, project_id: str) -> DataFrame:
+    """The exported classifications of the current view."""
+    r = F.col("result")
+    named = {"overall_sentiment": r["overall_sentiment"], "engagement_posture": r["engagement_posture"], "actionable": r["is_actionable"], "self_reported_abandonment": r["self_reported_abandonment"]["mentioned"]}
+    return shaped(current.withColumn("project_id", F.lit(project_id)).withColumns(named), "classifications")
+
+
+def aspect_rows(current: DataFrame, project_id: str) -> DataFrame:
+    return shaped(aspects(current).withColumn("project_id", F.lit(project_id)), "aspects")
+
+
+def quote_rows(selected: DataFrame, project_id: str, run_id: str) -> DataFrame:
+    """The exported quotes of a run, from :func:`evidence.select`."""
+    return shaped(selected.withColumn("project_id", F.lit(project_id)).withColumn("run_id", F.lit(run_id)), "quotes")
+
+
+def metric_error() -> Column:
+    """Why a metric cannot be referred to, or null. Columns: metric_id, metric_name, numerator, denominator, value,
+    population_definition and dimensions (a map)."""
+    empty = F.lit(False)
+    for name in ("metric_id", "metric_name", "population_definition"):
+        empty = empty | (F.coalesce(F.col(name), F.lit("")) == "")
+    places = F.exists(F.map_keys("dimensions"), lambda k: F.lower(k).isin("country", "region", "geography"))
+    return (
+        F.when(empty, "identity")
+        .when(~F.coalesce((F.col("numerator") >= 0) & (F.col("denominator") > 0), F.lit(False)), "denominator")
+        .when(F.col("value").isNotNull() & ~F.col("value").between(0, 1), "value")
+        .when(places, "geography")
+    )
+
+
+LEVELS = ("high", "medium", "low")
+
+
+def recommendation_error(known_metrics: Column, known_reviews: Column) -> Column:
+    """Why a recommendation is refused, or null: rank, title, action, impact, effort, validation_step, confidence, and the
+    ids that it refers to, all of which must be among the known (arrays of the bounded payload)."""
+    blank = F.lit(False)
+    for name in ("title", "action", "impact", "effort", "validation_step"):
+        blank = blank | (F.coalesce(F.col(name), F.lit("")) == "")
+    unknown = (F.size(F.array_except("evidence_metric_ids", known_metrics)) > 0) | (F.size(F.array_except("evidence_review_ids", known_reviews)) > 0)
+    return (
+        F.when((F.coalesce("rank", F.lit(0)) < 1) | blank, "required")
+        .when(~F.col("impact").isin(*LEVELS) | ~F.col("effort").isin(*LEVELS, "unknown"), "impact_or_effort")
+        .when(~F.coalesce(F.col("confidence").isin(*LEVELS), F.lit(False)), "confidence")
+        .when(unknown, "unknown_evidence")
+        .when(claims_geography(F.concat_ws(" ", "title", "action", "validation_step")), "geography")
+    )
+
+
+def brief_error(limits: BriefLimits = BriefLimits()) -> Column:
+    """Why a whole brief is refused for its form: status, and more items than a list may have. Columns: status,
+    findings, priorities, risks, vulnerabilities, caveats (arrays of text)."""
+    out = F.when(~F.coalesce(F.col("status").isin("complete", "insufficient_evidence"), F.lit(False)), "status")
+    for name in ("findings", "priorities", "risks", "vulnerabilities"):
+        out = out.when(F.size(name) > getattr(limits, name), f"too_many_{name}")
+    out = out.when((F.col("status") == "insufficient_evidence") & (F.size("caveats") == 0), "caveat")
+    return out.when(claims_geography(F.array_join(F.concat("findings", "risks", "vulnerabilities"), " ")), "geography")
+
+
 def payload_metrics(metrics: DataFrame, most: int = 120) -> DataFrame:
     """Metrics with a denominator, the first by id."""
     return metrics.filter("denominator > 0").orderBy("metric_id").limit(most)

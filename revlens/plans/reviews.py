@@ -46,9 +46,14 @@ def edge_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.unionByName(rows.select("e.doc_id", "e.review_text", "source"))
 
 
+def corpus_size(rows: DataFrame) -> Column:
+    """The number of rows, as a scalar subquery of the plan that asks for it."""
+    return rows.agg(F.count(F.lit(1)).alias("n")).scalar()
+
+
 def decisions(rows: DataFrame) -> DataFrame:
-    decision = X.eligibility(F.col("review_text"), rows.count(), POLICY)
-    return rows.select("appid", "recommendationid", "source_hash", decision.alias("decision"), F.lit(POLICY.hash()).alias("policy_hash"), F.lit(None).cast("string").alias("obsolete_at"))
+    rows = X.with_eligibility(rows, "review_text", corpus_size(rows.select("appid")), POLICY)
+    return rows.select("appid", "recommendationid", "source_hash", "decision", F.lit(POLICY.hash()).alias("policy_hash"), F.lit(None).cast("string").alias("obsolete_at"))
 
 
 def pick(values: tuple[str, ...], index: Column) -> Column:
@@ -57,7 +62,7 @@ def pick(values: tuple[str, ...], index: Column) -> Column:
 
 def classifications(rows: DataFrame) -> DataFrame:
     """History of the offline rule provider: every review in run 0, every fourth again in run 1 (some failed, some for an
-    older text). The result is JSON text, as a provider returns it."""
+    older text). The result is JSON text, as a provider returns it; it is parsed where it is read."""
     v = F.explode(F.when(F.col("doc_id") % 4 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
     h = rows.withColumn("v", v)
     aspect = F.struct(
@@ -81,7 +86,7 @@ def classifications(rows: DataFrame) -> DataFrame:
         F.struct(mentioned.alias("mentioned"), F.lit("other").alias("statement_type"), F.lit(None).cast("string").alias("evidence"), F.lit(False).alias("verified")).alias("self_reported_abandonment"),
         F.lit("").alias("summary"),
     )
-    stored = h.select(
+    return h.select(
         "appid",
         "recommendationid",
         F.when(F.col("doc_id") % 17 == 0, F.lit("stale")).otherwise(F.col("source_hash")).alias("source_hash"),
@@ -90,12 +95,8 @@ def classifications(rows: DataFrame) -> DataFrame:
         F.when((F.col("v") == 1) & (F.col("doc_id") % 13 == 0), "failed").otherwise("success").alias("status"),
         F.to_json(result).alias("result_json"),
     )
-    return classify.parsed(stored)
 
 
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = reviews(spark, sf_dir)
-    return classify.current(rows, decisions(rows), classifications(rows))
-
-
-
+    return classify.current(rows.drop("review_text"), decisions(rows), classifications(rows))

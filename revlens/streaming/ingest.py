@@ -2,6 +2,8 @@
 
 Late and changed rows are upserted, never dropped, so no watermark is set. Each micro-batch appends the rows that are new
 or changed under its own batch id; a replayed batch overwrites its own folder. The current view is the latest row per key.
+Of the history, a micro-batch only takes the rows of its own keys (a semi-join, with the keys broadcast where they are few);
+nothing else of it is shuffled.
 """
 
 from __future__ import annotations
@@ -16,7 +18,7 @@ SCHEMA = "appid long, recommendationid string, language string, voted_up boolean
 
 
 def history(spark: SparkSession, table: str) -> DataFrame:
-    return spark.read.schema(SCHEMA + ", kind string, batch long").parquet(table)
+    return spark.read.schema(SCHEMA + ", kind string, first_seen_at long, batch long").parquet(table)
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
@@ -28,13 +30,15 @@ def upsert_batch(table: str):
         spark = batch.sparkSession
         rows = latest(batch, KEYS, F.desc("timestamp_updated"), F.desc("source_hash"))
         try:
-            stored = current(spark, table).filter(F.col("batch") != batch_id).select(*KEYS, F.col("source_hash").alias("_stored"))
+            known = history(spark, table).filter(F.col("batch") != batch_id).join(batch.select(*KEYS).distinct(), KEYS, "left_semi")
+            stored = latest(known, KEYS, F.desc("timestamp_updated"), F.desc("batch")).select(*KEYS, F.col("source_hash").alias("_stored"), "first_seen_at")
             rows = rows.join(stored, KEYS, "left")
         except Exception as e:  # noqa: BLE001  the table does not exist before the first batch
             if "PATH_NOT_FOUND" not in str(e):
                 raise
-            rows = rows.withColumn("_stored", F.lit(None).cast("string"))
+            rows = rows.withColumn("_stored", F.lit(None).cast("string")).withColumn("first_seen_at", F.lit(None).cast("long"))
         rows = rows.withColumn("kind", change_kind(F.col("_stored"), F.col("source_hash"))).filter("kind <> 'unchanged'")
+        rows = rows.withColumn("first_seen_at", F.coalesce("first_seen_at", "timestamp_updated"))
         rows.drop("_stored").write.mode("overwrite").parquet(f"{table}/batch={batch_id}")
 
     return write

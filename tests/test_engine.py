@@ -86,8 +86,8 @@ def test_streaming_upsert(spark, tmp_path):
     ingest.ingest(spark, str(source), out, str(tmp_path / "cp")).awaitTermination()
     drop("b.json", [("1", False, 20, "z"), ("2", True, 11, "y"), ("3", True, 5, "late")])
     ingest.ingest(spark, str(source), out, str(tmp_path / "cp")).awaitTermination()
-    got = {r["recommendationid"]: (r["voted_up"], r["kind"]) for r in ingest.current(spark, out).collect()}
-    assert got == {"1": (False, "changed"), "2": (True, "new"), "3": (True, "new")}
+    got = {r["recommendationid"]: (r["voted_up"], r["kind"], r["first_seen_at"]) for r in ingest.current(spark, out).collect()}
+    assert got == {"1": (False, "changed", 10), "2": (True, "new", 11), "3": (True, "new", 5)}
     assert ingest.history(spark, out).count() == 4
 
 
@@ -95,7 +95,7 @@ def test_export_and_report(spark, tmp_path):
     rows = R.reviews(spark, SF)
     manifest = publish.export_parquet({"reviews": rows}, str(tmp_path), {"run": "r1"})
     back = spark.read.parquet(str(tmp_path / "reviews"))
-    assert manifest["row_counts"] == {"reviews": rows.count()} and len(back.columns) == 25
+    assert manifest["datasets"]["reviews"]["rows"] == rows.count() and len(back.columns) == 25
     report = publish.render_report("Brief", [{"rank": 2, "text": "b"}, {"rank": 1, "text": "a", "metrics": ["m"]}], [{"metric_id": "m", "numerator": 1, "denominator": 2}], [], least=1, most=100)
     assert report.index("1. a") < report.index("metric:m (1/2)") < report.index("2. b")
     with pytest.raises(ValueError):
@@ -107,8 +107,8 @@ def test_pages_taxonomies_and_limits(spark, tmp_path):
     pages = [{"success": 1, "cursor": "*", "reviews": [item]}, {"success": 1, "cursor": "*", "reviews": [{"recommendationid": "2"}]}, {"success": 2}, {"success": 1, "reviews": []}]
     for k, page in enumerate(pages):
         (tmp_path / f"{k}.json").write_text(json.dumps(page))
-    got = readers.review_pages(spark, str(tmp_path)).withColumn("error", readers.page_error(F.col("page")))
-    assert sorted(r["error"] or "" for r in got.collect()) == ["", "invalid_response", "missing_cursor", "missing_fields"]
+    got = readers.review_pages(spark, str(tmp_path)).withColumn("error", readers.page_error(F.col("raw")))
+    assert sorted(r["error"] or "" for r in got.collect()) == ["", "cursor", "item_fields", "not_successful"]
     (row,) = readers.page_reviews(got, "p", F.lit(5)).collect()
     assert (row["votes_up"], row["refunded"], row["appid"]) == (0, False, 5)
     core = [{"id": "a", "name": "A"}, {"id": "b", "name": "B", "parent_id": "a"}]
@@ -123,3 +123,78 @@ def test_pages_taxonomies_and_limits(spark, tmp_path):
         selection.select_inputs(R.reviews(spark, SF), Selection("some"), "p")
     states = spark.createDataFrame([("pending", "running"), ("running", "pending"), ("running", "partial"), ("completed", "running")], "a string, b string")
     assert [r[0] for r in states.select(state.transition_allowed(F.col("a"), F.col("b"))).collect()] == [True, False, True, False]
+
+
+def slow_plan(items, limits):
+    """Greedy batches in id order: the item that would be one too many or pass the token limit opens the next."""
+    out, state = {}, {}
+    for app, ident, tokens in sorted(items):
+        if tokens > limits.max_tokens:
+            out[app, ident] = None
+            continue
+        batch, n, total = state.get(app, (0, 0, 0))
+        if n and (n >= limits.max_items or total + tokens > limits.max_tokens):
+            batch, n, total = batch + 1, 0, 0
+        state[app] = (batch, n + 1, total + tokens)
+        out[app, ident] = batch
+    return out
+
+
+@pytest.mark.parametrize("block", [3, 7, 50, 20_000])
+def test_batches_against_brute_force(spark, block):
+    """The plan is the same whatever the block's size; items that are too large get no batch."""
+    draw = random.Random(block)
+    items = [(app, f"{k:04d}", draw.choice((1, 5, 30, 90, 101))) for app, n in ((1, 400), (2, 1), (3, 7), (4, 60)) for k in range(n)]
+    df = spark.createDataFrame(items, "appid long, recommendationid string, tokens long").repartition(5)
+    limits = BatchLimits(max_items=draw.choice((1, 4, 20)), max_tokens=100)
+    got = {(r["appid"], r["recommendationid"]): r["batch"] for r in selection.plan_batches(df, limits, block).collect()}
+    assert got == slow_plan(items, limits)
+
+
+def test_top_by_score(spark):
+    draw = random.Random(1)
+    rows = [(1, f"{k}", draw.choice((0.0, 0.25, 0.2500001, 1.0, draw.random()))) for k in range(500)]
+    df = spark.createDataFrame(rows, "appid long, recommendationid string, score double")
+    for n in (1, 100, 250, 499, 500, 900):
+        want = {r[1] for r in sorted(rows, key=lambda r: (r[2], r[0], r[1]))[:n]}
+        assert {r["recommendationid"] for r in selection.top_by_score(df, n).collect()} == want
+
+
+def test_policy_and_redaction(spark):
+    one, other = FilterPolicy(high_signal_terms=("Crash", "lag")), FilterPolicy(high_signal_terms=("LAG", "crash"))
+    assert one.hash() == other.hash() != FilterPolicy().hash()
+    df = spark.createDataFrame([("CRASH", "a\0b hunter2 password: x"), ("meh", "fine")], "t string, m string")
+    got = df.select(X.has_signal(F.col("t"), one).alias("s"), X.redact(F.col("m"), ("hunter2", "")).alias("m"), X.json_string(F.concat("t", F.lit("é\U0001f600\""))).alias("j")).collect()
+    assert [r["s"] for r in got] == [True, False] and got[0]["m"] == "a\ufffdb [redacted] [redacted]: [redacted]"
+    assert [r["j"] for r in got] == [json.dumps(x + "é\U0001f600\"") for x in ("CRASH", "meh")]
+
+
+def test_decision_table_agrees_with_expression(spark):
+    texts = ["", "ok", "/\\|_-=+*#" + "x" * 3, "fine - text", "- " * 30 + "abc" * 20, "a" * 30 + "-/" * 100, "!!!", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    both = X.with_eligibility(df, "t", 20_000, FilterPolicy()).withColumn("other", X.eligibility(F.col("t"), 20_000, FilterPolicy()))
+    assert both.filter("decision <> other").count() == 0
+
+    def art(text):
+        m = "".join((text or "").split())
+        return len(m) >= 4 and bool(re.search(r"[/\\|_\-=+*#<>^~()\[\]{}]", m)) and sum(c.isalpha() for c in m) / len(m) < 0.2
+
+    assert {r["t"] for r in both.filter("decision = 'excluded_ascii_art'").collect()} == {t for t in texts if t and art(t)}
+
+
+def test_fixture_gold_and_runs(spark, tmp_path):
+    (tmp_path / "f.json").write_text(json.dumps({"apps": [{"appid": 5, "reviews": [{"review": "a"}, {"recommendationid": "x", "review": "b", "language": "french"}]}]}))
+    got = {r["recommendationid"]: (r["language"], r["voted_up"], r["timestamp_created"]) for r in readers.fixture_reviews(spark, str(tmp_path / "f.json")).collect()}
+    assert got == {"5-0": ("english", True, 1_700_000_000), "x": ("french", True, 1_700_000_001)}
+    for name, ids in (("g", ["1", "2"]), ("h", ["1", "1"])):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"version": "1", "records": [{"input_id": k, "review_text": "t"} for k in ids]}))
+    assert readers.gold_set(spark, str(tmp_path / "g.json")).count() == 2
+    with pytest.raises(ValueError):
+        readers.gold_set(spark, str(tmp_path / "h.json"))
+    out = str(tmp_path / "aggregates")
+    for run, n in (("a", 3), ("b", 2)):
+        state.append_run(spark.range(n).withColumn("run_id", F.lit(run)), out, run)
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        state.append_run(spark.range(1).withColumn("run_id", F.lit("a")), out, "a")
+    runs = spark.createDataFrame([("a", "p", "completed", 1), ("b", "p", "completed", 2), ("c", "p", "failed", 3)], "run_id string, project_id string, status string, created_at long")
+    assert state.run_rows(spark, out, state.latest_completed(runs, ["project_id"])).count() == 2

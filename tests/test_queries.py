@@ -43,7 +43,7 @@ def test_query(spark, duck, name):
 
 def test_every_query_is_compared_or_known():
     unwritten = {k for k in driver.queries() if k not in driver.oracle_sql() and not k.startswith("op") and k != "pipeline"}
-    assert unwritten == {"evidence_selected"}  # greedy selection: see test_operators.py
+    assert unwritten == set()
 
 
 def test_entry(spark):
