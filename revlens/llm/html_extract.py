@@ -3,7 +3,8 @@
 Words score positive, tags negative. How much a tag costs is learned from labelled pages: those whose article is marked
 up as such show how often each tag, in or out of page furniture, stands outside of the content. A linear scan finds the
 region of the largest sum. Page furniture (menus, adverts, forms, comments and the like) scores nothing and is left out
-wherever it stands, so a notice between two paragraphs does not break the region.
+wherever it stands, so a notice between two paragraphs does not break the region. What furniture is called is known in
+part (MARKS); labelled pages add the classes, ids and roles that they only have outside of and not around their article.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blank
+from .common import blank, cut
 
 MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
 NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -33,6 +34,8 @@ INLINE = frozenset(
     """a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr
     math mi mn mo ms mtext mrow msup msub msubsup mfrac msqrt mroot mover munder munderover mstyle mspace semantics""".split()
 )
+#: Words that say of a layout what it has or has not; a name with one of them marks nothing.
+ABOUT = frozenset("with without no not has have is hide hidden show layout single grid col cols".split())
 #: Words that name the content. Inside of it (or of article and main), a mark is a whole class or role, not a word of one or an id.
 CONTENT = frozenset("article main content post entry body text story prose".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -50,21 +53,36 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 #: A word's score; a tag costs LEAST and up to MOST more by its share outside of content. Tags that labelled pages only have in
 #: furniture cost that part of it elsewhere.
 WORD, LEAST, MOST, ELSEWHERE = 1.0, 0.1, 4.0, 0.25
-#: Tags kept in the learned table, by frequency.
-MAX_TAGS = 500
+#: Tags and names count from this share of the labelled pages on; so there are at most 1 / SUPPORT times as many of them as a
+#: page has on average. A name is furniture if at most MIXED of its pages have it in or around the article.
+SUPPORT, MIXED = 0.001, 0.02
 
 
-def is_furniture(tag: str, attributes: str, inside: bool = False) -> bool:
+def names_of(attributes: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in NAMES.finditer(attributes)] if attributes else []
+
+
+def is_marked(name: str) -> bool:
+    """Whether a class, id or role names furniture by its first or last word: sidebar, ad-slot, site-comments, but not
+    with-sidebar."""
+    words = re.findall(r"[a-z]+", name)
+    return bool(words) and (words[0] in MARKS or words[-1] in MARKS) and not ABOUT & set(words)
+
+
+def is_furniture(tag: str, attributes: str, inside: bool = False, learned: frozenset[str] = frozenset()) -> bool:
     """``inside``: in the content, where only whole classes and roles mark furniture, and not on what is called content too."""
     if tag in FURNITURE:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
         return False
-    found = [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in NAMES.finditer(attributes)]
+    found = names_of(attributes)
+    whole = {w for name, value in found if name != "id" for w in value.split()}
     if inside or tag in HEADINGS:
-        whole = {w for name, value in found if name != "id" for w in value.split()}
         return bool(whole & MARKS) and not whole & CONTENT
-    return any(w in MARKS for _, value in found for w in re.split(r"[^a-z]+", value))
+    if whole & CONTENT and not whole & MARKS:
+        return False
+    every = {w for _, value in found for w in value.split()}
+    return bool(every & learned) or any(map(is_marked, every))
 
 
 def is_content(tag: str, attributes: str) -> bool:
@@ -84,18 +102,46 @@ def innermost(stack: list, tags: tuple[str, ...], bounds: frozenset[str]) -> int
     return found
 
 
-def events(page: str) -> Iterator[tuple[str, str, bool]]:
-    """("text", characters, in furniture), or (tag name, "open" or "close", in furniture), in page order."""
-    at, stack = 0, []  # (tag, is furniture, is content)
+def unclosed(page: str) -> set[int]:
+    """Where tags open that are never closed, of those whose end tags may not be left out."""
+    out, open_ = set(), {}
+    for found in MARKUP.finditer(page):
+        tag = (found[2] or "").lower()
+        if not tag or tag in VOID or tag in CLOSES or tag == "p" or found[3].endswith("/"):
+            continue
+        if not found[1]:
+            open_.setdefault(tag, []).append(found.start())
+        elif open_.get(tag):
+            open_[tag].pop()
+    for places in open_.values():
+        out.update(places)
+    return out
+
+
+def events(page: str, learned: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, bool]]:
+    """("text", characters, in furniture), or (tag name, "open" or "close", in furniture), in page order.
+
+    What only a name marks as furniture is none if an article or main element opens in it; if it is never closed, it ends
+    at the next block.
+    """
+    at, stack = 0, []  # [tag, is furniture, is content, only until the next block]
     depth = inside = 0
+    endless: set[int] | None = None
 
     def close(k: int) -> None:
         nonlocal depth, inside
         if k >= 0:
-            depth -= sum(x for _, x, _ in stack[k:])
-            inside -= sum(x for _, _, x in stack[k:])
+            depth -= sum(x[1] for x in stack[k:])
+            inside -= sum(x[2] for x in stack[k:])
             del stack[k:]
 
+    def unmark(only_short: bool) -> None:
+        nonlocal depth
+        for x in stack:
+            if x[1] and x[0] not in FURNITURE and (x[3] or not only_short):
+                depth -= 1
+                x[1] = False
+
     size = len(page)
     while at < size:
         found = MARKUP.search(page, at)
@@ -118,23 +164,32 @@ def events(page: str) -> Iterator[tuple[str, str, bool]]:
                 if stack[k][0] in bounds:
                     break
         elif tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else (size if tag in ("script", "style") else at)
+            end = None if found[3].endswith("/") else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            at = end.end() if end else (size if tag in ("script", "style") and not found[3].endswith("/") else at)
         else:
             if tag in BLOCKS:
                 close(innermost(stack, ("p",), BOUNDS["p"]))
+                unmark(True)
             if tag in CLOSES:
                 close(innermost(stack, CLOSES[tag], BOUNDS[tag]))
-            mark = is_furniture(tag, found[3], inside > 0)
+            mark, content = is_furniture(tag, found[3], inside > 0, learned), is_content(tag, found[3])
+            if content and tag in ("article", "main"):
+                unmark(False)
             if tag not in VOID and not found[3].endswith("/"):
-                stack.append((tag, mark, is_content(tag, found[3])))
+                short = False
+                if mark and tag not in FURNITURE:
+                    if endless is None:
+                        endless = unclosed(page)
+                    short = found.start() in endless
+                stack.append([tag, mark, content, short])
                 depth += mark
-                inside += stack[-1][2]
+                inside += content
             yield tag, "open", depth > 0
 
 
-def tag_counts(page: str) -> Counter:
-    """(tag, in furniture, in the article) counts of a labelled page; empty unless it has exactly one article."""
+def profile(page: str) -> Counter:
+    """Of a labelled page, one with exactly one article: (tag, in furniture, in the article) counts, and ("name", name,
+    in or around the article) once for each name. Empty for other pages."""
     out: Counter = Counter()
     inside, articles = False, 0
     for tag, kind, furniture in events(page):
@@ -143,24 +198,62 @@ def tag_counts(page: str) -> Counter:
             inside = kind == "open"
         elif tag != "text":
             out[tag, furniture, inside] += 1
-    return out if articles == 1 else Counter()
+    if articles != 1:
+        return Counter()
+    around, within, outside, open_ = set(), set(), set(), []
+    inside = False
+    for found in MARKUP.finditer(page):
+        tag = (found[2] or "").lower()
+        if tag == "article":
+            inside = not found[1]
+            around.update(*(names for _, names in open_))
+        elif found[1]:
+            for k in range(len(open_) - 1, -1, -1):
+                if open_[k][0] == tag:
+                    del open_[k:]
+                    break
+        elif tag:
+            names = {w for _, value in names_of(found[3]) for w in value.split()}
+            (within if inside else outside).update(names)
+            if tag not in VOID and not found[3].endswith("/"):
+                open_.append((tag, names))
+    out.update(("name", name, True) for name in within | around)
+    out.update(("name", name, False) for name in outside - within - around)
+    return out
+
+
+class Learned(dict):
+    """Cost of each (tag, in furniture), with the learned ``names`` of furniture."""
+
+    names: frozenset[str] = frozenset()
 
 
-def learn_tag_costs(pages: DataFrame, *, html_col: str = "html") -> dict[tuple[str, bool], float]:
-    """Cost of each (tag, in furniture), from all labelled pages. Tables beyond MAX_TAGS tags keep the most frequent."""
+def learn_tag_costs(pages: DataFrame, *, html_col: str = "html") -> Learned:
+    """Costs of tags and names of furniture, from all labelled pages. Both need the SUPPORT of these pages."""
+    schema = "kind string, tag string, furniture boolean, inside boolean, n long, pages long"
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             total: Counter = Counter()
+            seen: Counter = Counter()
             for page in batch.column(0).to_pylist():
-                total += tag_counts(page)
-            keys = list(total)
-            yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.bool_()), pa.array([k[2] for k in keys], pa.bool_()), pa.array([total[k] for k in keys], pa.int64())], ["tag", "furniture", "inside", "n"])
+                found = profile(page)
+                total += found
+                seen.update(found.keys())
+                seen["pages", "", False] += bool(found)
+            rows = [("name" if k[0] == "name" else "pages" if k[0] == "pages" else "tag", k[1] if k[0] == "name" else k[0], bool(k[1]) if k[0] != "name" else False, k[2], total[k], n) for k, n in seen.items()]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = (pa.string(), pa.string(), pa.bool_(), pa.bool_(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["kind", "tag", "furniture", "inside", "n", "pages"])
 
-    seen = pages.select(blank(html_col).alias("html")).mapInArrow(count, "tag string, furniture boolean, inside boolean, n long")
-    table = seen.groupBy("tag", "furniture").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("inside"), 0).otherwise(F.col("n"))).alias("outside"))
-    rows = table.orderBy(F.desc("n"), "tag", "furniture").limit(MAX_TAGS).collect()
-    return {(r["tag"], r["furniture"]): cost(r["n"], r["outside"]) for r in rows}
+    seen = pages.select(blank(html_col).alias("html")).mapInArrow(count, schema)
+    table = seen.groupBy("kind", "tag", "furniture").agg(F.sum("n").alias("n"), F.sum("pages").alias("pages"), *[F.sum(F.when(~F.col("inside"), F.col(c)).otherwise(0)).alias(f"{c}_out") for c in ("n", "pages")])
+    table = cut(table)
+    labelled = table.filter("kind = 'pages'").agg(F.sum("pages")).first()[0] or 0
+    rows = table.filter((F.col("kind") != "pages") & (F.col("pages") >= max(1, SUPPORT * labelled))).collect()  # bounded by SUPPORT
+    out = Learned({(r["tag"], r["furniture"]): cost(r["n"], r["n_out"]) for r in rows if r["kind"] == "tag"})
+    out.names = frozenset(r["tag"] for r in rows if r["kind"] == "name" and r["pages"] >= 3 and r["pages_out"] >= (1 - MIXED) * r["pages"])
+    return out
 
 
 def cost(n: int, outside: int) -> float:
@@ -171,7 +264,7 @@ def cost(n: int, outside: int) -> float:
 def main_text(page: str, costs: dict[tuple[str, bool], float]) -> str:
     """The text of the best-scoring region, blocks joined by one space."""
     items: list[tuple[float, str | None]] = []  # score; text, or None for the edge of a block
-    for tag, what, furniture in events(page):
+    for tag, what, furniture in events(page, getattr(costs, "names", frozenset())):
         if tag == "text":
             text = html.unescape(what)
             words = len(text.split())
@@ -190,7 +283,7 @@ def main_text(page: str, costs: dict[tuple[str, bool], float]) -> str:
     return " ".join("".join(pieces).split())
 
 
-def extract(pages: DataFrame, costs: dict[tuple[str, bool], float] | None = None, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+def extract(pages: DataFrame, costs: Learned | None = None, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Main text of every page: page_id, url, text, n_chars. Tag costs are learned from ``pages`` if none are given.
 
     Null or empty html, and pages without any content, give empty text. Other columns are ignored; repeated rows are

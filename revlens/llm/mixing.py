@@ -3,28 +3,29 @@
 Token mass is summed per cell (source, language, topic); cell weights are raked in turn to the target share of every
 source, language and topic; documents are then sampled with the probability that their cell's calibrated weight gives.
 
-The cell table's size is bounded whatever the corpus: each dimension keeps at most ``MAX_VALUES`` values, the smallest
-ones are pooled (their documents stay, with the pooled value's target).
+The cells are a Spark table throughout, however many values a dimension has. A round of raking sums the weights by each
+dimension and joins the factors; what the driver sees is how far the round still moved the marginals.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import blank, cut
 
 DIMS = ("source", "lang", "topic")
-MAX_VALUES = 1000
-POOLED = "(pooled)"
 #: Target shares follow the observed ones to this power: 1 keeps them, 0 makes all values equal.
 TEMPER = {"source": 0.5, "lang": 0.7, "topic": 0.7}
 #: Share of the corpus's tokens to sample.
 KEEP = 0.7
+#: Raking ends when no marginal was further off than TOLERANCE before a round, or after ROUNDS (targets that contradict
+#: one another).
+ROUNDS, TOLERANCE = 40, 1e-5
+#: A table of so many cells at most is broadcast to the documents; beyond it both sides are shuffled.
+BROADCAST_CELLS = 50_000
 
 
 def topic_of(text: Column) -> Column:
@@ -44,58 +45,54 @@ def token_count(text: Column) -> Column:
     return F.greatest(F.regexp_count(text, F.lit(r"[^ \t-\r]+")), F.lit(1)).cast("long")
 
 
-def tempered(power: float) -> Callable[[dict[str, float]], dict[str, float]]:
-    def shares(observed: dict[str, float]) -> dict[str, float]:
-        raised = {k: v**power for k, v in observed.items() if v > 0}
-        return {k: v / sum(raised.values()) for k, v in raised.items()}
+def shares(cells: DataFrame, dim: str, power: float, wanted: dict[str, float] | None) -> DataFrame:
+    """dim, goal: the target share of each value that has mass. Values without a target get 0, unless none has one."""
+    values = cells.groupBy(dim).agg(F.sum("mass").alias("mass"))
+    if wanted is None:
+        raw = F.pow(F.col("mass"), F.lit(power))
+    else:
+        given = cells.sparkSession.createDataFrame(list(wanted.items()) or [("", 0.0)], f"{dim} string, _given double")
+        values, raw = values.join(given, dim, "left"), F.coalesce("_given", F.lit(0.0))
+    values = values.select(dim, raw.alias("_raw"))
+    total = values.agg(F.sum("_raw"), F.count(F.lit(1))).first()
+    return values.select(dim, (F.col("_raw") / total[0] if total[0] else F.lit(1.0 / max(1, total[1]))).alias("goal"))
 
-    return shares
 
+def rake(cells: DataFrame, goals: dict[str, DataFrame], *, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> DataFrame:
+    """Adds ``weight`` with the target marginals to the cells (columns of ``goals`` and ``mass``), started at their mass.
 
-def rake(cells: pd.DataFrame, targets: dict[str, dict[str, float]], *, rounds: int = 200, tolerance: float = 1e-9) -> np.ndarray:
-    """Weights of the cells (columns of ``targets`` and ``mass``) with the target marginals, started at their mass.
-
-    Targets of values without mass are left out and the others scaled up; values without a target get no weight. If the
-    marginals contradict one another the result is that of the last round.
+    If the marginals contradict one another the result is that of the last round.
     """
-    weight = cells["mass"].to_numpy("float64").copy()
-    codes, goals = [], []
-    for dim, wanted in targets.items():
-        code, names = pd.factorize(cells[dim], sort=True)
-        goal = np.array([wanted.get(x, 0.0) for x in names])
-        codes.append(code)
-        goals.append(goal / goal.sum() if goal.sum() else np.full(len(names), 1 / max(1, len(names))))
-    weight /= weight.sum() or 1
+    total = cells.agg(F.sum("mass")).first()[0]
+    now = cells.withColumn("weight", F.col("mass") / total)
+    for dim, goal in goals.items():
+        now = now.join(goal.withColumnRenamed("goal", f"_goal_{dim}"), dim)
+    now = cut(now)
     for _ in range(rounds):
-        worst = 0.0
-        for code, goal in zip(codes, goals, strict=True):
-            now = np.bincount(code, weight, len(goal))
-            worst = max(worst, float(np.abs(now - goal).max(initial=0)))
-            weight *= np.divide(goal, now, out=np.zeros_like(goal), where=now > 0)[code]
-        if worst < tolerance:
+        rows = now.withColumn("_off", F.lit(0.0))
+        for dim in goals:
+            goal = F.col(f"_goal_{dim}")
+            rows = rows.join(rows.groupBy(dim).agg(F.sum("weight").alias("_now")), dim).withColumn("_off", F.greatest("_off", F.abs(F.col("_now") - goal)))
+            rows = cut(rows.withColumn("weight", F.when(F.col("_now") > 0, F.col("weight") * goal / F.col("_now")).otherwise(0.0)).drop("_now"))
+        off = rows.agg(F.max("_off")).first()[0]
+        now = rows.drop("_off")
+        if off < tolerance:
             break
-    return weight
+    return now.drop(*[f"_goal_{dim}" for dim in goals])
 
 
-def probabilities(mass: np.ndarray, weight: np.ndarray, budget: float) -> np.ndarray:
-    """Sampling probability per cell: expected tokens follow ``weight`` and add up to ``budget``, as far as no cell is
-    asked for more than it has; what a full cell cannot give goes to the others."""
-    p = np.zeros(len(mass))
-    free = (weight > 0) & (mass > 0)
-    full = np.zeros(len(mass), bool)
+def with_probability(cells: DataFrame, budget: float) -> DataFrame:
+    """Adds ``p``: expected tokens follow ``weight`` and add up to ``budget``, as far as no cell is asked for more than it
+    has; what a full cell cannot give goes to the others. The rate of the others only grows until no cell is added to the
+    full ones."""
+    rate, full = 0.0, -1
     while True:
-        open_ = free & ~full
-        rest = budget - mass[full].sum()
-        if not open_.any() or rest <= 0:
-            break
-        rate = rest / weight[open_].sum()
-        p[open_] = rate * weight[open_] / mass[open_]
-        over = open_ & (p >= 1)
-        if not over.any():
+        is_full = F.col("weight") * rate >= F.col("mass")
+        row = cells.filter("weight > 0").agg(F.sum(F.when(is_full, F.col("mass"))), F.sum(F.when(~is_full, F.col("weight"))), F.count_if(is_full)).first()
+        if row[2] == full or not row[1] or budget <= (row[0] or 0):
             break
-        full |= over
-        p[full] = 1
-    return np.clip(p, 0, 1)
+        rate, full = (budget - (row[0] or 0)) / row[1], row[2]
+    return cells.withColumn("p", F.round(F.least(F.lit(1.0), F.col("weight") * rate / F.col("mass")), 12))
 
 
 def described(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Callable[[Column], Column] = topic_of) -> DataFrame:
@@ -104,45 +101,30 @@ def described(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     return docs.select(F.col(id_col).alias("doc_id"), blank(source_col).alias("source"), blank(lang_col).alias("lang"), topic(text).alias("topic"), token_count(text).alias("tokens"))
 
 
-def cell_weights(rows: DataFrame, *, temper: dict[str, float] = TEMPER, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> tuple[pd.DataFrame, dict[str, list[str]]]:
-    """The raked cells (source, lang, topic, mass, weight, p) and the values that each dimension keeps."""
-    kept = {}
-    for dim in DIMS:
-        top = rows.groupBy(dim).agg(F.sum("tokens").alias("mass")).orderBy(F.desc("mass"), dim).limit(MAX_VALUES)
-        kept[dim] = [r[dim] for r in top.collect()]
-    cells = pooled(rows, kept).groupBy(*DIMS).agg(F.sum("tokens").alias("mass")).toPandas()
-    cells = cells.sort_values(list(DIMS)).reset_index(drop=True)
-    goals = {}
-    for dim in DIMS:
-        observed = cells.groupby(dim)["mass"].sum().astype(float).to_dict()
-        goals[dim] = (targets or {}).get(dim) or tempered(temper[dim])(observed)
-    cells["weight"] = rake(cells, goals)
-    mass = cells["mass"].to_numpy("float64")
-    cells["p"] = probabilities(mass, cells["weight"].to_numpy(), keep * mass.sum())
-    return cells, kept
-
-
-def pooled(rows: DataFrame, kept: dict[str, list[str]]) -> DataFrame:
-    """Values beyond the kept ones become POOLED. Only a dimension at its bound needs that."""
-    for dim, names in kept.items():
-        if len(names) >= MAX_VALUES:
-            rows = rows.withColumn(dim, F.when(F.col(dim).isin(names), F.col(dim)).otherwise(POOLED))
-    return rows
-
-
-def mix(docs: DataFrame, *, temper: dict[str, float] = TEMPER, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang") -> DataFrame:
+def cell_weights(rows: DataFrame, *, temper: dict[str, float] = TEMPER, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP) -> DataFrame | None:
+    """The raked cells: source, lang, topic, mass, weight, p; None without rows."""
+    cells = cut(rows.groupBy(*DIMS).agg(F.sum("tokens").alias("mass")))
+    mass = cells.agg(F.sum("mass")).first()[0]
+    if mass is None:
+        return None
+    raked = rake(cells, {dim: shares(cells, dim, temper[dim], (targets or {}).get(dim)) for dim in DIMS})
+    return with_probability(raked, keep * mass)
+
+
+def mix(docs: DataFrame, *, temper: dict[str, float] = TEMPER, targets: dict[str, dict[str, float]] | None = None, keep: float = KEEP, seed: int = 0, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang", topic: Callable[[Column], Column] = topic_of) -> DataFrame:
     """Sample documents by calibrated probabilities: doc_id, source, lang, topic, tokens, weight, p, kept.
 
     ``weight`` is the raked token share of the document's cell, ``p`` its sampling probability, ``kept`` the decision,
     fixed by the seed and the document's id. Null source and language are values of their own (""), null text
     is empty, repeated rows get the same decision, an empty table an empty result.
     """
-    rows = described(docs, id_col=id_col, text_col=text_col, source_col=source_col, lang_col=lang_col)
+    rows = described(docs, id_col=id_col, text_col=text_col, source_col=source_col, lang_col=lang_col, topic=topic)
     rows = rows.withColumn("_u", F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id").cast("string")), F.lit(1 << 52)) / F.lit(float(1 << 52)))
     rows = cut(rows)  # narrow, and read several times
-    cells, kept = cell_weights(rows, temper=temper, targets=targets, keep=keep)
-    if cells.empty:
+    cells = cell_weights(rows, temper=temper, targets=targets, keep=keep)
+    if cells is None:
         return rows.select("doc_id", *DIMS, "tokens", F.lit(0.0).alias("weight"), F.lit(0.0).alias("p"), F.lit(False).alias("kept"))
-    table = docs.sparkSession.createDataFrame(cells[[*DIMS, "weight", "p"]])  # bounded by MAX_VALUES a dimension
-    out = pooled(rows, kept).join(F.broadcast(table), list(DIMS))
+    table = cells.select(*DIMS, F.round("weight", 12).alias("weight"), "p")
+    small = table.limit(BROADCAST_CELLS + 1).count() <= BROADCAST_CELLS
+    out = rows.join(F.broadcast(table) if small else table, list(DIMS))
     return out.select("doc_id", *DIMS, "tokens", "weight", "p", (F.col("_u") < F.col("p")).alias("kept"))

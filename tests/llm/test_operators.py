@@ -274,23 +274,58 @@ def test_secrets_copied_by_one_owner(spark):
     assert out.loc[40].spans == "" and out.loc[40].n_repos == ""
 
 
-def test_mixing(spark, corpus):
+def slow_mix(rows, temper, keep, targets=None):
+    """Cell to (weight, p), by plain raking and water filling. rows: (source, lang, topic, tokens)."""
+    cells = pd.DataFrame(rows, columns=["source", "lang", "topic", "mass"]).groupby(["source", "lang", "topic"], as_index=False).mass.sum()
+    w = cells.mass / cells.mass.sum()
+    for _ in range(300):
+        for dim in ("source", "lang", "topic"):
+            mass = cells.groupby(dim).mass.sum()
+            goal = mass ** temper[dim] if not (targets or {}).get(dim) else mass * 0 + pd.Series(targets[dim]).reindex(mass.index).fillna(0)
+            w = w * (cells[dim].map(goal / goal.sum()) / w.groupby(cells[dim]).transform("sum")).fillna(0)
+    full = w < 0
+    while True:
+        rate = (keep * cells.mass.sum() - cells.mass[full].sum()) / w[~full].sum()
+        more = full | ((w * rate >= cells.mass) & (w > 0))
+        if (more == full).all():
+            break
+        full = more
+    p = (w * rate / cells.mass).clip(upper=1)
+    return {tuple(k): v for k, v in zip(cells[["source", "lang", "topic"]].itertuples(index=False), zip(w, p, strict=True), strict=True)}
+
+
+def test_mixing_against_brute_force(spark, corpus):
     out = mixing.mix(corpus).toPandas()
-    assert len(out) == corpus.count() and out.p.between(0, 1).all() and set(out.kept) <= {True, False}
-    cells = pd.DataFrame([(a, b, c, 1 + (a * 7 + b * 3 + c) % 5) for a in range(3) for b in range(2) for c in range(2)], columns=["source", "lang", "topic", "mass"])
-    goals = {"source": {0: 0.5, 1: 0.3, 2: 0.2}, "lang": {0: 0.9, 1: 0.1}, "topic": {0: 0.4, 1: 0.6}}
-    w = mixing.rake(cells, goals)
-    for dim, wanted in goals.items():
-        assert pd.Series(w).groupby(cells[dim]).sum().to_dict() == pytest.approx(wanted, abs=1e-8)
-    odds = lambda x: x[0] * x[3] / (x[1] * x[2])  # noqa: E731  raking keeps the interaction
-    assert odds(w[:4]) == pytest.approx(odds(cells.mass.to_numpy()[:4].astype(float)))
-    p = mixing.probabilities(np.array([10.0, 100.0, 1000.0]), np.array([0.5, 0.25, 0.25]), 400)
-    assert p[0] == 1 and p[1] == 1 and p @ [10, 100, 1000] == pytest.approx(400)
-    expected = (out.tokens * out.p).sum()
-    assert expected == pytest.approx(0.7 * out.tokens.sum(), rel=1e-6)
+    assert len(out) == corpus.count()
+    want = slow_mix(out[["source", "lang", "topic", "tokens"]].itertuples(index=False), mixing.TEMPER, mixing.KEEP)
+    for r in out.itertuples():
+        weight, p = want[r.source, r.lang, r.topic]
+        assert r.weight == pytest.approx(weight, abs=1e-4) and r.p == pytest.approx(p, abs=1e-2)
+    assert (out.tokens * out.p).sum() == pytest.approx(0.7 * out.tokens.sum(), rel=1e-2)
+    words = {r["doc_id"]: max(1, len(re.findall(r"[^ \t-\r]+", r["text"] or ""))) for r in corpus.collect()}
+    assert dict(zip(out.doc_id, out.tokens)) == words
+    assert out[out.p == 1].kept.all() and not out[out.p == 0].kept.any()
     assert mixing.mix(corpus.limit(0)).count() == 0
 
 
+def test_mixing_many_sources_and_targets(spark):
+    """No value is pooled: 1200 sources, each with its own target; a source without a target is left out."""
+    rng = random.Random(3)
+    rows = [(k, "w " * rng.randrange(1, 40), "en" if k % 2 else "de", f"s{k // 2 % 1200}") for k in range(4800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    one = lambda text: F.lit("t")
+    out = mixing.mix(df, topic=one).toPandas()
+    want = slow_mix(out[["source", "lang", "topic", "tokens"]].itertuples(index=False), mixing.TEMPER, mixing.KEEP)
+    assert out.source.nunique() == 1200
+    assert max(abs(r.weight - want[r.source, r.lang, r.topic][0]) for r in out.itertuples()) < 1e-5
+    few = df.withColumn("source", F.expr("concat('s', doc_id div 2 % 6)"))
+    targets = {"source": {f"s{k}": 1.0 + k % 3 for k in range(1, 6)}}
+    out = mixing.mix(few, topic=one, targets=targets, keep=0.2).toPandas()
+    want = slow_mix(out[["source", "lang", "topic", "tokens"]].itertuples(index=False), mixing.TEMPER, 0.2, targets)
+    assert max(abs(r.p - want[r.source, r.lang, r.topic][1]) for r in out.itertuples()) < 1e-2
+    assert (out[out.source == "s0"].p == 0).all() and (out[out.source != "s0"].p > 0).all()
+
+
 def test_html(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     out = html_extract.extract(pages).toPandas().set_index("page_id")
@@ -323,10 +358,31 @@ def test_html_marks_and_implied_ends():
         f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p></article>": f"{text} x=2 holds",
         f"<article><p>{text}</p><object data='x'>told in words</object></article>": f"{text} told in words",
         f"<article><p data-id='search'>{text}</p></article><div class='site-comments'><p>nice one</div>": text,
+        f"<div class='layout with-sidebar'><p>{text}</p></div>": text,
+        f"<div class='post no-comments'><p>{text}</p></div>": text,
+        f"<div id='sidebar'><article><p>{text}</p></article></div>": text,
+        f"<nav><p>menu words</p></nav><p>{text}</p><svg/><p>and more</p><svg><text>drawn</text></svg>": f"{text} and more",
+        f"<p>{text}</p><iframe src='x'/><p>and more</p>": f"{text} and more",
+        f"<article><p>{text}</p><div class='ad'>buy this now<p>and more</p></article>": f"{text} and more",
+        f"<div class='ad'>buy this now<p>{text}</p><p>and more</p>": f"{text} and more",
+        f"<p class='advert'>buy this</p><ul><li class='ad'>sale</ul><table><tr><td class='sidebar'>side<td>{text}</table>": text,
+        f"<div class='ad-slot'>buy this</div><section class='has-comments'><p>{text}</p></section>": text,
     }
     assert {k: html_extract.main_text(k, {}) for k in pages} == pages
 
 
+def test_html_learns_names(spark):
+    """Names that labelled pages only have outside of their article are furniture on others; rare tags are learned too."""
+    text = "plain words of the article that go on for long enough"
+    label = "<body><div class='wrap'><div class='xq-strip'>odd words here</div>{odd}<article><p class='lead'>" + text + "</p></article><div class='tail lead'>more odd words</div></div>"
+    rows = [(k, "u", label.format(odd=f"<x-{k}>z</x-{k}>" * 2)) for k in range(600)]
+    other = "<div class='wrap'><div class='xq-strip'>odd words here</div><p class='lead'>" + text + "</p><div class='tail'>more odd words</div></div>"
+    learned = html_extract.learn_tag_costs(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    assert learned.names == {"xq-strip", "tail"} and len([t for t, _ in learned if t.startswith("x-")]) == 600
+    assert html_extract.main_text(other, learned) == text
+    assert html_extract.learn_tag_costs(spark.createDataFrame([(1, "u", other)], "page_id long, url string, html string")) == {}
+
+
 def slow_substrings(texts, window=13):
     words = {d: re.findall(rb"[^\x20\x09-\x0D]+", t.encode()) for d, t in texts.items()}
     first = {}
