@@ -5,7 +5,9 @@
   filterbanks and finds active segments by an energy threshold with hysteresis. Per document it gives fixed-shape tensors
   of ``TENSOR_FRAMES`` x ``MELS`` (an Arrow IPC stream with a ``fixed_shape_tensor`` column) and their time spans.
 
-Work on a document goes in blocks of fixed size, so memory does not grow with its length.
+Samples are read in blocks; what is held of a document are its frames, a third of the bytes of its text, and its tensors.
+All is computed in double precision and log-mel values are rounded to a tenth of a decibel, so that equal audio has equal
+features whatever the processor.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ UP, DOWN = 2, 3
 TAPS = 12
 FRAME, HOP, MELS = 256, 128, 16
 TENSOR_FRAMES = 32
-#: Hysteresis in decibels below the loudest frame so far: a segment opens above the first and closes below the second.
+#: Hysteresis in decibels below the loudest frame's energy: a segment opens above the first and closes below the second.
 OPEN_DB, CLOSE_DB = -12.0, -18.0
 BLOCK = 3 * 128 * 512
 HEADER = 44
@@ -60,7 +62,7 @@ def filters() -> np.ndarray:
     t = np.arange(n) - (n - 1) / 2
     h = np.sinc(t / max(UP, DOWN)) * np.hamming(n)
     bank = np.stack([h[p::UP][::-1] for p in range(UP)], 1)
-    return (bank / bank.sum(0)).astype(np.float32)
+    return bank / bank.sum(0)
 
 
 @lru_cache(maxsize=1)
@@ -71,7 +73,7 @@ def mel_weights() -> tuple[np.ndarray, np.ndarray]:
     f = np.linspace(0, TARGET_RATE / 2, FRAME // 2 + 1)[:, None]
     up, down = (f - edge[:-2]) / (edge[1:-1] - edge[:-2]), (edge[2:] - f) / (edge[2:] - edge[1:-1])
     weights = np.maximum(0, np.minimum(up, down)) + 1e-6
-    return np.hanning(FRAME).astype(np.float32), weights.astype(np.float32)
+    return np.hanning(FRAME), weights
 
 
 def resample(samples: np.ndarray) -> np.ndarray:
@@ -79,31 +81,35 @@ def resample(samples: np.ndarray) -> np.ndarray:
     windows = np.lib.stride_tricks.sliding_window_view(samples, TAPS)
     bank = filters()
     n = (len(samples) - TAPS) // DOWN
-    out = np.empty((n, UP), np.float32)
+    out = np.empty((n, UP))
     for phase in range(UP):
         shift = (phase * DOWN) // UP + 1
         out[:, phase] = windows[shift : shift + n * DOWN : DOWN][:n] @ bank[:, (phase * DOWN) % UP]
     return out.ravel()
 
 
-def log_mel(payload: memoryview) -> np.ndarray:
-    """Frames x MELS of log-mel energies in decibels, overlapped by FRAME - HOP samples."""
+def log_mel(payload: memoryview) -> tuple[np.ndarray, np.ndarray]:
+    """Frames x MELS of log-mel energies, overlapped by FRAME - HOP samples, and each frame's whole energy; in decibels,
+    rounded to tenths."""
     raw = np.frombuffer(payload, np.uint8)
     window, weights = mel_weights()
-    parts, carry = [], np.zeros(FRAME - HOP, np.float32)
-    before = np.zeros(TAPS, np.float32)
+    mels, energies, carry = [], [], np.zeros(FRAME - HOP)
+    before = np.zeros(TAPS)
     for at in range(0, len(raw), BLOCK):
-        block = np.concatenate([before, (raw[at : at + BLOCK].astype(np.float32) - 128) / 128])
+        block = np.concatenate([before, (raw[at : at + BLOCK].astype(np.float64) - 128) / 128])
         before = block[-TAPS:]
         signal = np.concatenate([carry, resample(block)])
         frames = max(0, (len(signal) - FRAME) // HOP + 1)
         if frames:
             view = np.lib.stride_tricks.sliding_window_view(signal, FRAME)[::HOP][:frames]
             spectrum = np.fft.rfft(view * window, axis=1)
-            power = spectrum.real.astype(np.float32) ** 2 + spectrum.imag.astype(np.float32) ** 2
-            parts.append(10 * np.log10(power @ weights + 1e-9))
+            power = spectrum.real**2 + spectrum.imag**2
+            mels.append(power @ weights)
+            energies.append(power.sum(1))
         carry = signal[frames * HOP :]
-    return np.concatenate(parts).astype(np.float32) if parts else np.zeros((0, MELS), np.float32)
+    if not mels:
+        return np.zeros((0, MELS), np.float32), np.zeros(0)
+    return tuple(np.round(10 * np.log10(np.concatenate(x) + 1e-9), 1) for x in (mels, energies))
 
 
 def active_segments(energy: np.ndarray) -> list[tuple[int, int]]:
@@ -175,8 +181,8 @@ def audio_features(media: DataFrame, *, tensors: bool = True) -> DataFrame:
                 for doc, n, stored in zip(ids[at : at + 256], sizes[at : at + 256], batch.column(2).slice(at, 256), strict=True):
                     whole = memoryview(stored.as_buffer())
                     payload = wav_samples(whole)
-                    frames = log_mel(payload)
-                    spans = [{"start_ms": a * HOP * 1000 // TARGET_RATE, "end_ms": b * HOP * 1000 // TARGET_RATE} for a, b in active_segments(frames.max(1) if len(frames) else frames)]
+                    frames, energy = log_mel(payload)
+                    spans = [{"start_ms": a * HOP * 1000 // TARGET_RATE, "end_ms": b * HOP * 1000 // TARGET_RATE} for a, b in active_segments(energy)]
                     stream = tensor_stream(frames)
                     means = ",".join(f"{x:.2f}" for x in (frames.mean(0) if len(frames) else np.zeros(MELS)))
                     digest = hashlib.blake2b(stream + repr(spans).encode(), digest_size=12).hexdigest()

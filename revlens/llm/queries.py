@@ -26,7 +26,7 @@ def op2_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def audio(docs: DataFrame) -> DataFrame:
-    return media.audio_features(media.encode_wav(docs), tensors=False)
+    return media.audio_features(media.encode_wav(docs))
 
 
 def op3_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:

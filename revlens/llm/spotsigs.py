@@ -15,7 +15,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
@@ -182,54 +181,43 @@ def hex_set(sig: np.ndarray) -> str:
 def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Deal documents to ranges of ids so that each range also holds the first document of the range that follows it.
 
-    Ranges are bounded by approximate quantiles of the ids; texts are shuffled once. Returns part, ghost, doc_id, text,
+    Ranges are those of a range partitioning of the ids; texts are shuffled once. Returns part, ghost, doc_id, text,
     ordered within a part by descending id with the ghost (the next range's first document) at the end. Null ids count
     as the smallest.
     """
     lowest = -(2**63)
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(lowest)).alias("doc_id"), blank(text_col).alias("text"))
-    parts = 4 * units_for(rows)
-    got = rows.agg(F.percentile_approx("doc_id", [k / parts for k in range(1, parts)], 100 * parts).alias("at"), F.max("doc_id").alias("last")).first()
-    bounds = np.array(sorted(set(got["at"] or [])), np.int64)
-    ids = rows.select("doc_id").withColumn("part", part_of(bounds)("doc_id"))
-    tops = {r["part"]: r["top"] for r in ids.groupBy("part").agg(F.max("doc_id").alias("top")).collect()}  # one row a range
-    used = sorted(tops)
-    ghosts = {tops[p]: used[k + 1] if k + 1 < len(used) else used[0] for k, p in enumerate(used)}
+    parts = 2 * units_for(rows)
+    # the ranges that Spark itself makes of the ids, which alone are shuffled for this; a row a range comes to the driver
+    ranges = rows.select("doc_id").repartitionByRange(parts, "doc_id").groupBy(F.spark_partition_id().alias("part")).agg(F.max("doc_id").alias("top"))
+    tops = np.array(sorted(r["top"] for r in ranges.collect()), np.int64)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        top = np.array(sorted(ghosts), np.int64)
-        to = np.array([ghosts[x] for x in sorted(ghosts)], np.int64)
+        names = ["part", "ghost", "doc_id", "text"]
         for batch in batches:
             at = batch.column(0).to_numpy()
-            part = np.searchsorted(bounds, at, side="right")
-            names = ["part", "ghost", "doc_id", "text"]
+            part = np.searchsorted(tops, at)
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(np.zeros(len(at), bool)), batch.column(0), batch.column(1)], names)
-            where = np.searchsorted(top, at)
-            hit = np.flatnonzero(top[np.minimum(where, len(top) - 1)] == at) if len(top) else []
-            if len(hit):
-                yield pa.RecordBatch.from_arrays([pa.array(to[where[hit]]), pa.array(np.ones(len(hit), bool)), batch.column(0).take(pa.array(hit)), batch.column(1).take(pa.array(hit))], names)
+            hit = np.flatnonzero(tops[part] == at)
+            if len(hit):  # the largest of a range follows on the smallest of the next; that of the last on the smallest of all
+                to = (part[hit] + 1) % len(tops)
+                yield pa.RecordBatch.from_arrays([pa.array(to), pa.array(np.ones(len(hit), bool)), batch.column(0).take(pa.array(hit)), batch.column(1).take(pa.array(hit))], names)
 
     dealt = rows.mapInArrow(deal, "part long, ghost boolean, doc_id long, text string")
     return dealt.repartition(units_for(rows), "part").sortWithinPartitions("part", "ghost", F.desc("doc_id"), "text")
 
 
-def part_of(bounds: np.ndarray):
-    @F.pandas_udf("long")
-    def part(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="right"))
-
-    return part
-
-
 def fingerprints(docs: DataFrame, *, chain: int = CHAIN, anchors: frozenset[str] = ANCHORS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Fingerprint each whole text, and its edit: the last third replaced by the start of the next document.
 
     The next document is that with the next smaller id (after the smallest, the largest); a single document follows
     itself. Null text is empty; an empty text's fingerprint is empty and like only to another empty one. Rows that share
-    an id are ordered by their text. ``anchors`` are the fixed words or those of ``learn_anchors``. Returns doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited,
-    near_next.
+    an id are ordered by their text. ``anchors`` are the fixed words or those of ``learn_anchors``. Returns doc_id, n_chars,
+    edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, the fingerprint's length partition (that of
+    ``similar_pairs`` at ALIKE) and alike_edited, alike_next: whether the likeness is ALIKE at least, by the pruned
+    comparison, which merges no sets of partitions that are further apart.
     """
-    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    schema = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, length_partition int, alike_edited boolean, alike_next boolean"
 
     shared = docs.sparkSession.sparkContext.broadcast(anchors)  # at most MAX_ANCHORS words and the fixed ones
 
@@ -249,7 +237,7 @@ def fingerprints(docs: DataFrame, *, chain: int = CHAIN, anchors: frozenset[str]
                             edited = old[: len(old) - third] + text[:third]
                             other = sign(edited)
                             sha = hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest()
-                            out.append((before if before != -(2**63) else None, len(old), sha, hex_set(old_sig), hex_set(other), jaccard(old_sig, other), jaccard(old_sig, sig)))
+                            out.append((before if before != -(2**63) else None, len(old), sha, hex_set(old_sig), hex_set(other), jaccard(old_sig, other), jaccard(old_sig, sig), partition_of(len(old_sig)), alike(old_sig, other), alike(old_sig, sig)))
                         held = (part, ghost, doc, text, sig)
                     else:
                         held = (part, ghost, doc, text, sign(text))
@@ -259,8 +247,22 @@ def fingerprints(docs: DataFrame, *, chain: int = CHAIN, anchors: frozenset[str]
     return with_next(docs, id_col=id_col, text_col=text_col).mapInArrow(run, schema)
 
 
-NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+NAMES = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "length_partition", "alike_edited", "alike_next"]
+KINDS = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int32(), pa.bool_(), pa.bool_()]
+#: Documents are alike from this Jaccard similarity of their fingerprints on.
+ALIKE = 0.8
+
+
+def partition_of(size: int, threshold: float = ALIKE) -> int:
+    """Number of the length partition: sets of one partition are within the threshold's ratio of its first length."""
+    return int(np.floor(np.log(max(size, 1)) / np.log(1 / threshold)))
+
+
+def alike(a: np.ndarray, b: np.ndarray, threshold: float = ALIKE) -> bool:
+    """Whether two sets' Jaccard similarity is ``threshold`` at least; sets of partitions that are not neighbours are not merged."""
+    if abs(partition_of(len(a), threshold) - partition_of(len(b), threshold)) > 1:
+        return False
+    return jaccard(a, b, threshold) >= threshold
 
 
 def length_partition(size: F.Column, threshold: float) -> F.Column:
@@ -268,24 +270,25 @@ def length_partition(size: F.Column, threshold: float) -> F.Column:
     return F.floor(F.log(F.greatest(size, F.lit(1)).cast("double")) / F.log(F.lit(1 / threshold))).cast("int")
 
 
-def similar_pairs(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
+def similar_pairs(prints: DataFrame, threshold: float = ALIKE) -> DataFrame:
     """Pairs of different fingerprints with Jaccard of at least ``threshold``, with the ids that stand for them.
 
-    Input: doc_id, fingerprint. Equal fingerprints are first folded to their smallest id. Sets are joined on a shared
-    signature of their prefix (the rarest-hash prefix that any pair above the threshold must share) and on equal or
-    adjacent length partitions, then confirmed on the full sets. Empty fingerprints are like nothing. Returns doc_id,
-    other_id, likeness.
+    Input: doc_id, fingerprint. Equal fingerprints are first folded to their smallest id. Sets meet on a signature of
+    their prefix (in the order of the hashes, the first that any pair above the threshold must have in common) within equal
+    or neighbouring length partitions; only ids and lengths are on the rows that meet. Pairs are then confirmed on the full
+    sets. Empty fingerprints are like nothing. Returns doc_id, other_id, likeness.
     """
     sets = prints.filter("fingerprint <> ''").groupBy("fingerprint").agg(F.min("doc_id").alias("doc_id"))
-    size = (F.length("fingerprint") / 8).cast("int")
-    sig = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
+    sets = sets.withColumn("n", (F.length("fingerprint") / 8).cast("int"))
+    sigs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("fingerprint", i * 8 + 1, F.lit(8)))
     prefix = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9).cast("int") + 1
-    posts = sets.withColumn("n", size).withColumn("level", length_partition(F.col("n"), threshold)).withColumn("sigs", sig)
-    posts = posts.withColumn("sig", F.explode(F.slice(F.array_sort("sigs"), F.lit(1), prefix)))
-    left = posts.select("sig", "level", "doc_id", "n", "sigs")
-    right = posts.withColumn("level", F.explode(F.array(F.col("level"), F.col("level") - 1))).select("sig", "level", F.col("doc_id").alias("other_id"), F.col("n").alias("m"), F.col("sigs").alias("others"))
-    # a pair of one partition is met from either side, a pair of adjacent ones once
-    pairs = left.join(right, ["sig", "level"]).filter((F.col("doc_id") != F.col("other_id")) & (F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9))
+    posts = sets.select("doc_id", "n", length_partition(F.col("n"), threshold).alias("level"), F.explode(F.slice(F.array_sort(sigs), F.lit(1), prefix)).alias("sig"))
+    right = posts.withColumn("level", F.explode(F.array(F.col("level"), F.col("level") - 1))).select("sig", "level", F.col("doc_id").alias("other_id"), F.col("n").alias("m"))
+    # a pair of one partition is met from either side, a pair of neighbouring ones once
+    pairs = posts.join(right, ["sig", "level"]).filter((F.col("doc_id") != F.col("other_id")) & (F.least("n", "m") >= F.greatest("n", "m") * threshold - 1e-9))
+    pairs = pairs.select(F.least("doc_id", "other_id").alias("doc_id"), F.greatest("doc_id", "other_id").alias("other_id")).distinct()
+    full = sets.select("doc_id", "n", sigs.alias("sigs"))
+    pairs = pairs.join(full, "doc_id").join(full.select(F.col("doc_id").alias("other_id"), F.col("n").alias("m"), F.col("sigs").alias("others")), "other_id")
     shared = F.size(F.array_intersect("sigs", "others"))
     pairs = pairs.withColumn("likeness", shared / (F.col("n") + F.col("m") - shared)).filter(F.col("likeness") >= threshold - 1e-12)
-    return pairs.select(F.least("doc_id", "other_id").alias("doc_id"), F.greatest("doc_id", "other_id").alias("other_id"), "likeness").distinct()
+    return pairs.select("doc_id", "other_id", "likeness")
