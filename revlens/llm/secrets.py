@@ -8,7 +8,7 @@ that are no copied examples.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blank, cut
@@ -21,41 +21,58 @@ HEX = r"[0-9a-f]{16,}"
 #: Random-looking tokens: at least 24 characters with a lower-case letter, a capital and a digit among them.
 GENERIC = r"(?<![A-Za-z0-9+/_-])(?=[a-z0-9+/_-]*[A-Z])(?=[A-Z0-9+/_-]*[a-z])(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{24,}"
 VALUE_MIN = 12
+#: Stands for a null id where rows are joined.
+NO_ID = -(2**63)
 #: A value is a copied example in at least MANY_REPOS repositories, whoever owns them, or in at least SHARED_REPOS
 #: repositories of at least SHARED_OWNERS owners.
 SHARED_OWNERS, SHARED_REPOS, MANY_REPOS = 2, 3, 10
 
 
-def matches(text: Column, kind: str, pattern: str, value_group: int = 0, value_min: int = 0) -> Column:
-    """array<struct<kind, start, end, value>> of the non-overlapping matches; places are code points, ends exclusive.
+KINDS = ("assign", "access", "hex", "generic")
+#: What stands for a document in the exchanges: its id and two hashes of the row.
+ROW = ["doc_id", "h1", "h2"]
 
-    The texts between matches (``split``) and the matches themselves alternate, so running sums of their lengths are the
-    places.
-    """
+
+def matches(text: Column, kind: str, pattern: str, value_group: int = 0) -> Column:
+    """array<struct<kind, gap, size, value>> of the non-overlapping matches: the code points since the last match, those of
+    the match, and its value."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(value_group)) if value_group else found
     rows = F.arrays_zip(found.alias("m"), values.alias("v"), F.split(text, pattern, -1).alias("gap"))
-    rows = F.filter(rows, lambda r: r["m"].isNotNull())
-    empty = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
-
-    def step(acc: Column, row: Column) -> Column:
-        begin = acc["at"] + F.length(row["gap"])
-        end = begin + F.length(row["m"])
-        one = F.struct(F.lit(kind).alias("kind"), begin.alias("start"), end.alias("end"), row["v"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    spans = F.aggregate(rows, start, step, lambda acc: acc["out"])
-    kept = F.filter(spans, lambda s: F.length(s["value"]) >= value_min) if value_min else spans
-    return F.when(text.rlike(pattern), kept).otherwise(empty)
+    rows = F.transform(F.filter(rows, lambda r: r["m"].isNotNull()), lambda r: F.struct(F.lit(kind).alias("kind"), F.length(r["gap"]).alias("gap"), F.length(r["m"]).alias("size"), r["v"].alias("value")))
+    return F.when(text.rlike(pattern), rows).otherwise(F.array().cast("array<struct<kind:string,gap:int,size:int,value:string>>"))
 
 
-def candidates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
-    """doc_id, owner, repo and the arrays ``base`` and ``extra`` of candidate spans, one row per document."""
+def rows_of(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
+    """doc_id, h1, h2, owner, repo and ``found``, the matches of each kind, one row per document."""
     text = F.col("_t")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(owner_col).cast("string").alias("owner"), F.col(repo_col).cast("string").alias("repo"), blank(text_col).alias("_t"))
-    base = F.concat(matches(text, "assign", ASSIGN, 2, VALUE_MIN), matches(text, "access", ACCESS), matches(text, "hex", HEX))
-    return rows.select("doc_id", "owner", "repo", base.alias("base"), matches(text, "generic", GENERIC).alias("extra"))
+    found = F.array(matches(text, "assign", ASSIGN, 2), matches(text, "access", ACCESS), matches(text, "hex", HEX), matches(text, "generic", GENERIC))
+    parts = ("owner", "repo", "_t")
+    return rows.select("doc_id", F.xxhash64(*parts).alias("h1"), F.xxhash64(F.lit("second"), *parts).alias("h2"), "owner", "repo", found.alias("found"))
+
+
+def candidates(found: DataFrame) -> DataFrame:
+    """Row, owner, repo, kind, start, end, value of every match that is long enough; equal rows count as one. Places are
+    code points, ends exclusive: running sums of gaps and matches in the order of a document's matches of one kind."""
+    spans = found.filter(F.exists("found", lambda k: F.size(k) > 0)).select(*ROW, "owner", "repo", F.explode("found").alias("_kind")).select(*ROW, "owner", "repo", F.posexplode("_kind").alias("k", "m"))
+    spans = spans.select(*ROW, "owner", "repo", "k", "m.*").dropDuplicates([*ROW, "kind", "k"])
+    along = Window.partitionBy(*ROW, "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("gap") + F.col("size")).over(along).cast("int")
+    spans = spans.withColumn("end", end).withColumn("start", F.col("end") - F.col("size"))
+    spans = spans.filter((F.col("kind") != "assign") | (F.length("value") >= VALUE_MIN))
+    return spans.select(*ROW, "owner", "repo", "kind", "start", "end", "value")
+
+
+def clear(spans: DataFrame) -> DataFrame:
+    """The spans without generic ones that a base span overlaps: one that starts before ends behind its start, or one
+    starts in it."""
+    by_start = Window.partitionBy(*ROW).orderBy("start")
+    base = F.col("kind") != "generic"
+    before = F.max(F.when(base, F.col("end"))).over(by_start.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(base, F.col("start"))).over(by_start.rangeBetween(0, Window.unboundedFollowing))
+    overlapped = F.coalesce(before > F.col("start"), F.lit(False)) | F.coalesce(after < F.col("end"), F.lit(False))
+    return spans.withColumn("_over", overlapped).filter(base | ~F.col("_over")).drop("_over")
 
 
 def digest(value: Column) -> Column:
@@ -63,36 +80,35 @@ def digest(value: Column) -> Column:
     return F.concat_ws("-", F.hex(F.xxhash64(value)), F.hex(F.xxhash64(F.lit("owner"), value)))
 
 
-def ownership(found: DataFrame) -> DataFrame:
+def ownership(spans: DataFrame) -> DataFrame:
     """Per value hash: n_repos, n_owners. Rows are first folded per (hash, owner, repo), then per (hash, owner), so a
     value that a third of the corpus copies reaches the last step as one row per owner and task."""
-    each = found.select("owner", "repo", F.explode(F.concat("base", "extra")).alias("s")).select(digest(F.col("s.value")).alias("hash"), "owner", "repo")
+    each = spans.select(digest(F.col("value")).alias("hash"), "owner", "repo")
     by_owner = each.distinct().groupBy("hash", "owner").agg(F.count(F.lit(1)).alias("n"))
     return by_owner.groupBy("hash").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
 def scan(docs: DataFrame, *, shared_owners: int = SHARED_OWNERS, shared_repos: int = SHARED_REPOS, many_repos: int = MANY_REPOS, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source", repo_col: str = "doc_id") -> DataFrame:
-    """Spans of every document with their corpus-wide ownership: doc_id, spans array<struct<kind, start, end, hash,
+    """Spans of every document with their corpus-wide ownership: doc_id, spans array<struct<start, rank, kind, end, hash,
     n_repos, n_owners, live>>.
 
     Base spans (assign, access, hex) are always there. ``live`` is false for copied examples: values in at least
     ``many_repos`` repositories, or in at least ``shared_repos`` of at least ``shared_owners`` owners. A generic token
-    becomes a span of kind ``owned`` only if it is live and no base span overlaps it. Null text has no spans; a null owner counts as one owner; rows that repeat an id each get
-    the spans of that id's text. An empty table gives an empty result.
+    becomes a span of kind ``owned`` only if it is live and no base span overlaps it. Null text has no spans; a null owner
+    counts as one owner; rows that repeat an id each get the spans of their own text. An empty table gives an empty result.
     """
-    rid = F.xxhash64("doc_id", "owner", "repo", "base", "extra")
-    found = cut(candidates(docs, id_col=id_col, text_col=text_col, owner_col=owner_col, repo_col=repo_col).withColumn("_rid", rid))
-    counts = cut(ownership(found))
-    clear = F.filter("extra", lambda e: ~F.exists("base", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
-    spans = found.select("_rid", F.explode(F.concat("base", clear)).alias("s")).distinct()
-    spans = spans.select("_rid", "s.kind", "s.start", "s.end", digest(F.col("s.value")).alias("hash")).join(counts, "hash")
+    found = cut(rows_of(docs, id_col=id_col, text_col=text_col, owner_col=owner_col, repo_col=repo_col))
+    every = cut(candidates(found))
+    counts = ownership(every)
+    spans = clear(every).select(*ROW, "kind", "start", "end", digest(F.col("value")).alias("hash")).join(counts, "hash")
     copied = (F.col("n_repos") >= many_repos) | ((F.col("n_owners") >= shared_owners) & (F.col("n_repos") >= shared_repos))
     spans = spans.withColumn("live", ~copied).filter((F.col("kind") != "generic") | F.col("live"))
-    rank = F.element_at(F.create_map(*[F.lit(x) for k, kind in enumerate(("assign", "access", "hex", "owned")) for x in (kind, k)]), F.col("kind"))
+    rank = F.element_at(F.create_map(*[F.lit(x) for k, kind in enumerate((*KINDS[:3], "owned")) for x in (kind, k)]), F.col("kind"))
     spans = spans.withColumn("kind", F.when(F.col("kind") == "generic", "owned").otherwise(F.col("kind")))
     one = F.struct("start", rank.alias("rank"), "kind", "end", "hash", "n_repos", "n_owners", "live")
-    per_doc = spans.groupBy("_rid").agg(F.array_sort(F.collect_list(one)).alias("spans"))  # the spans of one document
-    out = found.select("doc_id", "_rid").join(per_doc, "_rid", "left")
+    spans = spans.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
+    per_doc = spans.groupBy(*ROW).agg(F.array_sort(F.collect_list(one)).alias("spans"))  # the spans of one document
+    out = found.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), "h1", "h2").join(per_doc.withColumnRenamed("doc_id", "_id"), ["_id", "h1", "h2"], "left")
     none = F.array().cast("array<struct<start:int,rank:int,kind:string,end:int,hash:string,n_repos:bigint,n_owners:bigint,live:boolean>>")
     return out.select("doc_id", F.coalesce("spans", none).alias("spans"))
 
