@@ -23,14 +23,21 @@ def with_text_size(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text no language model accepts go; the others get the predicted language."""
+    """Documents whose text no language model accepts go; the others get the predicted language.
+
+    Null, empty and letterless texts go with them, whatever their id. Rows that repeat an id are judged each by its text;
+    further columns are dropped. Without labelled rows no language is known and nothing stays.
+    """
     model = langid.fit(docs)
     kept = langid.predict(docs.select(*COLUMNS, F.col("text").alias("_text")), model, text_col="_text", keep=list(COLUMNS)).filter(~F.col("rejected"))
     return kept.withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of line runs go; documents of which nothing is left go with them."""
+    """Later copies of line runs go; documents of which nothing is left go with them.
+
+    A null id comes before all others. Null texts have no lines and stay; rows that repeat id and text share one result.
+    """
     out = lines.dedup_lines(docs.select(*COLUMNS))
     return with_text_size(out.filter("n_removed < n_lines or n_lines = 0"))
 
@@ -38,7 +45,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays: that with the smallest id.
 
-    Of the rows that repeat a kept id, that with the longest text stays. Rows without an id are linked with nothing: all stay.
+    Of the rows that repeat a kept id, that with the longest text stays. Rows without an id are linked with nothing, nor are
+    null and blank texts: all stay.
     """
     docs = docs.select(*COLUMNS)
     kept = minhash.near_duplicates(docs, size=5, percent=80).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
@@ -54,13 +62,17 @@ def row_key() -> Column:
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows are sampled to the raked target weights, each by its own decision, with or without an id; equal rows share one."""
+    """Rows are sampled to the raked target weights, each by its own decision, with or without an id; equal rows share one.
+
+    Null source, language and text are values of their own; an empty table stays empty.
+    """
     docs = docs.select(*COLUMNS).withColumn("_key", row_key())
     kept = mixing.mix(docs, id_col="_key").filter("kept").select(F.col("doc_id").alias("_key")).distinct()
     return docs.join(kept, "_key", "left_semi").select(*COLUMNS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All rows are packed, null texts as the end token alone, rows without an id with a null id."""
     return packing.pack(docs, tokenizer_path())
 
 

@@ -22,10 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests, a single machine) a temporary folder is used.
+    Only on a single machine (tests) may it be unset: a temporary folder is used then. On a cluster other machines would
+    not see that, so it is an error there.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         named = tempfile.mkdtemp(prefix="revlens-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
     return named

@@ -3,6 +3,7 @@
 import importlib.util
 
 import pytest
+from pyspark.sql import functions as F
 from test_operators import slow_components, slow_lines, texts_of
 
 if importlib.util.find_spec("corpus_pipeline") is None:
@@ -54,6 +55,26 @@ def test_null_and_repeated_ids(spark):
     assert out.filter("text = 'plain words'").count() != out.filter("text <> 'plain words'").count() and out.columns == list(p.COLUMNS)
 
 
+def test_stages_take_awkward_tables(spark):
+    """Nulls in every column, columns with clashing names, and no rows at all, in each stage."""
+    import corpus_pipeline as p
+
+    text = "the cat and the dog were in the house with a lot of other animals\nthey sat there all day"
+    rows = [(k, text + f" number {k}", "en", "a", 5) for k in range(12)] + [(None, text, None, None, None), (20, None, None, None, None), (21, "", "en", "a", 0), (21, "", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("kept", "score", "pos", "_rid", "topic", "length"):
+        docs = docs.withColumn(name, F.lit("x"))
+    for name, stage in p.STAGES:
+        out = stage(spark, docs, "")
+        n = out.count()
+        assert n <= len(rows) and (name == "pack" or out.columns == list(p.COLUMNS))
+        if name == "pack":
+            assert n == len(rows) and out.filter("doc_id is null").count() == 1
+        if name in ("line_dedup", "near_dedup"):
+            assert out.filter("text is null").count() == 1
+        assert stage(spark, docs.limit(0), "").count() == 0
+
+
 def test_run_writes_its_stages(spark, monkeypatch):
     import corpus_pipeline as p
 
