@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import MIX, blank, cut, gram_hashes, mix64, text_bytes, word_hashes
+from .common import MIX, blank, cut, cut_small, gram_hashes, mix64, tasks_for, text_bytes, word_hashes
 
 COORDINATES, AGREE = 40, 20
 #: Cells of the fixed-size sketch that estimates how common a (coordinate, value) pair is.
@@ -211,7 +211,7 @@ def in_blocks(members: DataFrame, queries: int, bases: int, slack: int) -> DataF
     loose = F.col("label") != F.col("pivot_label")
     sizes = members.groupBy("pivot").agg(F.count(F.lit(1)).alias("k"), F.count_if(loose).alias("n"), F.min(F.when(loose, F.col("apart"))).alias("least")).filter("n > 0 and k > 1")
     sizes = sizes.select("pivot", "least", F.ceil(F.col("n") / queries).cast("int").alias("_q"), F.ceil(F.col("k") / bases).cast("int").alias("_b"))
-    rows = members.join(cut(sizes), "pivot").withColumn("_loose", loose).filter(F.col("_loose") | (F.col("apart") >= F.col("least") - slack))
+    rows = members.join(cut_small(sizes), "pivot").withColumn("_loose", loose).filter(F.col("_loose") | (F.col("apart") >= F.col("least") - slack))
     i, j = F.pmod(F.xxhash64("doc_id", "pivot"), F.col("_q")).cast("int"), F.pmod(F.xxhash64("doc_id"), F.col("_b")).cast("int")
     asked = rows.filter("_loose").withColumn("i", i).withColumn("j", F.explode(F.sequence(F.lit(0), F.col("_b") - 1))).withColumn("query", F.lit(True))
     against = rows.withColumn("j", j).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("_q") - 1))).withColumn("query", F.lit(False))
@@ -276,11 +276,13 @@ def fetch_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 def meeting(links: DataFrame, rounds: int = 4) -> DataFrame:
     """node, label: the smallest node within ``rounds`` links. Nodes of one label are connected; not all that are have one."""
-    edges = cut(links.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(links.select(F.col("b").alias("u"), F.col("a").alias("v"))))
+    edges = cut_small(links.select(F.inline(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))))
+    tasks = tasks_for(edges.count())
     label = edges.groupBy(F.col("u").alias("node")).agg(F.min(F.least("u", "v")).alias("label"))
     for _ in range(rounds - 1):
-        told = edges.join(label.withColumnRenamed("node", "v"), "v").select(F.col("u").alias("node"), "label")
-        label = told.unionByName(label).groupBy("node").agg(F.min("label").alias("label"))
+        told = edges.join(label.withColumnRenamed("node", "v"), "v").coalesce(tasks)
+        told = told.select(F.inline(F.array(F.struct(F.col("u").alias("node"), "label"), F.struct(F.col("v").alias("node"), "label"))))
+        label = told.groupBy("node").agg(F.min("label").alias("label")).coalesce(tasks)
     return label
 
 
@@ -288,22 +290,27 @@ def components(links: DataFrame) -> DataFrame:
     """node, component (its smallest node), for nodes that have links. links: a, b.
 
     Large-star and small-star contraction: links go over to each node's smallest neighbour until only stars are left.
-    What is gathered per node is a minimum, and the joins deal out both sides, so a hot centre can be split.
+    What is gathered per node is a minimum, and the joins deal out both sides, so a hot centre can be split. There are
+    never more links than at first, so as many tasks do for every round.
     """
-    edges = cut(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges = cut_small(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    tasks = tasks_for(edges.count())
     before = None
     while True:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.min(F.least("u", "v")).alias("m"))
-        large = cut(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).coalesce(tasks)
+        large = cut(large.distinct()).coalesce(tasks)
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = cut(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        # u -> m, and v -> m for the other neighbours
+        small = large.join(least, "u").select(F.inline(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))).filter("u <> v").coalesce(tasks)
+        edges = cut(small.distinct()).coalesce(tasks)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    pairs = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return edges.select(F.inline(pairs)).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, coordinates: int = COORDINATES, agree: int = AGREE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -321,33 +328,33 @@ def near_duplicates(docs: DataFrame, *, size: int = 5, percent: int = 80, coordi
     reps = classes.select(F.col("rep").alias("doc_id"), "sig")
     posted = postings(reps, sketch(reps), agree)
     best = posted.groupBy("key").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("weight", (-F.col("doc_id")).alias("neg"))).alias("best")).filter("k > 1")
-    pivots = cut(best.select("key", (-F.col("best.neg")).alias("pivot")))
+    pivots = cut_small(best.select("key", (-F.col("best.neg")).alias("pivot")))
     pairs = posted.join(pivots, "key").filter("doc_id <> pivot").select("doc_id", "pivot").distinct()
 
     pivot_sigs = reps.select(F.col("doc_id").alias("pivot"), F.col("sig").alias("pivot_sig"))
-    pairs = cut(with_agreement(pairs.join(reps, "doc_id").join(pivot_sigs, "pivot")))
+    pairs = cut_small(with_agreement(pairs.join(reps, "doc_id").join(pivot_sigs, "pivot")))
     matched = pairs.filter(F.col("same") >= agree).select("doc_id", "pivot")
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), blank(text_col).alias("text")).filter("doc_id is not null")
-    sets = fetch_sets(texts, cut(matched.select("doc_id").unionByName(matched.select(F.col("pivot").alias("doc_id"))).distinct()), size)
+    sets = fetch_sets(texts, cut_small(matched.select("doc_id").unionByName(matched.select(F.col("pivot").alias("doc_id"))).distinct()), size)
     with_set = matched.join(sets, "doc_id").join(sets.select(F.col("doc_id").alias("pivot"), F.col("set").alias("pivot_set")), "pivot")
     near = linked(F.col("shared"), F.col("n"), F.col("m"), percent)
     far = 1 - F.col("shared") / (F.col("n") + F.col("m") - F.col("shared"))
-    measured = cut(with_shared(with_set).select("doc_id", "pivot", near.alias("near"), far.alias("far")))
+    measured = cut_small(with_shared(with_set).select("doc_id", "pivot", near.alias("near"), far.alias("far")))
     links = measured.filter("near").select(F.col("doc_id").alias("a"), F.col("pivot").alias("b"))
-    stars = cut(meeting(links))
+    stars = cut_small(meeting(links))
 
     members = pairs.join(measured.select("doc_id", "pivot", "far"), ["doc_id", "pivot"], "left")
     members = members.join(stars.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left")
     members = members.join(stars.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot", "left")
-    members = cut(members.select("pivot", "doc_id", F.coalesce("label", "doc_id").alias("label"), F.coalesce("pivot_label", "pivot").alias("pivot_label"), (coordinates - F.col("same")).alias("apart"), F.coalesce("far", F.lit(float("nan"))).alias("far")))
-    found = cut(colliding(members, reps, agree, coordinates, percent))
-    members = cut(members.join(found, ["pivot", "doc_id"], "left_semi"))
-    sets = fetch_sets(texts, cut(found.select("doc_id").distinct()), size)
+    members = cut_small(members.select("pivot", "doc_id", F.coalesce("label", "doc_id").alias("label"), F.coalesce("pivot_label", "pivot").alias("pivot_label"), (coordinates - F.col("same")).alias("apart"), F.coalesce("far", F.lit(float("nan"))).alias("far")))
+    found = cut_small(colliding(members, reps, agree, coordinates, percent))
+    members = cut_small(members.join(found, ["pivot", "doc_id"], "left_semi"))
+    sets = fetch_sets(texts, cut_small(found.select("doc_id").distinct()), size)
     links = links.unionByName(cluster_links(members, sets, coordinates - agree, percent))
     # rows that share an id but not a text
     several = full.groupBy("doc_id").agg(F.min("same").alias("x"), F.max("same").alias("y")).filter("x <> y").select("doc_id")
     twice = full.join(several, "doc_id").join(classes.select("same", "rep"), "same").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    found = cut(components(links.unionByName(twice)))
+    found = cut_small(components(links.unionByName(twice)))
 
     label = classes.select("same", "rep").join(found.select(F.col("node").alias("rep"), "component"), "rep", "left")
     label = cut(label.select("same", F.coalesce("component", "rep").alias("component")))
