@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, lines, media, minhash, mixing, packing, secrets, spotsigs, substrings
+from . import alignment, html_extract, langid, lines, media, minhash, mixing, packing, secrets, spotsigs, substrings
 from .common import table
 
 
@@ -65,6 +65,10 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_media": op2_media,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_language": op9_language,
     "op10_minhash": op10_minhash,
+    "op12_alignment": op12_alignment,
 }
 
 #: Line dedup, from its definition: lines i and i + 1 of a document that also follow one another at an earlier place are a
