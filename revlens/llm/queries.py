@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, html_extract, langid, lines, media, minhash, mixing, packing, secrets, spotsigs, substrings
+from . import alignment, html_extract, langid, lines, media, minhash, mixing, packing, secrets, spotsigs, substrings, warc
 from .common import table
 
 
@@ -65,6 +65,11 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.archive_pages(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lines": op8_lines,
     "op9_language": op9_language,
     "op10_minhash": op10_minhash,
+    "op11_warc": op11_warc,
     "op12_alignment": op12_alignment,
 }
 
@@ -98,4 +104,15 @@ SELECT d.doc_id, len(d.lines)::BIGINT AS n_lines, coalesce(len(g.lost), 0)::BIGI
 FROM docs d LEFT JOIN gone g USING (doc_id) LEFT JOIN longest l USING (doc_id)
 """
 
-SQL: dict[str, str] = {"op8_lines": OP8_SQL}
+#: Archives, from the contract: the digest's letters are five bits each, and the smallest page of equal payloads is the response.
+OP11_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+f AS (SELECT *, sha1(html) AS h, min(page_id) OVER (PARTITION BY html) AS first FROM p),
+d AS (SELECT *, [('0x' || h[10 * k + 1 : 10 * k + 10])::BIGINT FOR k IN range(4)] AS forty FROM f)
+SELECT page_id, strlen(html)::BIGINT AS payload_bytes,
+    array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((forty[1 + i // 8] >> (35 - 5 * (i % 8))) & 31) + 1)::INT, 1) FOR i IN range(32)], '') AS payload_digest,
+    CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM d
+"""
+
+SQL: dict[str, str] = {"op8_lines": OP8_SQL, "op11_warc": OP11_SQL}
