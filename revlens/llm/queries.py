@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, html_extract, langid, lines, media, minhash, mixing, packing, secrets, spotsigs, substrings, warc
+from . import alignment, html_extract, langid, lines, media, minhash, mixing, packing, repair, secrets, spotsigs, substrings, warc
 from .common import table
 
 
@@ -74,6 +74,10 @@ def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pack": op1_pack,
     "op2_media": op2_media,
@@ -87,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_minhash": op10_minhash,
     "op11_warc": op11_warc,
     "op12_alignment": op12_alignment,
+    "op13_conversations": op13_conversations,
 }
 
 #: Line dedup, from its definition: lines i and i + 1 of a document that also follow one another at an earlier place are a
