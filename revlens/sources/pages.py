@@ -178,4 +178,4 @@ def crawled(pages: DataFrame) -> DataFrame:
     items = F.coalesce(F.try_variant_get(v, "$.reviews", "array<variant>"), F.array().cast("array<variant>"))
     review = lambda r: F.struct(F.try_variant_get(r, "$.recommendationid", "string").alias("recommendationid"), F.try_variant_get(r, "$.timestamp_updated", "long").alias("timestamp_updated"), source_hash(r).alias("source_hash"))
     texts = [F.try_variant_get(v, f"$.{k}", "string").alias(a) for k, a in (("cursor_in", "cursor_in"), ("cursor", "cursor_out"), ("error", "error"))]
-    return pages.select("appid", "review_type", "page_no", F.try_variant_get(v, "$.crawl", "long").alias("crawl"), *texts, F.transform(items, review).alias("reviews"))
+    return pages.select("appid", "review_type", "page_no", F.try_variant_get(v, "$.crawl", "long").alias("crawl"), *texts, F.transform(items, review).alias("reviews"), "raw")

@@ -60,12 +60,12 @@ def page_error(raw: Column) -> Column:
     )
 
 
-def page_reviews(pages: DataFrame, project_id: str, appid: Column) -> DataFrame:
-    """Review rows of the pages that are accepted; counters default to 0, flags to false.
+def page_reviews(pages: DataFrame, project_id: str, appid: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Review rows of the pages that are accepted; counters default to 0, flags to false. ``keep``: the page's columns to keep.
 
     ``source_hash`` is that of the item as it came, with sorted keys, so a change in any field of it changes the hash.
     """
-    items = pages.filter(page_error(F.col("raw")).isNull()).select(appid.alias("appid"), F.explode(_items(F.try_parse_json("raw"))).alias("r"))
+    items = pages.filter(page_error(F.col("raw")).isNull()).select(*keep, appid.alias("appid"), F.explode(_items(F.try_parse_json("raw"))).alias("r"))
 
     def field(name: str, kind: str) -> Column:
         return F.try_variant_get("r", f"$.{name}", kind)
@@ -75,7 +75,7 @@ def page_reviews(pages: DataFrame, project_id: str, appid: Column) -> DataFrame:
     flags = [F.coalesce(field(c, "boolean"), F.lit(False)).alias(c) for c in FLAGS]
     times = [field(c, "long").alias(c) for c in ("timestamp_created", "timestamp_updated")]
     digest = F.sha2(X.ascii_json(F.to_json("r")), 256)
-    return items.select(F.lit(project_id).alias("project_id"), "appid", *texts, F.coalesce(field("voted_up", "boolean"), F.lit(False)).alias("voted_up"), *numbers, *flags, *times, digest.alias("source_hash"))
+    return items.select(*keep, F.lit(project_id).alias("project_id"), "appid", *texts, F.coalesce(field("voted_up", "boolean"), F.lit(False)).alias("voted_up"), *numbers, *flags, *times, digest.alias("source_hash"))
 
 
 def fixture_reviews(spark: SparkSession, path: str) -> DataFrame:

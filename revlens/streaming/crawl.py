@@ -12,11 +12,16 @@ import json
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.commits import Store
+from ..operators.state import latest
+from ..sources import readers
+
 STREAM = ["appid", "review_type"]
-PAGE = "appid long, review_type string, page_no long, crawl long, cursor_in string, cursor_out string, error string, reviews array<struct<recommendationid:string,timestamp_updated:long,source_hash:string>>"
-RESULT = "appid long, review_type string, page_no long, crawl long, consumed boolean, status string, stop_reason string, cursor string, high_water long, pages long, reviews long, new long, changed long"
+PAGE = "appid long, review_type string, page_no long, crawl long, cursor_in string, cursor_out string, error string, reviews array<struct<recommendationid:string,timestamp_updated:long,source_hash:string>>, raw string"
+RESULT = "appid long, review_type string, page_no long, crawl long, consumed boolean, status string, stop_reason string, cursor string, high_water long, pages long, reviews long, new long, changed long, raw string"
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Fields of a stream's state between pages.
 FIELDS = {"page_no": -1, "crawl": None, "cursor": "*", "high": None, "running": None, "pages": 0, "reviews": 0, "status": "partial", "reason": None}
@@ -102,7 +107,7 @@ class StopRules(StatefulProcessor):
                 now["status"] = "complete"
             if now["reason"] or not self.incremental:
                 now["high"] = max(now["high"] or 0, now["running"] or 0) or None
-        return Row(appid=key[0], review_type=key[1], page_no=page["page_no"], crawl=page["crawl"], consumed=consumed, status=now["status"], stop_reason=now["reason"], cursor=now["cursor"], high_water=now["high"], pages=now["pages"], reviews=now["reviews"], **kinds)
+        return Row(appid=key[0], review_type=key[1], page_no=page["page_no"], crawl=page["crawl"], consumed=consumed, status=now["status"], stop_reason=now["reason"], cursor=now["cursor"], high_water=now["high"], pages=now["pages"], reviews=now["reviews"], **kinds, raw=page["raw"] if consumed else None)
 
     def close(self) -> None:
         pass
@@ -124,3 +129,26 @@ def follow_pages(pages: DataFrame, *, incremental: bool = True, overlap_seconds:
     use_state_store(pages.sparkSession)
     rules = StopRules(incremental=incremental, overlap_seconds=overlap_seconds, most_reviews=most_reviews)
     return pages.groupBy(*STREAM).transformWithState(rules, RESULT, "Update", "None")
+
+
+REVIEW_KEYS = ["appid", "recommendationid"]
+
+
+def commit_pages(store: Store, project_id: str, writer: str = "crawl"):
+    """For ``foreachBatch`` on :func:`follow_pages`: the reviews of consumed pages, each stream's cursor, status and high
+    water, and the page log become visible in one commit; a batch that is repeated changes nothing.
+
+    Of a review that several pages have, of one batch or of different ones, that of the latest update counts, whatever the
+    order in which the two streams of an app come; of equal ones the last page's.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        taken = batch.filter("consumed").select("page_no", "raw", F.col("appid").alias("app"))
+        rows = readers.page_reviews(taken, project_id, F.col("app"), keep=("page_no",))
+        rows = latest(rows, REVIEW_KEYS, F.desc("timestamp_updated"), F.desc("page_no")).drop("page_no").withColumn("first_seen_at", F.col("timestamp_updated"))
+        at = F.struct("page_no", "crawl", "cursor", "high_water", "status", "stop_reason")
+        streams = batch.groupBy(*STREAM).agg(F.max_by(at, "page_no").alias("at")).select(*STREAM, "at.*")
+        log = batch.drop("raw")
+        store.commit(writer, batch_id, upserts={"reviews": (rows, REVIEW_KEYS, "timestamp_updated"), "streams": (streams, STREAM)}, appends={"pages": log})
+
+    return write

@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from revlens.operators import commits
 from revlens.sources import pages
 from revlens.streaming import crawl
 
@@ -65,7 +66,7 @@ def brute(log, incremental, most):
 
 
 def rows_of(df):
-    return sorted((tuple(r) for r in df.collect()), key=str)
+    return sorted((tuple(r) for r in df.drop("raw").collect()), key=str)
 
 
 @pytest.mark.parametrize(("incremental", "most"), [(True, 0), (False, 0), (True, 5)])
@@ -75,7 +76,7 @@ def test_one_pass_in_any_order_against_brute_force(spark, incremental, most):
     assert len(reasons) >= 5
     mixed = [*log, *log[::5]]
     random.Random(2).shuffle(mixed)
-    got = crawl.follow_pages(spark.createDataFrame(mixed, crawl.PAGE), incremental=incremental, most_reviews=most)
+    got = crawl.follow_pages(spark.createDataFrame([(*p, None) for p in mixed], crawl.PAGE), incremental=incremental, most_reviews=most)
     assert rows_of(got) == brute(log, incremental, most)
 
 
@@ -83,7 +84,7 @@ def write_page(folder, page):
     appid, kind, number, c, before, after, error, rows = page
     path = f"{folder}/{appid}/{kind}"
     os.makedirs(path, exist_ok=True)
-    body = {"crawl": c, "cursor_in": before, "cursor": after, "error": error, "reviews": [{"recommendationid": r, "timestamp_updated": t, "text": h} for r, t, h in rows]}
+    body = {"success": 1, "crawl": c, "cursor_in": before, "cursor": after, "error": error, "reviews": [{"recommendationid": r, "language": "en", "voted_up": True, "timestamp_created": t, "timestamp_updated": t, "review": h} for r, t, h in rows]}
     with open(f"{path}/.{number}.tmp", "w") as file:
         file.write(json.dumps(body))
     os.rename(f"{path}/.{number}.tmp", f"{path}/{number:09d}.json")
@@ -135,3 +136,49 @@ def test_pages_are_counted_by_their_names(spark, tmp_path):
     assert [(p.first, p.end) for p in folder.ranges({"5/positive": 5}, {"5/positive": 27, "5/negative": 0})] == [(5, 15), (15, 25), (25, 27)]
     assert pages.read_pages(spark, str(tmp_path)).agg(F.count("*"), F.max("page_no")).collect()[0] == (38, 36)
     assert pages.read_pages(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_rows_cursor_and_high_water_become_visible_together(spark, tmp_path):
+    folder, checkpoint = str(tmp_path / "pages"), str(tmp_path / "checkpoint")
+    log = [p for p in random_pages(5, streams=2, crawls=4)]
+    for page in log:
+        write_page(folder, page)
+    store = commits.Store(spark, str(tmp_path / "store"), leaf_rows=5)
+    seen = []
+
+    class Dying(commits.Store):
+        """Dies once when all rows of the second commit are written, right before it is published."""
+
+        def publish(self, state):
+            if state.version == 2 and not seen:
+                seen.append({name: rows_of(store.read(name)) for name in ("reviews", "streams", "pages")})
+                raise RuntimeError("killed")
+            super().publish(state)
+
+    def run(into):
+        stream = pages.stream_pages(spark, folder, most=2, offsets=checkpoint + "-pages.json")
+        rows = crawl.follow_pages(pages.crawled(stream))
+        query = rows.writeStream.outputMode("update").foreachBatch(crawl.commit_pages(into, "p")).option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start()
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+
+    with pytest.raises(Exception, match="killed"):
+        run(Dying(spark, store.path, leaf_rows=5))
+    assert {name: rows_of(store.read(name)) for name in ("reviews", "streams", "pages")} == seen[0]
+    run(store)
+    want = brute(log, True, 0)
+    last = {}
+    for r in sorted(want, key=lambda r: r[2]):
+        last[r[0], r[1]] = (r[2], r[3], r[7], r[8], r[5], r[6])
+    assert {tuple(r[:2]): tuple(r[2:]) for r in store.read("streams").collect()} == last
+    assert store.read("pages").count() == len(log)
+    taken = {r[:3] for r in want if r[4]}
+    newest = {}
+    for appid, kind, number, *_, rows in log:
+        for r, t, h in rows if (appid, kind, number) in taken else []:
+            newest[appid, r] = max(newest.get((appid, r), (0, 0, "")), (t, number, h))
+    got = {(r["appid"], r["recommendationid"]): (r["timestamp_updated"], r["review_text"]) for r in store.read("reviews").collect()}
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in newest.items()}
+    assert store.vacuum() > 0 and store.read("pages").count() == len(log)
