@@ -80,6 +80,16 @@ class BriefLimits:
     vulnerabilities: int = 8
 
 
+def configuration_hash(*parts) -> str:
+    """Of all parameters of a run (the classes above), by their names; independent of their order."""
+    return canonical_hash({type(p).__name__: asdict(p) for p in parts})
+
+
+def prompt_hash(version: str, *texts: str) -> str:
+    """Of a prompt's version and texts, without regard to white space at line ends and around them."""
+    return canonical_hash([version, *["\n".join(line.rstrip() for line in t.strip().splitlines()) for t in texts]])
+
+
 #: Label sets of the structured result.
 POSTURES = ("advocacy", "satisfied", "qualified_satisfaction", "mixed", "frustrated_but_engaged", "rejection", "unclear")
 SENTIMENTS = ("positive", "negative", "mixed", "neutral")

@@ -189,7 +189,8 @@ def coverage(source: DataFrame, current: DataFrame) -> DataFrame:
 
 
 def lineage(current: DataFrame) -> DataFrame:
-    """Number of different texts and the sorted run ids behind the current view. Hashes are counted, not gathered."""
+    """Number of different texts and the sorted run ids behind the current view, which are few: for sets of any size there are
+    :func:`lineage_values` and :func:`lineage_hash`."""
     runs = current.select("run_id").distinct()
     return current.agg(F.countDistinct("source_hash").alias("source_hashes")).crossJoin(runs.agg(F.array_join(F.array_sort(F.collect_list("run_id")), ",").alias("run_ids")))
 
@@ -199,3 +200,77 @@ def lineage_values(current: DataFrame) -> DataFrame:
     kinds = {"source_hash": "source_hash", "classification_run_id": "run_id", "eligibility_policy_hash": "policy_hash"}
     values = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(c).alias("value")) for k, c in kinds.items()])
     return current.select(F.inline(values)).distinct()
+
+
+#: Values below one leaf of a lineage tree, about, and the levels that a tree may have: enough for 10^12 values.
+LEAF_VALUES, LINEAGE_DEPTH = 256, 8
+
+
+def lineage_hash(values: DataFrame, leaf_values: int = LEAF_VALUES) -> DataFrame:
+    """kind, n, hash of the set of values of each kind: a tree of SHA-256 over sorted ranges, whatever the partitioning.
+
+    A value's place is its own hash. Leaves are the values whose hashes begin alike, by so many digits that a leaf has about
+    ``leaf_values``; a node is the hash of its children's in order. So no row gathers more than a leaf or 16 children, and two
+    runs whose hashes differ can be compared branch by branch. Nulls are left out; repeated values count once.
+    """
+    rows = values.filter("value is not null").select("kind", F.sha2("value", 256).alias("h")).distinct()
+    sizes = rows.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    depth = F.greatest(F.lit(0), F.ceil(F.log(16.0, F.col("n") / leaf_values))).cast("int")
+    nodes = rows.join(F.broadcast(sizes.withColumn("depth", F.least(depth, F.lit(LINEAGE_DEPTH)))), "kind")  # a row a kind
+    nodes = nodes.groupBy("kind", "n", "depth", F.expr("left(h, depth)").alias("prefix")).agg(F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("h"))
+    for level in range(LINEAGE_DEPTH - 1, -1, -1):
+        above = F.col("depth") > level
+        prefix = F.when(above, F.left("prefix", F.lit(level))).otherwise(F.col("prefix"))
+        child = F.struct("prefix", "h")
+        nodes = nodes.groupBy("kind", "n", "depth", prefix.alias("up")).agg(F.array_sort(F.collect_list(child)).alias("c"))
+        folded = F.sha2(F.array_join(F.transform("c", lambda x: x["h"]), ""), 256)
+        nodes = nodes.select("kind", "n", "depth", F.col("up").alias("prefix"), F.when(above, folded).otherwise(F.col("c")[0]["h"]).alias("h"))
+    return nodes.select("kind", "n", F.col("h").alias("hash"))
+
+
+#: Analytical labels of reviews, not verified behaviour.
+RETENTION = ("early_rejection", "early_dissatisfaction", "established_dissatisfaction", "long_use_dissatisfaction", "invested_frustration", "qualified_retention", "strong_advocacy")
+
+
+def retention_labels(limits: Cohorts = Cohorts(), strong: int = 4) -> Column:
+    """The labels that a review of the current view has (an array, often empty).
+
+    Dissatisfaction needs an actionable negative review, rejection a posture of friction; invested frustration needs long or
+    substantial (established) playtime; retention is qualified by a negative aspect; advocacy is strong with a positive
+    sentiment of at least ``strong`` of 5.
+    """
+    age, posture, up = cohort(F.col("playtime_at_review"), limits), F.col("result.engagement_posture"), F.col("voted_up")
+    unhappy = ~up & F.col("result.is_actionable")
+    negative = F.exists("result.aspects", lambda a: a["sentiment"] == "negative")
+    rules = (
+        ~up & (age == "early") & posture.isin(*FRICTION),
+        unhappy & (age == "early"),
+        unhappy & (age == "established"),
+        unhappy & (age == "long"),
+        age.isin("established", "long") & (posture == "frustrated_but_engaged"),
+        up & negative,
+        up & (posture == "advocacy") & (F.col("result.overall_sentiment") == "positive") & (F.col("result.sentiment_intensity") >= strong),
+    )
+    return F.array_compact(F.array(*[F.when(F.coalesce(rule, F.lit(False)), name) for name, rule in zip(RETENTION, rules, strict=True)]))
+
+
+#: Levels at which retention labels are counted: all, by app and language, and these by one more dimension each.
+LEVELS = ([], ["appid"], ["appid", "language"], ["appid", "language", "updated_period"], ["appid", "language", "steam_purchase"], ["appid", "language", "received_for_free"], ["appid", "language", "cohort"])
+
+
+def retention_levels(current: DataFrame, limits: Cohorts = Cohorts(), strong: int = 4, period: str = "quarter") -> DataFrame:
+    """Counts of each retention label at all of ``LEVELS`` from one aggregation: level (``grouping_id``), the dimensions (null
+    where the level has none of it), label, numerator, denominator, value; dense over the labels of values that are there.
+
+    The current view needs timestamp_updated, steam_purchase and received_for_free beside its own columns. A dimension's null
+    is a value of its own, which ``level`` tells from a level without it.
+    """
+    dims = ["appid", "language", "updated_period", "steam_purchase", "received_for_free", "cohort"]
+    updated = F.date_format(F.date_trunc(period, F.timestamp_seconds("timestamp_updated")), "yyyy-MM")
+    rows = current.withColumn("updated_period", updated).withColumn("cohort", cohort(F.col("playtime_at_review"), limits)).withColumn("_labels", retention_labels(limits, strong))
+    cells = rows.groupBy(*dims).agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.array_contains("_labels", name)).alias(name) for name in RETENTION])
+    sums = [F.sum(c).alias(c) for c in ("n", *RETENTION)]
+    levels = cells.groupingSets([[F.col(d) for d in level] for level in LEVELS], *dims).agg(F.grouping_id(*dims).alias("level"), *sums)
+    each = F.inline(F.array(*[F.struct(F.lit(name).alias("label"), F.col(name).alias("numerator")) for name in RETENTION]))
+    out = levels.select("level", *dims, F.col("n").alias("denominator"), each)
+    return out.withColumn("value", rate(F.col("numerator"), F.col("denominator")))

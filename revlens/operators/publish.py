@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 import re
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -19,34 +19,50 @@ def shaped(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*[(F.col(c).cast(t) if c in df.columns else F.lit(None).cast(t)).alias(c) for c, t in schemas.columns(schemas.EXPORTS[dataset])])
 
 
-def export_parquet(datasets: dict[str, DataFrame], path: str, lineage: dict, *, project_id: str = "", files: int = 0) -> dict:
-    """Write the datasets, sorted within files, with zstd, and return the manifest. ``files`` 0 leaves their number to Spark.
+def export_parquet(datasets: dict[str, DataFrame], path: str, lineage: dict, *, project_id: str = "", rows_per_file: int = 5_000_000, rows_per_group: int = 100_000) -> dict:
+    """Write the datasets in their global order, with zstd, and return the manifest.
 
-    Rows are counted while they are written.
+    The files of a dataset, in the order of their names, are sorted as one. A file has about ``rows_per_file`` rows, a row group
+    at most ``rows_per_group``. Each dataset is computed once and laid aside, so that counting it and finding the ranges
+    reads stored columns. The manifest has each file's rows and range; per dataset, a row a file comes to the driver.
     """
     spark: SparkSession | None = None
-    counts = {}
+    told = {}
     for name, df in datasets.items():
         spark = df.sparkSession
-        rows = shaped(df, name)
-        order = [F.col(c) for c in schemas.EXPORT_ORDER[name]]
-        rows = rows.repartitionByRange(files, *order) if files else rows
-        seen = Observation(name)
-        rows.sortWithinPartitions(*order).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").option("compression", "zstd").parquet(f"{path}/{name}")
-        counts[name] = seen.get["n"]
+        order = list(schemas.EXPORT_ORDER[name])
+        aside = f"{path}/_aside/{name}"
+        shaped(df, name).write.mode("overwrite").parquet(aside)
+        rows = spark.read.schema(schemas.EXPORTS[name]).parquet(aside)
+        files = max(1, -(-rows.count() // rows_per_file))
+        rows = rows.repartitionByRange(files, *order).sortWithinPartitions(*order)
+        rows.write.mode("overwrite").option("compression", "zstd").option("parquet.block.row.count.limit", rows_per_group).parquet(f"{path}/{name}")
+        told[name] = {"path": name, "files": file_ranges(spark, f"{path}/{name}", name)}
+        told[name]["rows"] = sum(f["rows"] for f in told[name]["files"])
     manifest = {
         "export_schema_version": schemas.SCHEMA_VERSION,
         "project_id": project_id,
         "lineage": lineage,
         "lineage_hash": canonical_hash(lineage),
-        "datasets": {name: {"path": name, "rows": n} for name, n in counts.items()},
-        "partition_policy": "one folder a dataset; files are sorted by the dataset's order",
+        "datasets": told,
+        "partition_policy": "one folder a dataset; its files, in the order of their names, are sorted by the dataset's order",
     }
     if spark is not None:
         spark.createDataFrame([(json.dumps(manifest, sort_keys=True),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/manifest")
+        files = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_aside")
+        files.getFileSystem(spark._jsc.hadoopConfiguration()).delete(files, True)
     return manifest
 
 
+def file_ranges(spark: SparkSession, folder: str, dataset: str) -> list[dict]:
+    """name, rows, first and last key of each file of an exported dataset, in the order of their names."""
+    order = [F.col(c) for c in schemas.EXPORT_ORDER[dataset]]
+    key = F.struct(*order)
+    rows = spark.read.schema(schemas.EXPORTS[dataset]).parquet(folder).groupBy(F.element_at(F.split("_metadata.file_path", "/"), -1).alias("name"))
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), F.to_json(F.min(key)).alias("first"), F.to_json(F.max(key)).alias("last")).collect()  # a row a file
+    return [{"name": r["name"], "rows": r["rows"], "first": json.loads(r["first"]), "last": json.loads(r["last"])} for r in sorted(found)]
+
+
 def classification_rows(current: DataFrame, project_id: str) -> DataFrame:
     """The exported classifications of the current view."""
     r = F.col("result")

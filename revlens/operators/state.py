@@ -128,8 +128,9 @@ def append_run(rows: DataFrame, path: str, run_id: str) -> None:
 
 
 def run_rows(spark: SparkSession, path: str, runs: DataFrame) -> DataFrame:
-    """The stored rows of the given runs (run_id); only their folders are read."""
-    return spark.read.parquet(path).join(F.broadcast(runs.select("run_id").limit(10_000)), "run_id", "left_semi")
+    """The stored rows of the given runs (run_id), however many. Spark prunes the folders by the runs' ids where it can broadcast
+    them, which it decides by their size."""
+    return spark.read.parquet(path).join(runs.select("run_id").distinct(), "run_id", "left_semi")
 
 
 def snapshot_order(snapshots: DataFrame, keys: list[str]) -> DataFrame:

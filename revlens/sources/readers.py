@@ -1,4 +1,4 @@
-"""Readers of pages, fixtures, gold sets and taxonomies, all with explicit schemas."""
+"""Readers of pages, fixtures and gold sets, all with explicit schemas."""
 
 from __future__ import annotations
 
@@ -95,26 +95,6 @@ def gold_set(spark: SparkSession, path: str) -> DataFrame:
     return rows
 
 
-def merge_taxonomies(core: list[dict], extension: list[dict]) -> list[dict]:
-    """Union by id; the same id with another definition, an unknown parent or a cycle is an error. Tens of rows."""
-    merged: dict[str, dict] = {}
-    for category in [*core, *extension]:
-        if not str(category.get("id", "")).strip() or not str(category.get("name", "")).strip():
-            raise ValueError("a category needs an id and a name")
-        if merged.setdefault(category["id"], category) != category:
-            raise ValueError(f"conflicting definitions of {category['id']}")
-    for start in merged:
-        seen, at = set(), start
-        while at:
-            if at in seen:
-                raise ValueError(f"cycle at {at}")
-            if at not in merged:
-                raise ValueError(f"unknown parent {at}")
-            seen.add(at)
-            at = merged[at].get("parent_id")
-    return [merged[k] for k in sorted(merged)]
-
-
 def store_pages(pages: DataFrame) -> DataFrame:
     """What a page says of itself: title, heading, an advert's text, warnings (page_id, url, html in)."""
     html = F.coalesce("html", F.lit(""))

@@ -1,4 +1,4 @@
-"""Operators that SQL does not state: greedy evidence, batches with a provider, streaming upserts, export, taxonomies."""
+"""Operators that SQL does not state: greedy evidence, batches with a provider, streaming upserts, export."""
 
 import json
 import random
@@ -8,9 +8,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from revlens import config
 from revlens.config import BatchLimits, EvidenceLimits, FilterPolicy, Selection
 from revlens.functions import text as X
-from revlens.operators import classify, evidence, publish, selection, state
+from revlens.operators import classify, evidence, metrics, publish, selection, state
 from revlens.plans import reviews as R
 from revlens.sources import readers
 from revlens.streaming import ingest
@@ -96,13 +97,14 @@ def test_export_and_report(spark, tmp_path):
     manifest = publish.export_parquet({"reviews": rows}, str(tmp_path), {"run": "r1"})
     back = spark.read.parquet(str(tmp_path / "reviews"))
     assert manifest["datasets"]["reviews"]["rows"] == rows.count() and len(back.columns) == 25
+    assert not (tmp_path / "_aside").exists()
     report = publish.render_report("Brief", [{"rank": 2, "text": "b"}, {"rank": 1, "text": "a", "metrics": ["m"]}], [{"metric_id": "m", "numerator": 1, "denominator": 2}], [], least=1, most=100)
     assert report.index("1. a") < report.index("metric:m (1/2)") < report.index("2. b")
     with pytest.raises(ValueError):
         publish.render_report("Brief", [], [], [])
 
 
-def test_pages_taxonomies_and_limits(spark, tmp_path):
+def test_pages_and_limits(spark, tmp_path):
     item = {"recommendationid": "1", "language": "english", "review": "r", "voted_up": True, "timestamp_created": 1, "timestamp_updated": 2}
     pages = [{"success": 1, "cursor": "*", "reviews": [item]}, {"success": 1, "cursor": "*", "reviews": [{"recommendationid": "2"}]}, {"success": 2}, {"success": 1, "reviews": []}]
     for k, page in enumerate(pages):
@@ -111,11 +113,6 @@ def test_pages_taxonomies_and_limits(spark, tmp_path):
     assert sorted(r["error"] or "" for r in got.collect()) == ["", "cursor", "item_fields", "not_successful"]
     (row,) = readers.page_reviews(got, "p", F.lit(5)).collect()
     assert (row["votes_up"], row["refunded"], row["appid"]) == (0, False, 5)
-    core = [{"id": "a", "name": "A"}, {"id": "b", "name": "B", "parent_id": "a"}]
-    assert [c["id"] for c in readers.merge_taxonomies(core, [{"id": "c", "name": "C", "parent_id": "b"}])] == ["a", "b", "c"]
-    for bad in ([{"id": "a", "name": "X"}], [{"id": "d", "name": "D", "parent_id": "e"}], [{"id": "", "name": "x"}]):
-        with pytest.raises(ValueError):
-            readers.merge_taxonomies(core, bad)
     for broken in (lambda: BatchLimits(max_items=0), lambda: EvidenceLimits(limit=0)):
         with pytest.raises(ValueError):
             broken()
@@ -198,3 +195,42 @@ def test_fixture_gold_and_runs(spark, tmp_path):
         state.append_run(spark.range(1).withColumn("run_id", F.lit("a")), out, "a")
     runs = spark.createDataFrame([("a", "p", "completed", 1), ("b", "p", "completed", 2), ("c", "p", "failed", 3)], "run_id string, project_id string, status string, created_at long")
     assert state.run_rows(spark, out, state.latest_completed(runs, ["project_id"])).count() == 2
+
+
+def test_export_is_sorted_as_one_and_row_groups_are_bounded(spark, tmp_path):
+    """Files joined in the order of their names are in order; footers show the bound; the manifest has each file's range."""
+    import pyarrow.parquet as pq
+
+    rows = R.reviews(spark, SF).repartition(7)
+    manifest = publish.export_parquet({"reviews": rows}, str(tmp_path), {}, rows_per_file=60, rows_per_group=25)
+    told = manifest["datasets"]["reviews"]["files"]
+    names = sorted(p.name for p in (tmp_path / "reviews").glob("*.parquet"))
+    assert [f["name"] for f in told] == names and len(names) >= 3
+    keys, after = [], None
+    for file in told:
+        found = pq.ParquetFile(tmp_path / "reviews" / file["name"])
+        assert all(found.metadata.row_group(k).num_rows <= 25 for k in range(found.num_row_groups))
+        own = [(r["appid"], r["recommendationid"]) for r in found.read(["appid", "recommendationid"]).to_pylist()]
+        assert len(own) == file["rows"] and own[0] == tuple(file["first"].values()) and own[-1] == tuple(file["last"].values())
+        keys += own
+    assert keys == sorted(keys) and len(keys) == rows.count() == manifest["datasets"]["reviews"]["rows"]
+    assert publish.export_parquet({"reviews": rows.limit(0)}, str(tmp_path / "none"), {})["datasets"]["reviews"]["rows"] == 0
+
+
+def test_casefold_of_every_code_point(spark):
+    points = [c for c in map(chr, range(1, 0x110000)) if not 0xD800 <= ord(c) < 0xE000]
+    texts = ["".join(points[k : k + 997]) for k in range(0, len(points), 997)] + ["Straße ΑΣ İSTANBUL ǅ ﬁ", "PLAIN ascii", ""]
+    got = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k long, t string").select("k", X.casefold(F.col("t")).alias("f")).collect()
+    assert [r["k"] for r in got if r["f"] != texts[r["k"]].casefold()] == []
+
+
+def test_lineage_hash_does_not_depend_on_partitions(spark):
+    values = spark.range(5000).select(F.concat(F.lit("k"), (F.col("id") % 3).cast("string")).alias("kind"), F.when(F.col("id") != 7, F.col("id").cast("string")).alias("value"))
+    values = values.unionByName(values.limit(100))
+    hashes = [sorted(map(tuple, metrics.lineage_hash(values.repartition(n), leaf_values=8).collect())) for n in (1, 7, 200)]
+    assert hashes[0] == hashes[1] == hashes[2] and [h[1] for h in hashes[0]] == [1667, 1666, 1666]
+    other = metrics.lineage_hash(values.filter("value <> '4'"), leaf_values=8).collect()
+    assert {r["kind"]: r["hash"] for r in other}["k1"] != hashes[0][1][2] and {r["kind"]: r["hash"] for r in other}["k2"] == hashes[0][2][2]
+    assert metrics.lineage_hash(values.limit(0)).collect() == []
+    assert config.configuration_hash(Selection(), BatchLimits()) == config.configuration_hash(BatchLimits(), Selection()) != config.configuration_hash(BatchLimits(max_items=3), Selection())
+    assert config.prompt_hash("v1", "a \nb\n") == config.prompt_hash("v1", "a\nb") != config.prompt_hash("v2", "a\nb")
