@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import redact
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all machines share. Only on a single machine may it be unset: then a temporary
+    folder is set, for checkpoints too."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
+        named = tempfile.mkdtemp(prefix="revlens-shared-")
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
+
+
 def latest(rows: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     """The first row per key in the given order (append-only history to current view)."""
     w = Window.partitionBy(*keys).orderBy(*order)

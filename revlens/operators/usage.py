@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .state import shared_folder
+
 
 @dataclass(frozen=True)
 class Ceilings:
@@ -18,14 +19,6 @@ class Ceilings:
     cost: int = 0
 
 
-def checkpoints(spark: SparkSession) -> None:
-    """Checkpoints go to the folder of spark.checkpoint.dir; only on a single machine may it be unset."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="revlens-checkpoint-"))
-
-
 def sums_before(rows: DataFrame, order: list[str], sums: dict[str, Column]) -> DataFrame:
     """``rows`` with, for each name of ``sums``, the sum over all rows that come before in ``order``.
 
@@ -34,7 +27,7 @@ def sums_before(rows: DataFrame, order: list[str], sums: dict[str, Column]) -> D
     tell apart are in some order among themselves, the same for all sums.
     """
     spark = rows.sparkSession
-    checkpoints(spark)
+    shared_folder(spark)
     named = rows.withColumns({f"_{n}": F.coalesce(c.cast("long"), F.lit(0)) for n, c in sums.items()})
     dealt = named.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
     totals = dealt.groupBy("_range").agg(*[F.sum(f"_{n}").alias(n) for n in sums]).orderBy("_range").collect()

@@ -168,9 +168,7 @@ def lineage_values(spark, sf):
 
 
 def coverage_summary(spark, sf):
-    rows = R.reviews(spark, sf)
-    eligible = rows.join(R.decisions(rows).filter("decision = 'eligible'").select(*KEYS), KEYS, "left_semi")
-    return metrics.coverage(eligible, R.current(spark, sf))
+    return metrics.coverage(R.project(spark, sf).decisions.filter("decision = 'eligible'"), R.current(spark, sf))
 
 
 def lineage_sets(spark, sf):
@@ -380,9 +378,9 @@ def snapshot_history(spark, sf):
 
 
 def export_reviews(spark, sf):
-    rows = R.reviews(spark, sf)
-    d = R.decisions(rows).select(*KEYS, F.col("decision").alias("eligibility_decision"), F.col("policy_hash").alias("eligibility_policy_hash"))
-    return publish.shaped(rows.join(d, KEYS, "left"), "reviews")
+    stored = R.project(spark, sf)
+    d = stored.decisions.select(*KEYS, F.col("decision").alias("eligibility_decision"), F.col("policy_hash").alias("eligibility_policy_hash"))
+    return publish.shaped(stored.reviews.join(d, KEYS, "left"), "reviews")
 
 
 def export_classifications(spark, sf):
@@ -395,8 +393,7 @@ def export_aspects(spark, sf):
 
 
 def export_aggregates(spark, sf):
-    rows, now = R.reviews(spark, sf), R.current(spark, sf)
-    eligible = R.decisions(rows).filter("decision = 'eligible'")
+    now, eligible = R.current(spark, sf), R.project(spark, sf).decisions.filter("decision = 'eligible'")
     every = metrics.stored(metrics.all_metrics(now), "run-a", R.corpus_size(eligible), R.corpus_size(now))
     return publish.shaped(every, "aggregates")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import POSTURES, SENTIMENTS, FilterPolicy
 from ..functions import text as X
 from ..operators import classify
+from ..operators.state import shared_folder
 
 PROJECT = "p1"
 POLICY = FilterPolicy(large_corpus_threshold=100)
@@ -97,6 +101,49 @@ def classifications(rows: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Project:
+    """The stored tables of a project."""
+
+    reviews: DataFrame
+    decisions: DataFrame
+    classifications: DataFrame
+
+
+#: Folders of the projects that this driver has taken in, by session and state of the source files.
+TAKEN_IN: dict[tuple, str] = {}
+
+
+def source_state(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
+    """Path, size and time of change of the source files: another state is another project."""
+    out = []
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{name}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        out += [(x.getPath().toString(), x.getLen(), x.getModificationTime()) for x in files.listStatus(path)]
+    return tuple(out)
+
+
+def spread(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows dealt to all cores if the files have fewer splits than there are cores; then only."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores, *keys) if rows.rdd.getNumPartitions() <= cores else rows
+
+
+def project(spark: SparkSession, sf_dir: str) -> Project:
+    """The project's reviews, decisions and classifications, taken in once: hashes, eligibility and results are not computed again
+    by each query that reads them, and queries read the columns that they need. The tables lie in the shared folder."""
+    key = (spark.sparkContext.applicationId, POLICY.hash(), source_state(spark, sf_dir, "documents", "labels"))
+    if key not in TAKEN_IN:
+        folder = f"{shared_folder(spark)}/project-{uuid.uuid4().hex}"
+        spread(reviews(spark, sf_dir), classify.KEYS).write.parquet(f"{folder}/reviews")
+        rows = spark.read.parquet(f"{folder}/reviews")
+        decisions(rows).write.parquet(f"{folder}/decisions")
+        classifications(rows).write.parquet(f"{folder}/classifications")
+        TAKEN_IN[key] = folder
+    return Project(*[spark.read.parquet(f"{TAKEN_IN[key]}/{name}") for name in ("reviews", "decisions", "classifications")])
+
+
 def current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = reviews(spark, sf_dir)
-    return classify.current(rows.drop("review_text"), decisions(rows), classifications(rows))
+    stored = project(spark, sf_dir)
+    return classify.current(stored.reviews.drop("review_text"), stored.decisions, stored.classifications)
