@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COHORT_NAMES, FRICTION, POSTURES, SENTIMENTS, Cohorts
-from ..functions.text import json_object, rate
+from ..functions.text import json_string, rate
 
 GRAIN = ["appid", "language", "polarity"]
 
@@ -92,21 +92,14 @@ CAVEATS = {
 }
 
 
+#: Dimensions of a metric, in the order of their names; the last four are those of single families.
+DIMENSIONS = ("appid", "cohort", "language", "polarity", "posture", "sentiment", "taxonomy_id")
+
+
 def entry(name: str, numerator: Column | str, denominator: str, **extra: Column) -> Column:
-    """One metric of a row: name, dimensions in key order (compact, and spaced as they are stored), numerator, denominator, caveats."""
-    dims = {k: F.col(k) for k in GRAIN} | extra
-    caveats = F.to_json(F.array(F.lit(CAVEATS[name]))) if name in CAVEATS else F.lit("[]")
-    if name == "friction_rate":
-        caveats = F.when(extra["cohort"] == "early", caveats).otherwise("[]")
-    return F.struct(
-        F.lit(name).alias("metric_name"),
-        json_object(dims).alias("dimensions_json"),
-        json_object(dims, spaced=True).alias("dimensions_spaced"),
-        (F.col(numerator) if isinstance(numerator, str) else numerator).cast("long").alias("numerator"),
-        F.col(denominator).cast("long").alias("denominator"),
-        F.lit(POPULATION[name]).alias("population_definition"),
-        caveats.alias("caveats_json"),
-    )
+    """One metric of a row: name, its family's own dimensions, numerator, denominator."""
+    own = [extra.get(k, F.lit(None)).cast("string").alias(k) for k in DIMENSIONS if k not in GRAIN]
+    return F.struct(F.lit(name).alias("metric_name"), *own, (F.col(numerator) if isinstance(numerator, str) else numerator).cast("long").alias("numerator"), F.col(denominator).cast("long").alias("denominator"))
 
 
 def review_count() -> list[Column]:
@@ -150,26 +143,38 @@ def aspect_entries() -> Column:
     return F.flatten(F.transform(ids, of))
 
 
+def dimensions(spaced: bool = False) -> Column:
+    """The dimensions that a metric has as a JSON object in the order of their names, compact or as they are stored."""
+    comma, colon = (", ", ": ") if spaced else (",", ":")
+    parts = {k: F.concat(F.lit(f'"{k}"{colon}'), json_string(F.col(k))) for k in DIMENSIONS}
+    return F.concat(F.lit("{"), F.concat_ws(comma, *[p if k in GRAIN else F.when(F.col(k).isNotNull(), p) for k, p in parts.items()]), F.lit("}"))
+
+
 def finished(entries: DataFrame) -> DataFrame:
-    """Adds the id (a hash of name and dimensions) and the rate."""
+    """Adds the dimensions as text, the id (a hash of name and dimensions), the rate, and what has to be said with it."""
+    name = F.col("metric_name")
+    population, caveat = (F.coalesce(*[F.when(name == k, F.lit(v)) for k, v in values.items()]) for values in (POPULATION, CAVEATS))
+    caveats = F.when((name != "friction_rate") | (F.col("cohort") == "early"), F.to_json(F.array(caveat)))
+    named = entries.withColumns({"dimensions_json": dimensions(), "dimensions_spaced": dimensions(spaced=True), "population_definition": population, "caveats_json": F.when(caveat.isNotNull(), caveats)})
+    named = named.select("metric_name", "dimensions_json", "dimensions_spaced", "numerator", "denominator", "population_definition", F.coalesce("caveats_json", F.lit("[]")).alias("caveats_json"))
     ident = F.substring(F.sha2(F.concat(F.lit('["'), "metric_name", F.lit('",'), "dimensions_json", F.lit("]")), 256), 1, 24)
-    return entries.select(ident.alias("metric_id"), "*", rate(F.col("numerator"), F.col("denominator")).alias("value"))
+    return named.select(ident.alias("metric_id"), "*", rate(F.col("numerator"), F.col("denominator")).alias("value"))
 
 
 def fixed_metrics(current: DataFrame, limits: Cohorts = Cohorts(), families: tuple = FIXED) -> DataFrame:
     """The given families from one pass over the current view."""
-    return finished(dense(counted(current, limits, aspects=False)).select(F.inline(F.array(*[e for f in families for e in f()]))))
+    return finished(dense(counted(current, limits, aspects=False)).select(*GRAIN, F.inline(F.array(*[e for f in families for e in f()]))))
 
 
 def aspect_rate(current: DataFrame) -> DataFrame:
     """Share of reviews with at least one matching aspect; several equal aspects of a review count once."""
-    return finished(dense(counted(current)).select(F.inline(aspect_entries())))
+    return finished(dense(counted(current)).select(*GRAIN, F.inline(aspect_entries())))
 
 
 def all_metrics(current: DataFrame, limits: Cohorts = Cohorts()) -> DataFrame:
     """All families from one pass over the current view."""
     fixed = F.array(*[e for f in FIXED for e in f()])
-    return finished(dense(counted(current, limits)).select(F.inline(F.concat(fixed, aspect_entries()))))
+    return finished(dense(counted(current, limits)).select(*GRAIN, F.inline(F.concat(fixed, aspect_entries()))))
 
 
 def stored(metrics: DataFrame, run_id: str, source_count: Column, classified_count: Column) -> DataFrame:

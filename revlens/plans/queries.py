@@ -18,7 +18,7 @@ KEYS = ["appid", "recommendationid"]
 
 
 def eligibility_decisions(spark: SparkSession, sf: str) -> DataFrame:
-    rows = R.edge_reviews(spark, sf)
+    rows = R.spread(R.edge_reviews(spark, sf), ["doc_id"])
     return X.with_eligibility(rows, "review_text", R.corpus_size(rows), R.POLICY).select("doc_id", "source", "decision")
 
 
