@@ -123,6 +123,68 @@ def brief_error(limits: BriefLimits = BriefLimits()) -> Column:
     return out.when(claims_geography(F.array_join(F.concat("findings", "risks", "vulnerabilities"), " ")), "geography")
 
 
+#: The version of the brief's and payload's form, the lists of a brief with the limit that each has, and what a
+#: payload's competitors must not carry.
+BRIEF_VERSION = "stage2-v1"
+BRIEF_LISTS = {
+    "findings": "findings", "recommendations": "priorities", "risks": "risks", "market_expectations": "priorities", "vulnerabilities": "vulnerabilities", "positioning": "priorities", "store_recommendations": "priorities",
+}
+RAW_FIELDS = ("review_text", "raw_json")
+
+
+def brief_table_errors(briefs: DataFrame, items: DataFrame, limits: BriefLimits = BriefLimits(), version: str = BRIEF_VERSION) -> DataFrame:
+    """brief_id, error (null: none) of whole briefs, by the first rule that one breaks.
+
+    briefs: brief_id, status, schema_version. items: brief_id, list (of ``BRIEF_LISTS``, or ``caveats``), text. The rules: status and
+    version, each list's limit in order, a caveat where evidence is insufficient, and no geography in any list but the
+    recommendations, which are checked by themselves. Items are counted, not gathered.
+    """
+    listed = F.col("list")
+    counts = [F.count_if(listed == name).alias(f"_{name}") for name in (*BRIEF_LISTS, "caveats")]
+    places = F.bool_or(listed.isin(*[k for k in BRIEF_LISTS if k != "recommendations"]) & claims_geography(F.coalesce("text", F.lit("")))).alias("_places")
+    rows = briefs.join(items.groupBy("brief_id").agg(*counts, places), "brief_id", "left")
+    out = F.when(~F.coalesce(F.col("status").isin("complete", "insufficient_evidence") & (F.col("schema_version") == version), F.lit(False)), "status_or_version")
+    for name, limit in BRIEF_LISTS.items():
+        out = out.when(F.coalesce(f"_{name}", F.lit(0)) > getattr(limits, limit), f"too_many_{name}")
+    out = out.when((F.col("status") == "insufficient_evidence") & (F.coalesce("_caveats", F.lit(0)) == 0), "caveat").when(F.col("_places"), "geography")
+    return rows.select("brief_id", out.alias("error"))
+
+
+def payload_errors(payloads: DataFrame, metrics: DataFrame, evidence: DataFrame, competitors: DataFrame, limits: BriefLimits = BriefLimits(), version: str = BRIEF_VERSION) -> DataFrame:
+    """payload_id, error (null: none) of synthesis payloads, by the first rule that one breaks.
+
+    payloads: payload_id, project_id, run_id, schema_version. metrics: payload_id, metric_id. evidence: payload_id. competitors:
+    payload_id, fields (a JSON object). The rules: identity, version, at most ``limits`` metrics and evidence, no raw review
+    fields, and no metric twice.
+    """
+    m = metrics.groupBy("payload_id", "metric_id").count().groupBy("payload_id").agg(F.sum("count").alias("_metrics"), F.max("count").alias("_most"))
+    e = evidence.groupBy("payload_id").agg(F.count(F.lit(1)).alias("_evidence"))
+    raw = F.arrays_overlap(F.json_object_keys("fields"), F.array(*[F.lit(x) for x in RAW_FIELDS]))
+    c = competitors.groupBy("payload_id").agg(F.bool_or(F.coalesce(raw, F.lit(False))).alias("_raw"))
+    rows = payloads.join(m, "payload_id", "left").join(e, "payload_id", "left").join(c, "payload_id", "left")
+    empty = (F.coalesce("project_id", F.lit("")) == "") | (F.coalesce("run_id", F.lit("")) == "")
+    error = (
+        F.when(empty, "identity")
+        .when(~F.coalesce(F.col("schema_version") == version, F.lit(False)), "version")
+        .when((F.coalesce("_metrics", F.lit(0)) > limits.metrics) | (F.coalesce("_evidence", F.lit(0)) > limits.evidence), "too_many")
+        .when(F.col("_raw"), "raw_fields")
+        .when(F.col("_most") > 1, "duplicate_metric")
+    )
+    return rows.select("payload_id", error.alias("error"))
+
+
+def payload_rows(metrics: DataFrame, quotes: DataFrame, competitors: DataFrame, limits: BriefLimits = BriefLimits()) -> DataFrame:
+    """What a synthesis payload holds, a row each: kind, id, body (JSON). The first metrics with a denominator by id, the first quotes
+    by score, then id, and the active competitors (appid, title) by id; texts of reviews beyond the quotes are never in it."""
+    chosen = quotes.orderBy(F.desc("score"), "selection_id").limit(limits.evidence)
+    parts = (
+        payload_metrics(metrics, limits.metrics).select(F.lit("metric").alias("kind"), F.col("metric_id").alias("id"), F.to_json(F.struct("metric_name", "numerator", "denominator")).alias("body")),
+        chosen.select(F.lit("evidence").alias("kind"), F.col("selection_id").alias("id"), F.to_json(F.struct("appid", "recommendationid", "language", "evidence")).alias("body")),
+        competitors.select(F.lit("competitor").alias("kind"), F.format_string("%012d", "appid").alias("id"), F.to_json(F.struct("appid", "title")).alias("body")),
+    )
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def payload_metrics(metrics: DataFrame, most: int = 120) -> DataFrame:
     """Metrics with a denominator, the first by id."""
     return metrics.filter("denominator > 0").orderBy("metric_id").limit(most)

@@ -6,12 +6,12 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import BatchLimits, Selection
 from ..functions.text import token_estimate, unit_hash
+from .state import shared_folder
 
 STRATUM = ["appid", "language", "voted_up", "playtime_bucket", "signal"]
 
@@ -99,7 +99,8 @@ def numbered(items: DataFrame) -> DataFrame:
     parts in the partitions before, of which there is one row each.
     """
     rows = items.select("appid", "recommendationid", "tokens").repartitionByRange("appid", "recommendationid")
-    rows = rows.withColumn("_part", F.spark_partition_id()).persist(StorageLevel.DISK_ONLY)  # read twice: one set of bounds for both
+    shared_folder(items.sparkSession)
+    rows = rows.withColumn("_part", F.spark_partition_id()).checkpoint()  # read twice: one set of bounds for both, also after a lost executor
     inside = Window.partitionBy("appid", "_part").orderBy("recommendationid")
     before = Window.partitionBy("appid").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     first = rows.groupBy("appid", "_part").count().select("appid", "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_first"))
@@ -116,6 +117,8 @@ def plan_batches(items: DataFrame, limits: BatchLimits = BatchLimits(), block: i
     batches start in it; these short rows are followed through an app's blocks in order; then each block marks its own
     batches. An item above the token limit gets a null batch and is not counted.
     """
+    shared_folder(items.sparkSession)
+    items = items.select("appid", "recommendationid", "tokens").checkpoint()  # texts are measured once
     fits = F.col("tokens") <= limits.max_tokens
     good = numbered(items.filter(fits))
     reach = limits.max_items

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import SENTIMENTS, Selection
-from ..operators import asof, estimates, metrics, selection, taxonomy, usage
+from ..config import SENTIMENTS, BriefLimits, EvidenceLimits, Selection
+from ..operators import asof, estimates, evidence, metrics, publish, selection, taxonomy, usage
 from ..streaming import crawl
+from . import oracle
 from . import reviews as R
 from .oracle import CURRENT, POLICY_HASH, SAMPLE, quoted
 
@@ -237,7 +238,62 @@ placed AS (SELECT *, greatest(0, ceil(ln(n / 16.0) / ln(16)))::INT AS depth FROM
 SELECT kind, n, h AS hash FROM level0
 """
 
-QUERIES = {f.__name__: f for f in (stream_stops, policy_intervals, current_as_of, taxonomy_closure, taxonomy_problems, aspect_rollup, usage_ceilings, weighted_estimates, retention_levels, lineage_hashes)}
+SMALL = BriefLimits(metrics=12, evidence=45, findings=1, priorities=1, risks=1, vulnerabilities=1)
+LISTS = (*publish.BRIEF_LISTS, "caveats")
+
+
+def brief_table_errors(spark, sf):
+    """Conversations as briefs: turns are items of the lists by turns, so lengths and texts are the table's."""
+    turns = R.table(spark, sf, "conversations")
+    name = F.element_at(F.array(*[F.lit(x) for x in LISTS]), (F.col("turn") % len(LISTS)).cast("int") + 1)
+    items = turns.select(F.col("conv_id").alias("brief_id"), name.alias("list"), F.concat("text", F.when(F.col("role") == "system", " in Germany").otherwise("")).alias("text"))
+    size = F.max(F.length("text"))
+    briefs = turns.groupBy(F.col("conv_id").alias("brief_id")).agg(F.when(size % 5 == 0, "done").when(size % 5 == 1, "insufficient_evidence").otherwise("complete").alias("status"), F.when(size % 7 == 0, "old").otherwise(publish.BRIEF_VERSION).alias("schema_version"))
+    return publish.brief_table_errors(briefs, items, SMALL).select("brief_id", F.coalesce("error", F.lit("ok")).alias("error"))
+
+
+def _brief_sql() -> str:
+    limits = {name: getattr(SMALL, limit) for name, limit in publish.BRIEF_LISTS.items()}
+    many = " ".join(f"WHEN count(*) FILTER (turn % {len(LISTS)} = {k}) > {limits[name]} THEN 'too_many_{name}'" for k, name in enumerate(publish.BRIEF_LISTS))
+    skipped = f"turn % {len(LISTS)} NOT IN ({LISTS.index('recommendations')}, {LISTS.index('caveats')})"
+    return f"""WITH b AS (SELECT conv_id, max(length(text)) AS n FROM conversations GROUP BY 1)
+SELECT conv_id AS brief_id, CASE WHEN n % 5 = 0 OR n % 7 = 0 THEN 'status_or_version' {many} WHEN n % 5 = 1 AND count(*) FILTER (turn % {len(LISTS)} = {LISTS.index('caveats')}) = 0 THEN 'caveat'
+    WHEN bool_or({skipped} AND role = 'system') THEN 'geography' ELSE 'ok' END AS error FROM conversations JOIN b USING (conv_id) GROUP BY conv_id, n"""
+
+
+def payload_errors(spark, sf):
+    """Customers as payloads: their orders' priorities and days are metrics, their order lines evidence, their orders competitors."""
+    orders = R.table(spark, sf, "orders").withColumnRenamed("o_custkey", "payload_id")
+    lines = R.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    customer = R.table(spark, sf, "customer")
+    payloads = customer.select(F.col("c_custkey").alias("payload_id"), F.when(F.col("c_nationkey") == 3, "").otherwise(F.col("c_name")).alias("project_id"), F.col("c_mktsegment").alias("run_id"), F.when(F.col("c_nationkey") == 5, None).otherwise(publish.BRIEF_VERSION).alias("schema_version"))
+    named = orders.select("payload_id", F.concat_ws("/", "o_orderpriority", F.date_format("o_orderdate", "yyyy-MM")).alias("metric_id"))
+    fields = F.when(F.col("o_orderstatus") == "P", F.to_json(F.struct(F.col("o_orderkey").alias("review_text")))).otherwise(F.to_json(F.struct("o_orderkey")))
+    out = publish.payload_errors(payloads, named, lines.join(orders.select("payload_id", "o_orderkey"), "o_orderkey"), orders.select("payload_id", fields.alias("fields")), SMALL)
+    return out.select("payload_id", F.coalesce("error", F.lit("ok")).alias("error"))
+
+
+PAYLOAD_SQL = f"""
+WITH m AS (SELECT o_custkey, count(*) AS n, count(DISTINCT o_orderpriority || '/' || strftime(o_orderdate, '%Y-%m')) AS d, bool_or(o_orderstatus = 'P') AS raw FROM orders GROUP BY 1),
+e AS (SELECT o_custkey, count(*) AS k FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1)
+SELECT c_custkey AS payload_id, CASE WHEN c_nationkey = 3 OR c_name = '' OR c_mktsegment = '' THEN 'identity' WHEN c_nationkey = 5 THEN 'version' WHEN n > {SMALL.metrics} OR k > {SMALL.evidence} THEN 'too_many' WHEN raw THEN 'raw_fields' WHEN d < n THEN 'duplicate_metric' ELSE 'ok' END AS error
+FROM customer LEFT JOIN m ON m.o_custkey = c_custkey LEFT JOIN e ON e.o_custkey = c_custkey
+"""
+
+
+def payload_rows(spark, sf):
+    """The bounded payload of a project: metrics, quotes and competitors (suppliers with an even key are active)."""
+    now = R.current(spark, sf)
+    quotes = evidence.select(evidence.candidates(now, R.PROJECT), EvidenceLimits())
+    competitors = R.table(spark, sf, "supplier").filter("s_suppkey % 2 = 0").select(F.col("s_suppkey").alias("appid"), F.col("s_name").alias("title"))
+    return publish.payload_rows(metrics.all_metrics(now), quotes, competitors, BriefLimits(evidence=5)).select("kind", "id")
+
+
+ROWS_SQL = f"""SELECT 'metric' AS kind, metric_id AS id FROM ({oracle.SQL["payload_top_metrics"]}) UNION ALL
+SELECT * FROM (SELECT 'evidence', selection_id FROM ({oracle.SQL["evidence_selected"]}) s JOIN (SELECT selection_id, score FROM ({oracle.SQL["evidence_scores"]})) USING (selection_id) ORDER BY score DESC, selection_id LIMIT 5) UNION ALL
+SELECT 'competitor', printf('%012d', s_suppkey) FROM supplier WHERE s_suppkey % 2 = 0"""
+
+QUERIES = {f.__name__: f for f in (stream_stops, policy_intervals, current_as_of, taxonomy_closure, taxonomy_problems, aspect_rollup, usage_ceilings, weighted_estimates, retention_levels, lineage_hashes, brief_table_errors, payload_errors, payload_rows)}
 
 SQL = {
     "stream_stops": CRAWL_SQL,
@@ -251,4 +307,7 @@ SQL = {
     "weighted_estimates": ESTIMATE_SQL,
     "retention_levels": RETENTION_SQL,
     "lineage_hashes": LINEAGE_SQL,
+    "brief_table_errors": _brief_sql(),
+    "payload_errors": PAYLOAD_SQL,
+    "payload_rows": ROWS_SQL,
 }
