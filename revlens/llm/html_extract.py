@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import html
 import re
-from collections import Counter
+from bisect import bisect_right
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import blank, cut
 
-MARKUP = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+MARKUP = re.compile(r"""<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""", re.S)
 NAMES = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Elements whose content is not text, elements that are page furniture, and words in a class, id or role that mark furniture.
 RAW = frozenset("script style noscript template svg iframe textarea select option canvas annotation annotation-xml title".split())
@@ -36,8 +38,20 @@ INLINE = frozenset(
 )
 #: Words that say of a layout what it has or has not; a name with one of them marks nothing.
 ABOUT = frozenset("with without no not has have is hide hidden show layout single grid col cols".split())
-#: Words that name the content. Inside of it (or of article and main), a mark is a whole class or role, not a word of one or an id.
+#: Words that name the content. Inside of it (or of article and main), a mark is a whole class or role, or a name all of whose words
+#: are marks or say what a mark stands on (CARRIERS), unless its marks are all among PARTS, which articles have too. Of ids without
+#: a carrier, only OWN_IDS are marks there, since sections of an article are often called like the others.
 CONTENT = frozenset("article main content post entry body text story prose".split())
+CARRIERS = frozenset(
+    """slot box bar block list section area wrap wrapper container unit inner outer holder frame panel group form links link buttons button icons
+    icon posts thread user users reader readers site page top bottom left right id""".split()
+)
+PARTS = frozenset("discussion header masthead footer menu alert reply replies search copyright".split())
+OWN_IDS = frozenset("ad ads advert adverts advertisement comments disqus newsletter sidebar breadcrumb breadcrumbs".split())
+#: Elements of code, in which names mark nothing: highlighters call parts of it comment and the like.
+CODE = frozenset(["pre", "code"])
+#: What a form holds if it spans the page.
+SPANNED = frozenset(["nav", "footer"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: HTML's implied end tags: an opening tag closes the open ones named, but none outside of the innermost bound.
 BLOCKS = frozenset(
@@ -58,19 +72,46 @@ WORD, LEAST, MOST, ELSEWHERE = 1.0, 0.1, 4.0, 0.25
 SUPPORT, MIXED = 0.001, 0.02
 
 
+def read_names(attributes: str) -> list[tuple[str, str]]:
+    return [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in NAMES.finditer(attributes)]
+
+
+short_names = lru_cache(1 << 14)(read_names)
+
+
 def names_of(attributes: str) -> list[tuple[str, str]]:
-    return [(m[1].lower(), (m[2] or m[3] or m[4] or "").lower()) for m in NAMES.finditer(attributes)] if attributes else []
+    """(attribute, value) of classes, ids and roles; short attributes, which pages repeat, are read once."""
+    return (short_names if len(attributes) <= 200 else read_names)(attributes) if attributes else []
+
+
+@lru_cache(1 << 16)
+def words_of(name: str) -> tuple[str, ...]:
+    """The words of a name; one that is a mark and a carrier written together (commentlist) is both."""
+    out: list[str] = []
+    for word in re.findall(r"[a-z]+", name):
+        at = 0 if word in MARKS else next((k for k in range(2, len(word) - 1) if (word[:k] in MARKS and word[k:] in CARRIERS) or (word[:k] in CARRIERS and word[k:] in MARKS)), 0)
+        out += (word[:at], word[at:]) if at else (word,)
+    return tuple(out)
+
+
+@lru_cache(1 << 16)
+def is_marked_inside(name: str) -> bool:
+    """Whether a name of several words says furniture even inside of the content: ad-slot, cookie-notice, user-comments, but
+    not cookie-recipe or section-header."""
+    words = words_of(name)
+    return len(words) > 1 and any(w in MARKS and w not in PARTS for w in words) and all(w in MARKS or w in CARRIERS for w in words)
 
 
+@lru_cache(1 << 16)
 def is_marked(name: str) -> bool:
     """Whether a class, id or role names furniture by its first or last word: sidebar, ad-slot, site-comments, but not
     with-sidebar."""
-    words = re.findall(r"[a-z]+", name)
+    words = words_of(name)
     return bool(words) and (words[0] in MARKS or words[-1] in MARKS) and not ABOUT & set(words)
 
 
 def is_furniture(tag: str, attributes: str, inside: bool = False, learned: frozenset[str] = frozenset()) -> bool:
-    """``inside``: in the content, where only whole classes and roles mark furniture, and not on what is called content too."""
+    """``inside``: in the content, where fewer names mark furniture, and none on what is called content too."""
     if tag in FURNITURE:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
@@ -78,7 +119,10 @@ def is_furniture(tag: str, attributes: str, inside: bool = False, learned: froze
     found = names_of(attributes)
     whole = {w for name, value in found if name != "id" for w in value.split()}
     if inside or tag in HEADINGS:
-        return bool(whole & MARKS) and not whole & CONTENT
+        if whole & CONTENT:
+            return False
+        own = {w for name, value in found if name == "id" for w in value.split()}
+        return bool(whole & MARKS) or (tag not in HEADINGS and (bool(own & OWN_IDS) or any(map(is_marked_inside, whole | own))))
     if whole & CONTENT and not whole & MARKS:
         return False
     every = {w for _, value in found for w in value.split()}
@@ -88,18 +132,12 @@ def is_furniture(tag: str, attributes: str, inside: bool = False, learned: froze
 def is_content(tag: str, attributes: str) -> bool:
     if tag in ("article", "main"):
         return True
-    return bool(attributes) and any(m[1].lower() != "class" and (m[2] or m[3] or m[4] or "").lower() in ("main", "article", "content") for m in NAMES.finditer(attributes))
+    return any(name != "class" and value in ("main", "article", "content") for name, value in names_of(attributes))
 
 
-def innermost(stack: list, tags: tuple[str, ...], bounds: frozenset[str]) -> int:
-    """Place of the outermost open element of ``tags`` within the innermost of ``bounds``, or -1."""
-    found = -1
-    for k in range(len(stack) - 1, -1, -1):
-        if stack[k][0] in tags:
-            found = k
-        elif stack[k][0] in bounds:
-            break
-    return found
+def is_called_content(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role is a word for content."""
+    return any(w in CONTENT for _, value in names_of(attributes) for w in value.split())
 
 
 def unclosed(page: str) -> set[int]:
@@ -118,73 +156,118 @@ def unclosed(page: str) -> set[int]:
     return out
 
 
-def events(page: str, learned: frozenset[str] = frozenset()) -> Iterator[tuple[str, str, bool]]:
+class Open:
+    """The open elements of a page. What an end tag or an implied end closes is found from the places of each tag's open
+    elements, and only elements that are marked are looked at to unmark them, so a page takes linear time at any depth."""
+
+    def __init__(self) -> None:
+        self.stack: list[list] = []  # [tag, is furniture, is content]
+        self.places: dict[str, list[int]] = defaultdict(list)
+        self.depth = self.inside = self.code = 0
+        self.named: list[list] = []  # elements that only a name marks
+        self.short: list[list] = []  # those of them that end at the next block
+        self.forms: list[list] = []
+
+    def push(self, tag: str, mark: bool, content: bool, short: bool) -> None:
+        element = [tag, mark, content]
+        self.places[tag].append(len(self.stack))
+        self.stack.append(element)
+        self.depth += mark
+        self.inside += content
+        self.code += tag in CODE
+        if mark and tag == "form":
+            self.forms.append(element)
+        elif mark and tag not in FURNITURE:
+            (self.short if short else self.named).append(element)
+
+    def close(self, k: int) -> None:
+        while k >= 0 and len(self.stack) > k:
+            element = self.stack.pop()
+            self.places[element[0]].pop()
+            self.depth -= element[1]
+            self.inside -= element[2]
+            self.code -= element[0] in CODE
+            element[1] = False
+
+    def bound(self, bounds: frozenset[str]) -> int:
+        """Place of the innermost open element of ``bounds``, or -1."""
+        return max((self.places[t][-1] for t in bounds if self.places.get(t)), default=-1)
+
+    def outermost(self, tags: tuple[str, ...], bounds: frozenset[str]) -> int:
+        """Place of the outermost open element of ``tags`` within the innermost of ``bounds``, or -1."""
+        some = [self.places[t] for t in tags if self.places.get(t)]
+        if not some:
+            return -1
+        edge = self.bound(bounds)
+        return min((p[bisect_right(p, edge)] for p in some if p[-1] > edge), default=-1)
+
+    def last(self, tag: str, bounds: frozenset[str]) -> int:
+        """Place of the innermost open ``tag`` if no element of ``bounds`` is open in it, or -1."""
+        found = self.places[tag][-1] if self.places.get(tag) else -1
+        return found if found >= 0 and found >= self.bound(bounds) else -1
+
+    def unmark(self, elements: list[list]) -> None:
+        for element in elements:
+            self.depth -= element[1]
+            element[1] = False
+        elements.clear()
+
+
+def events(page: str, learned: frozenset[str] = frozenset(), lenient: bool = False) -> Iterator[tuple[str, str, bool]]:
     """("text", characters, in furniture), or (tag name, "open" or "close", in furniture), in page order.
 
     What only a name marks as furniture is none if an article or main element opens in it; if it is never closed, it ends
-    at the next block.
+    at the next block. A form in which content, a menu or a footer opens spans the page and is no furniture. ``lenient``:
+    any element that is called content unmarks what is around it, as an article does.
     """
-    at, stack = 0, []  # [tag, is furniture, is content, only until the next block]
-    depth = inside = 0
+    at, open_ = 0, Open()
     endless: set[int] | None = None
-
-    def close(k: int) -> None:
-        nonlocal depth, inside
-        if k >= 0:
-            depth -= sum(x[1] for x in stack[k:])
-            inside -= sum(x[2] for x in stack[k:])
-            del stack[k:]
-
-    def unmark(only_short: bool) -> None:
-        nonlocal depth
-        for x in stack:
-            if x[1] and x[0] not in FURNITURE and (x[3] or not only_short):
-                depth -= 1
-                x[1] = False
-
+    no_end: set[str] = set()
     size = len(page)
     while at < size:
         found = MARKUP.search(page, at)
         if not found:
-            yield "text", page[at:], depth > 0
+            yield "text", page[at:], open_.depth > 0
             return
         if found.start() > at:
-            yield "text", page[at : found.start()], depth > 0
+            yield "text", page[at : found.start()], open_.depth > 0
         at = found.end()
         tag = (found[2] or "").lower()
         if not tag:
             continue
+        closed = found[3].endswith("/")
         if found[1]:
-            yield tag, "close", depth > 0
-            bounds = BOUNDS.get(tag, frozenset())
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in bounds:
-                    break
+            yield tag, "close", open_.depth > 0
+            open_.close(open_.last(tag, BOUNDS.get(tag, frozenset())))
         elif tag in RAW:
-            end = None if found[3].endswith("/") else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            at = end.end() if end else (size if tag in ("script", "style") and not found[3].endswith("/") else at)
+            end = None if closed or tag in no_end else re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif not closed:
+                no_end.add(tag)
+                at = size if tag in ("script", "style") else at
         else:
             if tag in BLOCKS:
-                close(innermost(stack, ("p",), BOUNDS["p"]))
-                unmark(True)
+                open_.close(open_.outermost(("p",), BOUNDS["p"]))
+                open_.unmark(open_.short)
             if tag in CLOSES:
-                close(innermost(stack, CLOSES[tag], BOUNDS[tag]))
-            mark, content = is_furniture(tag, found[3], inside > 0, learned), is_content(tag, found[3])
-            if content and tag in ("article", "main"):
-                unmark(False)
-            if tag not in VOID and not found[3].endswith("/"):
+                open_.close(open_.outermost(CLOSES[tag], BOUNDS[tag]))
+            content = is_content(tag, found[3])
+            mark = is_furniture(tag, found[3], open_.inside > 0, learned) and (tag in FURNITURE or not open_.code)
+            if tag in ("article", "main") or (lenient and is_called_content(tag, found[3])):
+                open_.unmark(open_.named)
+                open_.unmark(open_.short)
+                open_.unmark(open_.forms)
+            elif content or tag in SPANNED:
+                open_.unmark(open_.forms)
+            if tag not in VOID and not closed:
                 short = False
                 if mark and tag not in FURNITURE:
                     if endless is None:
                         endless = unclosed(page)
                     short = found.start() in endless
-                stack.append([tag, mark, content, short])
-                depth += mark
-                inside += content
-            yield tag, "open", depth > 0
+                open_.push(tag, mark, content, short)
+            yield tag, "open", open_.depth > 0
 
 
 def profile(page: str) -> Counter:
@@ -200,7 +283,7 @@ def profile(page: str) -> Counter:
             out[tag, furniture, inside] += 1
     if articles != 1:
         return Counter()
-    around, within, outside, open_ = set(), set(), set(), []
+    around, within, outside, open_, count = set(), set(), set(), [], Counter()
     inside = False
     for found in MARKUP.finditer(page):
         tag = (found[2] or "").lower()
@@ -208,15 +291,17 @@ def profile(page: str) -> Counter:
             inside = not found[1]
             around.update(*(names for _, names in open_))
         elif found[1]:
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == tag:
-                    del open_[k:]
+            while count[tag]:
+                last = open_.pop()[0]
+                count[last] -= 1
+                if last == tag:
                     break
         elif tag:
             names = {w for _, value in names_of(found[3]) for w in value.split()}
             (within if inside else outside).update(names)
             if tag not in VOID and not found[3].endswith("/"):
                 open_.append((tag, names))
+                count[tag] += 1
     out.update(("name", name, True) for name in within | around)
     out.update(("name", name, False) for name in outside - within - around)
     return out
@@ -261,10 +346,29 @@ def cost(n: int, outside: int) -> float:
     return LEAST + MOST * outside / (n + 2)
 
 
+def best_region(scores: list[float]) -> tuple[int, int]:
+    """Start and end of the first contiguous region of the largest sum above 0; (0, 0) if there is none."""
+    best, region, total, start = 0.0, (0, 0), 0.0, 0
+    for k, score in enumerate(scores):
+        if total <= 0:
+            total, start = 0.0, k
+        total += score
+        if total > best:
+            best, region = total, (start, k + 1)
+    return region
+
+
 def main_text(page: str, costs: dict[tuple[str, bool], float]) -> str:
-    """The text of the best-scoring region, blocks joined by one space."""
+    """The text of the best-scoring region, blocks joined by one space.
+
+    If all of a page's text is in furniture, the page is read again with elements that are called content taken as such.
+    """
+    return region_text(page, costs, False) or region_text(page, costs, True)
+
+
+def region_text(page: str, costs: dict[tuple[str, bool], float], lenient: bool) -> str:
     items: list[tuple[float, str | None]] = []  # score; text, or None for the edge of a block
-    for tag, what, furniture in events(page, getattr(costs, "names", frozenset())):
+    for tag, what, furniture in events(page, getattr(costs, "names", frozenset()), lenient):
         if tag == "text":
             text = html.unescape(what)
             words = len(text.split())
@@ -272,14 +376,8 @@ def main_text(page: str, costs: dict[tuple[str, bool], float]) -> str:
         else:
             price = 0.0 if furniture else costs.get((tag, False)) or max(LEAST, ELSEWHERE * costs.get((tag, True), 0.0))
             items.append((-price, "" if tag in INLINE and not furniture else None))
-    best, region, total, start = 0.0, (0, 0), 0.0, 0
-    for k, (score, _) in enumerate(items):
-        if total <= 0:
-            total, start = 0.0, k
-        total += score
-        if total > best:
-            best, region = total, (start, k + 1)
-    pieces = (x if x is not None else "\n" for _, x in items[region[0] : region[1]])
+    start, end = best_region([score for score, _ in items])
+    pieces = (x if x is not None else "\n" for _, x in items[start:end])
     return " ".join("".join(pieces).split())
 
 
