@@ -2,9 +2,12 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -392,6 +395,62 @@ def test_html_marks_and_implied_ends():
     assert {k: html_extract.main_text(k, {}) for k in pages} == pages
 
 
+def test_html_forms_wrappers_and_marks_in_articles():
+    text = "plain words of the article that go on for long enough"
+    pages = {
+        f"<body><form id='f'><div class='menu'>go</div><article><p>{text}</p></article></form></body>": text,
+        f"<form><nav>Home</nav><div class='page'><p>{text}</p></div></form>": text,
+        f"<form><div id='content'><p>{text}</p></div><label>Name</label></form>": f"{text} Name",
+        f"<article><p>{text}</p></article><form><label>Mail me</label><p>every day from now on</p></form>": text,
+        "<form><label>Mail me</label><p>every day from now on</p></form>": "",
+        f"<div class='social'><div class='content'><p>{text}</p></div></div>": text,
+        f"<div class='modal'><div class='content'>join us now</div></div><p>{text}</p>": text,
+        f"<p>x<!-->y</p><p>{text}</p><!--->and<!-- no --!> more": f"xy {text} and more",
+        f"<p>{text}</p><!-- never closed <p>not text</p>": text,
+        f"<article><p>{text}</p><pre>x = 1 <span class='token comment'># note</span></pre></article>": f"{text} x = 1 # note",
+    }
+    for name in ("class='cookie-notice'", "class='ad-slot'", "id='ad'", "id='comments'", "class='user-comments'", "class='commentlist'", "class='share-buttons'"):
+        pages[f"<article><p>{text}</p><div {name}>bad words</div><p>and more</p></article>"] = f"{text} and more"
+        pages[f"<div><p>{text}</p><div {name}>bad words</div><p>and more</p></div>"] = f"{text} and more"
+    for name in ("class='cookie-recipe'", "class='section-header'", "id='discussion'", "class='social-history'", "id='cookies'", "class='post-body'", "class='address'"):
+        pages[f"<article><p>{text}</p><div {name}>good words</div><p>and more</p></article>"] = f"{text} good words and more"
+    assert {k: html_extract.main_text(k, {}) for k in pages} == pages
+
+
+@pytest.mark.parametrize("part", ["<p>x<div>", '<div class="ad">', '<div class="ad"><article>', "<ul><li>x", "<b>", "</i><b>", "<svg>", "<table><td>x"])
+def test_html_deep_pages_take_linear_time(part):
+    """100 000 nested tags: quadratic walks over the open ones would take minutes. Repeated pages give the same text."""
+    page = "<p>start<table><tr><td>" + part * 100_000
+    begun = time.perf_counter()
+    assert html_extract.main_text(page, {}) is not None and not html_extract.profile(page + "<article></article>" * 2)
+    assert time.perf_counter() - begun < 30
+
+
+def test_html_best_region():
+    rng = random.Random(5)
+    for n in range(60):
+        scores = [rng.choice([-3.0, -1.0, -0.5, 0.0, 1.0, 2.0]) for _ in range(n)]
+        start, end = html_extract.best_region(scores)
+        assert sum(scores[start:end]) == max([0.0, *(sum(scores[a:b]) for a in range(n) for b in range(a + 1, n + 1))])
+
+
+def test_html_learned_costs_decide_the_region(spark):
+    """Regions by learned costs, compared with a search over all regions of the same words and tags."""
+    label = "<body><div><ul><li>x<li>y<li>z</ul></div><article><p>some words stand here</p><p>and here too</p></article></body>"
+    costs = html_extract.learn_tag_costs(spark.createDataFrame([(k, "u", label) for k in range(50)], "page_id long, url string, html string"))
+    assert costs["li", False] > 3 and costs["p", False] < 0.5
+    rng = random.Random(6)
+    for _ in range(40):
+        parts = [rng.choice(["<li>a", "<p>one two three</p>", "<p>four</p>", "<li>b c", "<div>d</div>"]) for _ in range(14)]
+        items = []
+        for tag, what, _ in html_extract.events("".join(parts)):
+            items.append((len(what.split()), what) if tag == "text" else (-(costs.get((tag, False)) or html_extract.LEAST), " "))
+        sums = {(a, b): sum(x for x, _ in items[a:b]) for a in range(len(items)) for b in range(a + 1, len(items) + 1)}
+        best = max(sums.values())
+        wanted = {" ".join("".join(t for _, t in items[a:b]).split()) for (a, b), v in sums.items() if v > best - 1e-9}
+        assert html_extract.main_text("".join(parts), costs) in wanted
+
+
 def test_html_learns_names(spark):
     """Names that labelled pages only have outside of their article are furniture on others; rare tags are learned too."""
     text = "plain words of the article that go on for long enough"
@@ -544,6 +603,57 @@ def test_language_sample_is_bounded(spark, monkeypatch):
     assert (got.groupby("lang").text.apply(lambda t: t.str.len().sum()) <= 300).all() and not got.text.duplicated().any()
 
 
+def test_language_sample_is_the_first_by_hash(spark, monkeypatch):
+    """However rows are dealt and however fine the histogram is: each language's first texts by hash."""
+    rows = [("big" if k % 3 else "small", f"text number {k % 700}") for k in range(1500)] + [("big", "hot")] * 900
+    df = spark.createDataFrame(rows, "lang string, text string")
+    hashes = {r[0]: r[1] for r in df.select("text", F.xxhash64("text")).distinct().collect()}
+    want = {(lang, t) for lang in ("big", "small") for t in sorted({t for x, t in rows if x == lang}, key=hashes.get)[:50]}
+    for bits, parts in ((1, 1), (4, 7), (12, 3)):
+        monkeypatch.setattr(langid, "RANGE_BITS", bits)
+        assert {tuple(r) for r in langid.sample(df.repartition(parts), 2, 50).collect()} == want
+
+
+def test_shuffled_keeps_every_symbol():
+    text = "many wörds \U00020000 " * 500
+    assert sorted(langid.shuffled(text)) == sorted(text) != langid.shuffled(text) and langid.shuffled("") == ""
+
+
+def slow_kneser_ney(text, order):
+    """log p(symbol | history) by the textbook: raw counts of the longest n-grams, continuation counts of all shorter ones."""
+    padded = [0] * (order - 1) + list(text)
+    whole = [tuple(padded[k : k + order]) for k in range(len(text))]
+    counts = {order: Counter(whole)}
+    for n in range(order - 1, 0, -1):
+        counts[n] = Counter(g[1:] for g in counts[n + 1])
+
+    def p(history, symbol, n):
+        if n == 0:
+            return 1 / langid.SYMBOLS
+        table = counts[n]
+        once, twice = (sum(c == k for c in table.values()) for k in (1, 2))
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        h = tuple(history[len(history) - n + 1 :])
+        follow = [c for g, c in table.items() if g[:-1] == h]
+        shorter = p(history, symbol, n - 1)
+        if not follow:
+            return shorter
+        return max(table.get((*h, symbol), 0) - d, 0) / sum(follow) + d * len(follow) / sum(follow) * shorter
+
+    return p
+
+
+def test_kneser_ney_against_the_textbook():
+    rng = random.Random(3)
+    text = [rng.choice([1, 1, 2, 3, 5]) for _ in range(300)]
+    codes, n = np.unique(langid.grams(np.array(text, np.uint64)), return_counts=True)
+    model, slow = langid.KneserNey(codes, n), slow_kneser_ney(text, langid.ORDER)
+    for _ in range(60):
+        gram = [rng.choice([0, 1, 2, 3, 4, 5]) for _ in range(langid.ORDER)]
+        code = np.array([sum(x << 12 * (langid.ORDER - 1 - k) for k, x in enumerate(gram))], np.uint64)
+        assert model.log_prob(code)[0] == pytest.approx(math.log(slow(gram[:-1], gram[-1], langid.ORDER)), abs=1e-4)
+
+
 def test_kneser_ney_sums_to_one():
     rng = np.random.default_rng(0)
     symbols = rng.integers(1, 6, 400).astype(np.uint64)
