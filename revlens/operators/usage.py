@@ -28,9 +28,9 @@ def sums_before(rows: DataFrame, order: list[str], sums: dict[str, Column]) -> D
     """
     spark = rows.sparkSession
     shared_folder(spark)
-    named = rows.withColumns({f"_{n}": F.coalesce(c.cast("long"), F.lit(0)) for n, c in sums.items()})
+    named = rows.withColumns({f"_sum_{n}": F.coalesce(c.cast("long"), F.lit(0)) for n, c in sums.items()})
     dealt = named.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).withColumn("_place", F.monotonically_increasing_id()).checkpoint()
-    totals = dealt.groupBy("_range").agg(*[F.sum(f"_{n}").alias(n) for n in sums]).orderBy("_range").collect()
+    totals = dealt.groupBy("_range").agg(*[F.sum(f"_sum_{n}").alias(n) for n in sums]).orderBy("_range").collect()
     at, before = dict.fromkeys(sums, 0), []
     for t in totals:
         before.append((t["_range"], *at.values()))
@@ -38,7 +38,7 @@ def sums_before(rows: DataFrame, order: list[str], sums: dict[str, Column]) -> D
     first = spark.createDataFrame(before, "_range int, " + ", ".join(f"_before_{n} long" for n in sums))
     inside = Window.partitionBy("_range").orderBy(*order, "_place").rowsBetween(Window.unboundedPreceding, -1)
     out = dealt.join(F.broadcast(first), "_range")  # a row a range
-    return out.select(*rows.columns, *[(F.coalesce(F.sum(f"_{n}").over(inside), F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n in sums])
+    return out.select(*rows.columns, *[(F.coalesce(F.sum(f"_sum_{n}").over(inside), F.lit(0)) + F.col(f"_before_{n}")).alias(n) for n in sums])
 
 
 def admitted(batches: DataFrame, order: list[str], ceilings: Ceilings, max_output_tokens: int = 0) -> DataFrame:

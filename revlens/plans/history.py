@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import SENTIMENTS, BriefLimits, EvidenceLimits, Selection
-from ..operators import asof, estimates, evidence, metrics, publish, selection, taxonomy, usage
+from ..functions import text as X
+from ..operators import asof, estimates, evidence, metrics, publish, reports, selection, taxonomy, usage
+from ..sources import readers
 from ..streaming import crawl
 from . import oracle
 from . import reviews as R
@@ -293,7 +295,69 @@ ROWS_SQL = f"""SELECT 'metric' AS kind, metric_id AS id FROM ({oracle.SQL["paylo
 SELECT * FROM (SELECT 'evidence', selection_id FROM ({oracle.SQL["evidence_selected"]}) s JOIN (SELECT selection_id, score FROM ({oracle.SQL["evidence_scores"]})) USING (selection_id) ORDER BY score DESC, selection_id LIMIT 5) UNION ALL
 SELECT 'competitor', printf('%012d', s_suppkey) FROM supplier WHERE s_suppkey % 2 = 0"""
 
-QUERIES = {f.__name__: f for f in (stream_stops, policy_intervals, current_as_of, taxonomy_closure, taxonomy_problems, aspect_rollup, usage_ceilings, weighted_estimates, retention_levels, lineage_hashes, brief_table_errors, payload_errors, payload_rows)}
+def report_citations(spark, sf):
+    """Customers as briefs, their orders as recommendations ranked by price; parts are the metrics and suppliers the reviews that
+    an order's lines cite. Suppliers of every fifth nation are no evidence."""
+    orders = R.table(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("brief_id"), F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey")).alias("rank"), F.col("o_orderpriority").alias("title"))
+    by_line = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey")))
+    cited = R.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(by_line.alias("x"))
+    recommendations = orders.join(cited, "o_orderkey", "left").select("brief_id", "rank", "title", F.transform("x", lambda x: x["l_partkey"]).alias("metric_ids"), F.transform("x", lambda x: x["l_suppkey"]).alias("review_ids"))
+    parts = R.table(spark, sf, "part").filter("p_size % 2 = 0").select(F.col("p_partkey").alias("metric_id"), F.col("p_size").alias("numerator"), F.length("p_name").alias("denominator"))
+    suppliers = R.table(spark, sf, "supplier").filter("s_nationkey % 5 <> 0").select(F.col("s_suppkey").alias("review_id"), F.col("s_name").alias("selection_id"))
+    return reports.citations(recommendations, parts, suppliers)
+
+
+CITATION_SQL = """WITH o AS (SELECT o_orderkey, o_custkey AS brief_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rank, o_orderpriority AS title FROM orders),
+refs AS (SELECT l_orderkey, 1 AS kind, struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey) AS pos, printf('`metric:%d` (%d/%d)', p_partkey, p_size, length(p_name)) AS ref FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size % 2 = 0
+    UNION ALL SELECT l_orderkey, 2, struct_pack(a := l_linenumber, b := l_partkey, c := l_suppkey), printf('`review:%d` (`selection:%s`)', s_suppkey, s_name) FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_nationkey % 5 <> 0)
+SELECT brief_id, rank, '### ' || rank || '. ' || title AS heading, coalesce(string_agg(ref, '; ' ORDER BY kind, pos), 'No direct citation') AS citation FROM o LEFT JOIN refs ON l_orderkey = o_orderkey GROUP BY brief_id, rank, title"""
+
+
+def report_groups(spark, sf):
+    """A table row a group of reviews, in the order of the groups: app as text, then language."""
+    groups = R.project(spark, sf).reviews.groupBy("appid", "language").agg(F.count(F.lit(1)).alias("n"), F.count_if("voted_up").alias("up"))
+    return reports.group_lines(groups, [F.col("appid"), F.col("language"), F.format_string("%d/%d positive", "up", "n")])
+
+
+def types_first_seen(spark, sf):
+    """Every user's types of events in the order in which they first appear."""
+    return reports.first_seen(R.table(spark, sf, "events"), ["user_id"], "event_type", ["ts", "event_id"])
+
+
+def active_competitors(spark, sf):
+    """Suppliers as projects, parts as competitors; an order line adds one, a returned one takes it away."""
+    log = R.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("project_id"), F.col("l_partkey").alias("appid"), (F.col("l_returnflag") != "R").alias("active"), "l_shipdate", "l_orderkey", "l_linenumber")
+    return reports.active_competitors(log, ["l_shipdate", "l_orderkey", "l_linenumber"])
+
+
+def snapshot_log(spark, sf):
+    """Snapshots of parts (apps) by suppliers (projects) at the days of their order lines, in order."""
+    rows = R.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("project_id"), F.col("l_partkey").alias("appid"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("fetched_at"))
+    return reports.snapshot_log(rows).select("project_id", "place", "snapshot_id")
+
+
+def gold_errors(spark, sf):
+    """Turns of conversations as gold records, a set a conversation; what a turn says decides which fields are of another kind."""
+    n, text = F.length("text"), X.json_string(F.col("text"))
+    name = X.json_string(F.concat_ws("-", F.col("conv_id").cast("string"), F.floor(n / 40).cast("string")))
+    role = X.json_string(F.col("role"))
+    voted = F.when(F.col("role") == "system", role).when(F.col("role") == "user", "true").otherwise("false")
+    playtime = F.when(n % 11 == 0, text).otherwise(n.cast("string"))
+    aspects = F.when(n % 13 == 0, F.concat(F.lit("["), n.cast("string"), F.lit("]"))).otherwise(F.concat(F.lit("["), role, F.lit("]")))
+    notes = F.concat(F.lit('{"actionable":'), F.when(n % 17 == 0, "1").otherwise("true"), F.lit(',"overall_sentiment":'), role, F.lit(',"engagement_posture":'), F.when(n % 19 == 0, "null").otherwise(role), F.lit(',"aspects":'), aspects, F.lit("}"))
+    fields = {"input_id": name, "review_id": F.when(n % 23 == 0, '""').otherwise(name), "language": role, "voted_up": voted, "playtime_at_review": playtime, "review_text": text, "eligible": F.when(n > 300, "true").otherwise("false"), "annotation": F.when(n % 29 == 0, text).otherwise(notes)}
+    raw = F.concat(F.lit("{"), F.concat_ws(",", *[F.concat(F.lit(f'"{k}":'), v) for k, v in fields.items()]), F.lit("}"))
+    records = R.table(spark, sf, "conversations").select(F.col("conv_id").alias("set_id"), F.col("turn").alias("position"), raw.alias("raw"))
+    return readers.gold_errors(records).select("set_id", "position", F.coalesce("error", F.lit("ok")).alias("error"))
+
+
+GOLD_SQL = """WITH r AS (SELECT conv_id AS set_id, turn AS position, role, text, length(text) AS n, length(text) // 40 AS id FROM conversations),
+f AS (SELECT set_id, id, min(position) AS first FROM r WHERE n % 29 <> 0 GROUP BY ALL)
+SELECT r.set_id, position, CASE WHEN n % 29 = 0 THEN 'annotation' WHEN position > first THEN 'duplicate_input' WHEN n % 13 = 0 THEN 'aspects' WHEN n % 23 = 0 THEN 'review_id' WHEN role = 'system' THEN 'voted_up'
+    WHEN n % 11 = 0 THEN 'playtime_at_review' WHEN text = '' THEN 'review_text' WHEN n % 17 = 0 THEN 'actionable' WHEN n % 19 = 0 THEN 'engagement_posture' ELSE 'ok' END AS error
+FROM r LEFT JOIN f ON f.set_id = r.set_id AND f.id = r.id"""
+
+QUERIES = {f.__name__: f for f in (stream_stops, policy_intervals, current_as_of, taxonomy_closure, taxonomy_problems, aspect_rollup, usage_ceilings, weighted_estimates, retention_levels, lineage_hashes, brief_table_errors, payload_errors, payload_rows, report_citations, report_groups, types_first_seen, active_competitors, snapshot_log, gold_errors)}
 
 SQL = {
     "stream_stops": CRAWL_SQL,
@@ -310,4 +374,10 @@ SQL = {
     "brief_table_errors": _brief_sql(),
     "payload_errors": PAYLOAD_SQL,
     "payload_rows": ROWS_SQL,
+    "report_citations": CITATION_SQL,
+    "report_groups": f"WITH {oracle.REVIEWS} SELECT appid, language, row_number() OVER (ORDER BY appid, language) AS place, '| ' || appid || ' | ' || language || ' | ' || up || '/' || n || ' positive |' AS line FROM (SELECT appid::VARCHAR AS appid, language, count(*) AS n, count(*) FILTER (voted_up) AS up FROM reviews GROUP BY ALL)",
+    "types_first_seen": "SELECT user_id, event_type, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM (FROM events QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1)",
+    "active_competitors": "SELECT l_suppkey AS project_id, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_partkey) AS place, l_partkey AS appid, 'https://store.steampowered.com/app/' || l_partkey || '/' AS store_url FROM (SELECT l_suppkey, l_partkey, l_returnflag FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_partkey ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) = 1) WHERE l_returnflag <> 'R'",
+    "snapshot_log": "SELECT l_suppkey AS project_id, row_number() OVER (ORDER BY l_suppkey, day, l_partkey) AS place, l_suppkey || ':' || l_partkey || ':' || day AS snapshot_id FROM (SELECT DISTINCT l_suppkey, l_partkey, strftime(l_shipdate, '%Y-%m-%d') AS day FROM lineitem)",
+    "gold_errors": GOLD_SQL,
 }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,21 +80,99 @@ def page_reviews(pages: DataFrame, project_id: str, appid: Column, keep: tuple[s
     return items.select(*keep, F.lit(project_id).alias("project_id"), "appid", *texts, F.coalesce(field("voted_up", "boolean"), F.lit(False)).alias("voted_up"), *numbers, *flags, *times, digest.alias("source_hash"))
 
 
+#: The largest fixture that is read, and the version of gold sets.
+FIXTURE_BYTES, GOLD_VERSION = 10_000_000, "stage1-gold-v1"
+
+
+def local_fixture(path: str) -> str:
+    """``path`` if it is a regular file of at most FIXTURE_BYTES, and no link; an error otherwise."""
+    if os.path.islink(path) or not os.path.isfile(path):
+        raise ValueError("a fixture must be a regular file")
+    if os.path.getsize(path) > FIXTURE_BYTES:
+        raise ValueError("a fixture must not exceed 10 MB")
+    return path
+
+
+def fixture_error(raw: Column) -> Column:
+    """Why a fixture's text is refused, or null: no JSON, no list of apps, an app that is no object or has no whole number as its
+    id, or a review that is no object."""
+    v = F.try_parse_json(raw)
+    apps = F.coalesce(F.try_variant_get(v, "$.apps", "array<variant>"), F.array().cast("array<variant>"))
+
+    def is_object(x: Column) -> Column:
+        return F.coalesce(F.schema_of_variant(x).startswith("OBJECT"), F.lit(False))
+
+    def reviews(app: Column) -> Column:
+        return F.coalesce(F.try_variant_get(app, "$.reviews", "array<variant>"), F.array().cast("array<variant>"))
+
+    return (
+        F.when(v.isNull(), "not_json")
+        .when(~is_object(v) | ~F.coalesce(_kind(v, "$.apps").startswith("ARRAY"), F.lit(False)), "apps")
+        .when(F.exists(apps, lambda a: ~is_object(a) | ~F.coalesce(_kind(a, "$.appid") == "BIGINT", F.lit(False))), "appid")
+        .when(F.exists(apps, lambda a: F.exists(reviews(a), lambda r: ~is_object(r))), "review_not_an_object")
+    )
+
+
 def fixture_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """Offline fixture: apps with reviews, missing fields filled in by position."""
+    """Offline fixture: apps with reviews, missing fields filled in by position from 1. A fixture that breaks a rule is an error."""
+    found = spark.read.text(local_fixture(path), wholetext=True).select(fixture_error(F.col("value")).alias("error")).first()
+    if found is None or found["error"]:
+        raise ValueError(f"fixture: {found['error'] if found else 'not_json'}")
     apps = spark.read.schema(schemas.FIXTURE).json(path, multiLine=True).select(F.explode("apps").alias("a"))
-    rows = apps.select("a.appid", F.posexplode("a.reviews").alias("i", "r"))
+    rows = apps.select("a.appid", F.posexplode("a.reviews").alias("i", "r")).withColumn("i", F.col("i") + 1)
     name = F.concat_ws("-", F.col("appid").cast("string"), F.col("i").cast("string"))
     at = F.lit(1_700_000_000) + F.col("i")
-    return rows.select("appid", F.coalesce("r.recommendationid", name).alias("recommendationid"), F.coalesce("r.language", F.lit("english")).alias("language"), F.col("r.review").alias("review_text"), F.coalesce("r.voted_up", F.lit(True)).alias("voted_up"), F.coalesce("r.votes_up", F.lit(1)).alias("votes_up"), F.coalesce("r.timestamp_created", at).alias("timestamp_created"), F.coalesce("r.timestamp_updated", at).alias("timestamp_updated"))
+    return rows.select("appid", F.coalesce("r.recommendationid", name).alias("recommendationid"), F.coalesce("r.language", F.lit("english")).alias("language"), F.coalesce("r.review", F.lit("Fixture review")).alias("review_text"), F.coalesce("r.voted_up", F.lit(True)).alias("voted_up"), F.coalesce("r.votes_up", F.lit(1)).alias("votes_up"), F.coalesce("r.timestamp_created", at).alias("timestamp_created"), F.coalesce("r.timestamp_updated", at).alias("timestamp_updated"))
+
+
+def gold_record_error(v: Column) -> Column:
+    """Code of the first rule that a gold record (a variant) breaks by itself, or null."""
+
+    def kind_of(path: str) -> Column:
+        return F.coalesce(_kind(v, path), F.lit("VOID"))
+
+    def no_text(path: str) -> Column:
+        return (kind_of(path) != "STRING") | (F.try_variant_get(v, path, "string") == "")
+
+    aspects = F.coalesce(F.try_variant_get(v, "$.annotation.aspects", "array<variant>"), F.array().cast("array<variant>"))
+    out = F.when(~F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False)), "not_an_object").when(~kind_of("$.annotation").startswith("OBJECT"), "annotation").when(no_text("$.input_id"), "input_id")
+    out = out.when(~kind_of("$.annotation.aspects").startswith("ARRAY") | F.exists(aspects, lambda a: F.coalesce(F.schema_of_variant(a) != "STRING", F.lit(True))), "aspects")
+    rules = [(no_text, "review_id"), (no_text, "language"), ("BOOLEAN", "voted_up"), ("BIGINT", "playtime_at_review"), (no_text, "review_text"), ("BOOLEAN", "eligible"), ("BOOLEAN", "annotation.actionable"), (no_text, "annotation.overall_sentiment"), (no_text, "annotation.engagement_posture")]
+    for rule, name in rules:
+        out = out.when(rule(f"$.{name}") if callable(rule) else kind_of(f"$.{name}") != rule, name.split(".")[-1])
+    return out
+
+
+def gold_errors(records: DataFrame) -> DataFrame:
+    """set_id, position and error (null: none) of every record of every gold set. records: set_id, position, raw (JSON text).
+
+    An id that an earlier record of the set has is ``duplicate_input``, unless the record breaks an earlier rule; the first place
+    of every id comes from one aggregation, so an id however often repeated meets in no task as rows.
+    """
+    v = F.try_parse_json("raw")
+    rows = records.select("set_id", "position", gold_record_error(v).alias("_own"), F.try_variant_get(v, "$.input_id", "string").alias("_input"))
+    named = rows.filter(~F.coalesce(F.col("_own").isin("not_an_object", "annotation", "input_id"), F.lit(False)))
+    first = named.groupBy("set_id", F.col("_input")).agg(F.min("position").alias("_first"))
+    joined = rows.join(first, ["set_id", "_input"], "left")
+    early = F.coalesce(F.col("_own").isin("not_an_object", "annotation", "input_id"), F.lit(False))
+    error = F.when(early, F.col("_own")).when(F.col("position") > F.col("_first"), "duplicate_input").otherwise(F.col("_own"))
+    return joined.select("set_id", "position", error.alias("error"))
 
 
 def gold_set(spark: SparkSession, path: str) -> DataFrame:
-    """Gold records; raises if an input id repeats."""
-    rows = spark.read.schema(schemas.GOLD).json(path, multiLine=True).select(F.explode("records").alias("r")).select("r.*")
-    if rows.groupBy("input_id").count().filter("count > 1").limit(1).count():
-        raise ValueError("gold set repeats an input id")
-    return rows
+    """Gold records. Another version, no records, or a record that breaks a rule is an error that names it."""
+    whole = spark.read.text(path, wholetext=True).select(F.try_parse_json("value").alias("v"))
+    head = whole.select(F.try_variant_get("v", "$.version", "string").alias("version")).first()
+    if head is None or head["version"] != GOLD_VERSION:
+        raise ValueError("gold set: version")
+    records = whole.select(F.lit(0).alias("set_id"), F.posexplode(F.try_variant_get("v", "$.records", "array<variant>")).alias("position", "r"))
+    checked = gold_errors(records.select("set_id", "position", F.to_json("r").alias("raw"))).groupBy().agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("error").isNotNull(), F.struct("position", "error"))).alias("first")).first()
+    if not checked["n"]:
+        raise ValueError("gold set: no records")
+    if checked["first"]:
+        raise ValueError(f"gold set: record {checked['first']['position']}: {checked['first']['error']}")
+    rows = spark.read.schema(schemas.GOLD).json(path, multiLine=True)
+    return rows.select(F.explode("records").alias("r")).select("r.*")
 
 
 def store_pages(pages: DataFrame) -> DataFrame:

@@ -182,12 +182,29 @@ def test_decision_table_agrees_with_expression(spark):
 def test_fixture_gold_and_runs(spark, tmp_path):
     (tmp_path / "f.json").write_text(json.dumps({"apps": [{"appid": 5, "reviews": [{"review": "a"}, {"recommendationid": "x", "review": "b", "language": "french"}]}]}))
     got = {r["recommendationid"]: (r["language"], r["voted_up"], r["timestamp_created"]) for r in readers.fixture_reviews(spark, str(tmp_path / "f.json")).collect()}
-    assert got == {"5-0": ("english", True, 1_700_000_000), "x": ("french", True, 1_700_000_001)}
-    for name, ids in (("g", ["1", "2"]), ("h", ["1", "1"])):
-        (tmp_path / f"{name}.json").write_text(json.dumps({"version": "1", "records": [{"input_id": k, "review_text": "t"} for k in ids]}))
-    assert readers.gold_set(spark, str(tmp_path / "g.json")).count() == 2
-    with pytest.raises(ValueError):
-        readers.gold_set(spark, str(tmp_path / "h.json"))
+    assert got == {"5-1": ("english", True, 1_700_000_001), "x": ("french", True, 1_700_000_002)}
+    for text, error in (("no", "not_json"), ('{"apps": 1}', "apps"), ('{"apps": [{"appid": "1"}]}', "appid"), ('{"apps": [{"appid": 1, "reviews": ["x"]}]}', "review_not_an_object")):
+        (tmp_path / "f2.json").write_text(text)
+        with pytest.raises(ValueError, match=error):
+            readers.fixture_reviews(spark, str(tmp_path / "f2.json"))
+    (tmp_path / "big.json").write_text(" " * 10_000_001)
+    (tmp_path / "link.json").symlink_to(tmp_path / "f.json")
+    for name in ("big", "link", "missing"):
+        with pytest.raises(ValueError, match="fixture"):
+            readers.fixture_reviews(spark, str(tmp_path / f"{name}.json"))
+
+    def gold(ids, version="stage1-gold-v1", **other):
+        notes = {"actionable": True, "overall_sentiment": "mixed", "engagement_posture": "mixed", "aspects": ["core.a"]}
+        records = [{"input_id": k, "review_id": k, "language": "english", "voted_up": True, "playtime_at_review": 3, "review_text": "t", "eligible": True, "annotation": notes} | other for k in ids]
+        (tmp_path / "g.json").write_text(json.dumps({"version": version, "records": records}))
+        return readers.gold_set(spark, str(tmp_path / "g.json"))
+
+    assert gold(["1", "2"]).count() == 2
+    broken = {"duplicate_input": (["1", "1"], {}), "version": (["1"], {"version": "1"}), "no records": ([], {}), "annotation": (["1"], {"annotation": None}), "aspects": (["1"], {"annotation": {"aspects": [1]}})}
+    broken |= {"input_id": ([""], {}), "playtime_at_review": (["1"], {"playtime_at_review": True}), "voted_up": (["1"], {"voted_up": 1}), "review_text": (["1"], {"review_text": None})}
+    for error, (ids, other) in broken.items():
+        with pytest.raises(ValueError, match=error):
+            gold(ids, **other)
     out = str(tmp_path / "aggregates")
     for run, n in (("a", 3), ("b", 2)):
         state.append_run(spark.range(n).withColumn("run_id", F.lit(run)), out, run)
