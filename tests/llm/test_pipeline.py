@@ -87,4 +87,4 @@ def test_run_writes_its_stages(spark, monkeypatch):
 def test_run_is_registered(spark):
     import __spark_entry__ as e
 
-    assert "pipeline" in e.queries() and sum(k.startswith("op") for k in e.queries()) == 10
+    assert "pipeline" in e.queries() and sum(k.startswith("op") for k in e.queries()) == 13
