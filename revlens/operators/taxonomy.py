@@ -7,20 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import SENTIMENTS
 from ..functions.text import rate, stripped
-
-#: Each node with its ancestors, itself at distance 0. A way up ends at a root, before an unknown parent, or where it comes
-#: to a node for the second time.
-UP = """
-WITH RECURSIVE up (id, ancestor, distance, path, again) AS (
-    SELECT id, id, 0, array(id), false FROM {nodes} WHERE id IS NOT NULL
-    UNION ALL
-    SELECT u.id, n.parent_id, u.distance + 1, array_append(u.path, n.parent_id), array_contains(u.path, n.parent_id)
-    FROM up u JOIN {nodes} n ON n.id = u.ancestor
-    WHERE n.parent_id IS NOT NULL AND NOT u.again AND EXISTS (SELECT 1 FROM {known} k WHERE k.known = n.parent_id)
-)
-SELECT id, ancestor, distance, again FROM up
-"""
-
+from .state import shared_folder
 
 def merged(core: DataFrame, extension: DataFrame) -> DataFrame:
     """Nodes (id, parent_id, name) of both, equal ones once; what they disagree on is a problem (:func:`problems`)."""
@@ -28,11 +15,30 @@ def merged(core: DataFrame, extension: DataFrame) -> DataFrame:
     return core.select(*columns).unionByName(extension.select(*columns)).distinct()
 
 
+def links(nodes: DataFrame) -> DataFrame:
+    """id, parent_id, each once, of the nodes whose parent is known. Parents are looked up once each, however many children they have."""
+    edges = nodes.filter("id is not null and parent_id is not null").select("id", "parent_id").distinct()
+    found = edges.select("parent_id").distinct().join(nodes.select(F.col("id").alias("parent_id")).distinct(), "parent_id", "left_semi")
+    return edges.join(found, "parent_id", "left_semi").select("id", "parent_id")
+
+
 def ways_up(nodes: DataFrame) -> DataFrame:
-    """id, ancestor, distance, again (the ancestor closes a cycle). Ways longer than Spark's recursion limit are an error."""
-    nodes = nodes.select("id", "parent_id").distinct()
-    known = nodes.select(F.col("id").alias("known")).distinct()
-    return nodes.sparkSession.sql(UP, nodes=nodes, known=known)
+    """id, ancestor, distance: each node with all that is above it, itself at distance 0, each once at its least distance.
+
+    Distances double: a round puts what is above the ancestors at the last distance that a round reached on top of these, so a
+    taxonomy of depth d takes log2(d) rounds of joins, whatever its number of rows. A cycle ends where nothing new is found.
+    """
+    shared_folder(nodes.sparkSession)
+    pair = ["id", "ancestor"]
+    known = nodes.filter("id is not null").select("id", F.col("id").alias("ancestor")).distinct().withColumn("distance", F.lit(0))
+    above = known.unionByName(links(nodes).select("id", F.col("parent_id").alias("ancestor"), F.lit(1).alias("distance")))
+    known, reach = above.groupBy(*pair).agg(F.min("distance").alias("distance")).checkpoint(), 1
+    while not (edge := known.filter(F.col("distance") == reach)).isEmpty():
+        through = edge.select(F.col("ancestor").alias("id")).distinct()  # few, if many nodes share them
+        steps = known.filter("distance > 0").join(through, "id", "left_semi").select(F.col("id").alias("_mid"), F.col("ancestor").alias("_top"), F.col("distance").alias("_more"))
+        found = edge.join(steps, F.col("ancestor") == F.col("_mid")).select("id", F.col("_top").alias("ancestor"), (F.col("distance") + F.col("_more")).alias("distance"))
+        known, reach = known.unionByName(found).groupBy(*pair).agg(F.min("distance").alias("distance")).checkpoint(), 2 * reach
+    return known
 
 
 def problems(nodes: DataFrame) -> DataFrame:
@@ -43,13 +49,16 @@ def problems(nodes: DataFrame) -> DataFrame:
     several = nodes.distinct().groupBy("id").count().filter("count > 1 and id is not null").select("id", F.lit("conflict").alias("problem"))
     parents = nodes.filter("parent_id is not null").select("id", F.col("parent_id").alias("known"))
     unknown = parents.join(nodes.select(F.col("id").alias("known")).distinct(), "known", "left_anti").select("id", F.lit("unknown_parent").alias("problem"))
-    cycles = ways_up(nodes).filter("again").select("id", F.lit("cycle").alias("problem"))
+    ways = ways_up(nodes)
+    back = links(nodes).select(F.col("id").alias("ancestor"), F.col("parent_id").alias("id"))
+    closed = ways.join(back, ["id", "ancestor"], "left_semi").select("ancestor").distinct()  # what is above its own parent
+    cycles = ways.join(closed, "ancestor", "left_semi").select("id", F.lit("cycle").alias("problem"))
     return blank.unionByName(several).unionByName(unknown).unionByName(cycles).distinct()
 
 
 def closure(nodes: DataFrame) -> DataFrame:
     """id, ancestor, distance of a sound taxonomy; nodes in a cycle get each ancestor once, at its least distance."""
-    return ways_up(nodes).groupBy("id", "ancestor").agg(F.min("distance").alias("distance"))
+    return ways_up(nodes)
 
 
 def rolled_up(current: DataFrame, nodes: DataFrame, grain: list[str]) -> DataFrame:

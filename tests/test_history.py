@@ -111,6 +111,23 @@ def test_taxonomy_problems_and_merging(spark):
     assert taxonomy.closure(core.limit(0)).collect() == []
 
 
+def test_deep_taxonomies_and_joined_ways(spark):
+    deep = spark.range(300).selectExpr("cast(id as string) as id", "if(id = 0, null, cast(id - 1 as string)) as parent_id", "'n' as name")
+    assert taxonomy.closure(deep).agg(F.count("*"), F.max("distance"), F.sum("distance")).collect()[0] == (300 * 301 // 2, 299, sum(k * (k + 1) // 2 for k in range(300)))
+    assert taxonomy.problems(deep).collect() == []
+    rows = [("a", None), ("b", "a"), ("c", "b"), ("d", "c"), ("d", "a"), ("e", "d"), ("x", "y"), ("y", "z"), ("z", "x"), ("w", "e"), ("w", "x"), ("v", "w"), ("u", "nobody")]
+    mixed = spark.createDataFrame([(i, p, "n") for i, p in rows], NODES)
+    up: dict = {(i, i): 0 for i, _ in rows}
+    known = {i for i, _ in rows}
+    for _ in range(20):
+        for (i, a), n in list(up.items()):
+            for j, p in rows:
+                if j == a and p in known:
+                    up[i, p] = min(up.get((i, p), n + 1), n + 1)
+    assert {(r["id"], r["ancestor"]): r["distance"] for r in taxonomy.closure(mixed).collect()} == up
+    assert {r["id"] for r in taxonomy.problems(mixed).filter("problem = 'cycle'").collect()} == {"x", "y", "z", "w", "v"}
+
+
 def test_reviews_count_once_below_an_ancestor(spark):
     nodes = spark.createDataFrame([("root", None, "r"), ("x", "root", "x"), ("y", "root", "y")], NODES)
     aspects = "array<struct<taxonomy_id:string,sentiment:string>>"
