@@ -1,13 +1,16 @@
 """Every registered query with SQL gives the same rows as DuckDB over the same tables."""
 
 import glob
+import html
 import os
+from html.entities import html5
 
 import duckdb
 import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
+from revlens.plans import oracle
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -48,3 +51,12 @@ def test_every_query_is_compared_or_known():
 
 def test_entry(spark):
     assert driver.entry(spark).count() > 0
+
+
+def test_sql_decodes_character_references_as_pages_are_decoded(duck):
+    """Cut references, names that go on, numbers for other characters and for none."""
+    texts = ["a &amp b", "x&ampy &amp;amp; & &;", "&notit; &notin; &notin &no", "&lt;b&gt &copy2 &AElig", "&#65;&#x41&#0;&#x80;&#x81;&#xD800;&#99999999999999999999;&#11;&#xFFFF;&#13;", "&# &#x; &#xg &#;", "&NotEqualTilde; &fjlig; &nosuchname;", "&thinsp;|&nbsp;|&&&&", "&" * 3 + "amp", "'&apos;&quot&#39", "", "&abcdefghijklmnopqrstuvwxyzabcdefghijklmnop;", "&\n&amp\tx"]
+    texts += [f"&{k}" for k in html5] + [f"&{k}z" for k in html5] + [f"&#{n}" for n in (*range(1, 300), 55295, 57344, 65534, 131071, 1114111, 1114112)]
+    got = duck.execute(f"SELECT {oracle.unescaped('t')} FROM (SELECT unnest(?) AS t, generate_subscripts(?, 1) AS i) ORDER BY i", [texts, texts]).fetchall()
+    bad = [(t, g, html.unescape(t)) for t, (g,) in zip(texts, got, strict=True) if g != html.unescape(t)]
+    assert not bad, (len(bad), bad[:5])
