@@ -23,11 +23,10 @@ BITS = np.uint64(12)
 SYMBOLS = 1 << 12
 #: No code point from here on is a letter.
 LETTERS = 0x33480
-#: Bounds of the sample to fit to: different texts a language, characters a language and in all (a text that would pass the
-#: bound and all after it are left out). They are chosen by a hash of the text.
-FIT_DOCS, FIT_CHARS, FIT_ALL = 1500, 6_000_000, 60_000_000
-#: About so many texts a language are shuffled as gibberish, where they are.
-CALIBRATION_DOCS = 400
+#: Bounds of :func:`sample`: characters a language and in all (a text that would pass the bound and all after it are left out).
+FIT_CHARS, FIT_ALL = 6_000_000, 60_000_000
+#: n-grams whose counts a task holds before it passes them on.
+HELD_GRAMS = 4_000_000
 FOLDS = 5
 #: Cross-entropies are counted in bins of STEP nats up to BINS of them. Limits are at least LEAST spreads above the median, or
 #: ALONE spreads where nothing is known that must be rejected; a lost document weighs as much as LOST accepted wrong ones.
@@ -93,14 +92,25 @@ class KneserNey:
             self.probs.append((codes, (np.maximum(counts - discount, 0) / share).astype(np.float32)))
             self.backs.append((context[first], (discount * kinds / total).astype(np.float32)))
 
-    def log_prob(self, codes: np.ndarray) -> np.ndarray:
-        p = np.full(len(codes), 1 / SYMBOLS)
-        for n in range(1, self.order + 1):
-            own = codes & np.uint64((1 << 12 * n) - 1)
-            p = look_up(*self.probs[n - 1], own, 0.0) + look_up(*self.backs[n - 1], own >> BITS if n > 1 else own * np.uint64(0), 1.0) * p
+    def log_prob(self, codes: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]] | None = None) -> np.ndarray:
+        """``levels`` are those of :func:`suffixes`, which models share."""
+        p = np.full(1, 1 / SYMBOLS)
+        for n, (own, shorter) in enumerate(levels if levels is not None else suffixes(codes, self.order), 1):
+            p = look_up(*self.probs[n - 1], own, 0.0) + look_up(*self.backs[n - 1], own >> BITS if n > 1 else own * np.uint64(0), 1.0) * p[shorter]
         return np.log(p)
 
 
+def suffixes(codes: np.ndarray, order: int = ORDER) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For n from 1 to ``order``: the different ends of n symbols that the codes have (at last the codes as they are), and where each
+    one's own end of n - 1 symbols is among those."""
+    levels = []
+    for n in range(order - 1, -1, -1):
+        shorter, where = np.unique(codes & np.uint64((1 << 12 * n) - 1), return_inverse=True)
+        levels.append((codes, where))
+        codes = shorter
+    return levels[::-1]
+
+
 def look_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
     at = np.searchsorted(keys, wanted)
     at[at == len(keys)] = 0
@@ -123,7 +133,8 @@ class Scorer:
         out[known] = self.values[at[known]]
         new = codes[~known]
         if len(new):
-            fresh = np.stack([m.log_prob(new) for m in self.models], 1).astype(np.float32)
+            levels = suffixes(new)
+            fresh = np.stack([m.log_prob(new, levels) for m in self.models], 1).astype(np.float32)
             out[~known] = fresh
             if len(self.keys) < REMEMBERED:
                 keys = np.concatenate([self.keys, new])
@@ -164,17 +175,39 @@ class Scorer:
             return -sums / np.where(sizes, sizes, np.nan)[:, None]
 
 
+def added(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different codes in order with the sums of their counts."""
+    every, back = np.unique(np.concatenate(codes), return_inverse=True)
+    return every, np.bincount(back, np.concatenate(counts), len(every)).astype(np.int64)
+
+
 def gram_counts(rows: DataFrame) -> DataFrame:
-    """lang, code, n of all n-grams of the rows' texts, added up by Spark."""
+    """lang, code, n of all n-grams of the rows' texts, added up by Spark. A task adds up what it can hold before."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        symbols = Symbols()
+        symbols, held, fresh = Symbols(), {}, {}
+
+        def add(lang: str) -> None:
+            own = [np.unique(np.concatenate(fresh.pop(lang)), return_counts=True)]
+            held[lang] = added(*zip(*own, *([held[lang]] if lang in held else []), strict=True))
+
+        def passed() -> Iterator[pa.RecordBatch]:
+            for lang in list(fresh):
+                add(lang)
+            for lang, (codes, n) in held.items():
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n)], ["lang", "code", "n"])
+            held.clear()
+
         for batch in batches:
-            langs, texts = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-            for lang in set(langs):
-                found = [grams(symbols(texts[k])) for k in np.flatnonzero(langs == lang)]
-                codes, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], ["lang", "code", "n"])
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                codes = grams(symbols(text))
+                for at in range(0, len(codes), BLOCK_CHARS):
+                    fresh.setdefault(lang, []).append(codes[at : at + BLOCK_CHARS])
+                    if sum(map(len, fresh[lang])) >= BLOCK_CHARS or len(fresh[lang]) >= 1000:
+                        add(lang)
+                        if sum(len(c) for c, _ in held.values()) >= HELD_GRAMS:
+                            yield from passed()
+        yield from passed()
 
     return rows.select("lang", "text").mapInArrow(count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
@@ -249,7 +282,7 @@ def score_of(entropy: np.ndarray, sharpness: float) -> np.ndarray:
 
 
 def sample(rows: DataFrame, langs: int, most: int) -> DataFrame:
-    """lang, text: at most ``most`` different texts a language, within the bounds of characters, by the hash of the text.
+    """For trials on a part of a corpus (:func:`fit` does not use it). lang, text: at most ``most`` different texts a language, within the bounds of characters, by the hash of the text.
 
     A histogram of the hashes says which of its ranges hold a language's first ``most``; only these are put in order.
     """
@@ -265,22 +298,16 @@ def sample(rows: DataFrame, langs: int, most: int) -> DataFrame:
     return rows.withColumn("_h", F.xxhash64("text")).join(chosen, ["lang", "_h"], "left_semi").dropDuplicates(["lang", "_h"]).select("lang", "text")
 
 
-def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, calibration_docs: int = CALIBRATION_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Fit one model per language to a bounded sample of labelled documents outside of fold 0.
+def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
+    """Fit one model per language to the n-grams of all labelled documents outside of folds 0 and 1, each as often as it is there.
 
     Fold 1 only calibrates: all of its documents whose label the models confirm, against the documents of the other
-    languages and against some with shuffled letters. Rows with null text or language are left out. Without any labelled
-    row the model knows no language and calls every text ``und``. What reaches the driver is the n-grams of the sample,
-    at most ``FIT_ALL`` times ORDER, and a row a label.
+    languages and against all of its documents with their letters shuffled. Rows with null text or language are left out.
+    Without any labelled row the model knows no language and calls every text ``und``. What reaches the driver is a row a
+    different n-gram and language: the model itself, whose growth slows down with that of the corpus.
     """
     rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.coalesce(fold_of(F.col(id_col)), F.lit(2)).alias("fold"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("fold <> 0")
-    sizes = {(r["lang"], r["calibrate"]): r["count"] for r in rows.groupBy("lang", (F.col("fold") == 1).alias("calibrate")).count().collect()}  # two rows a language
-    if not sizes:
-        return LanguageModel({})
-    langs = sorted({k for k, _ in sizes})
-    share = F.coalesce(*[F.when(F.col("lang") == k, F.lit(min(1.0, calibration_docs / n))) for (k, c), n in sizes.items() if c], F.lit(0.0))
-    mixed = F.pmod(F.xxhash64("text"), F.lit(1 << 32)) / float(1 << 32) < share
-    models = models_of(gram_counts(sample(rows.filter("fold <> 1"), len(langs), fit_docs)).toArrow())
+    models = models_of(gram_counts(rows.filter("fold <> 1")).toArrow())
     model = LanguageModel(models)
     if models:
         index = {x: k for k, x in enumerate(model.langs)}
@@ -289,7 +316,7 @@ def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, calibration_docs: int = CA
         def histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             score = Scorer(shared.value)
             for batch in batches:
-                truth, texts, mixed = (c.to_pylist() for c in batch.columns)
+                truth, texts = (c.to_pylist() for c in batch.columns)
                 h = score(texts)
                 y = np.array([index.get(x, -1) for x in truth])
                 good = np.isfinite(h).all(1) & (y >= 0)
@@ -298,7 +325,7 @@ def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, calibration_docs: int = CA
                 for j, sharpness in enumerate(SHARPNESS if len(y) else ()):
                     total["sharp", 0, j] = float(np.log(np.maximum(score_of(h, sharpness)[np.arange(len(y)), y], 1e-12)).sum())
                 sure = h.argmin(1) == y if len(y) else np.zeros(0, bool)
-                odd = score([shuffled(t) for t, m in zip(texts, mixed, strict=True) if m])
+                odd = score([shuffled(t) for t in texts])
                 odd = odd[np.isfinite(odd).all(1)]
                 for k in range(len(index)):
                     for kind, values in (("own", h[sure & (y == k), k]), ("other", h[sure & (y != k), k]), ("other", odd[:, k])):
@@ -307,7 +334,7 @@ def fit(docs: DataFrame, *, fit_docs: int = FIT_DOCS, calibration_docs: int = CA
                 columns = list(zip(*((*key, n) for key, n in total.items()), strict=True)) or [[]] * 4
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.int32(), pa.float64()), strict=True)], ["kind", "k", "at", "n"])
 
-        fold = rows.filter("fold = 1").select("lang", "text", mixed.alias("mixed"))
+        fold = rows.filter("fold = 1").select("lang", "text")
         table = fold.mapInArrow(histograms, "kind string, k int, at int, n double").groupBy("kind", "k", "at").agg(F.sum("n").alias("n"))
         sums = {"sharp": np.zeros((1, len(SHARPNESS))), "own": np.zeros((len(index), BINS)), "other": np.zeros((len(index), BINS))}
         for r in table.collect():  # at most BINS rows a language and kind
