@@ -10,7 +10,7 @@ import pandas as pd
 import pytest
 
 import __spark_entry__ as driver
-from revlens.plans import oracle
+from revlens.plans import oracle, reviews
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -60,3 +60,13 @@ def test_sql_decodes_character_references_as_pages_are_decoded(duck):
     got = duck.execute(f"SELECT {oracle.unescaped('t')} FROM (SELECT unnest(?) AS t, generate_subscripts(?, 1) AS i) ORDER BY i", [texts, texts]).fetchall()
     bad = [(t, g, html.unescape(t)) for t, (g,) in zip(texts, got, strict=True) if g != html.unescape(t)]
     assert not bad, (len(bad), bad[:5])
+
+
+def test_a_project_is_taken_in_without_copies_of_its_texts(spark):
+    """Texts are only in the documents: no stored table of a project has them."""
+    stored = reviews.project(spark, SF)
+    for rows in (stored.reviews, stored.decisions, stored.classifications):
+        assert not {"review_text", "text"} & set(rows.columns)
+    whole = reviews.reviews(spark, SF)
+    assert stored.reviews.exceptAll(whole.drop("review_text")).isEmpty() and stored.reviews.count() == whole.count()
+    assert stored.decisions.exceptAll(reviews.decisions(whole)).isEmpty() and stored.classifications.exceptAll(reviews.classifications(whole)).isEmpty()
