@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Rows of a key, of both sides, that one task puts in order.
+MANY = 100_000
+
+
 def intervals(log: DataFrame, keys: list[str], at: str, ties: list[str] | None = None) -> DataFrame:
     """The log with ``valid_from`` and ``valid_to`` (null: still valid): a row is valid until the key's next row, in order of
     time and ``ties``. Of rows of equal time all but the last are valid for no time."""
@@ -16,23 +20,31 @@ def intervals(log: DataFrame, keys: list[str], at: str, ties: list[str] | None =
 def as_of(asked: DataFrame, log: DataFrame, keys: list[str], asked_at: str, log_at: str, columns: list[str], *, width: float, ties: list[str] | None = None) -> DataFrame:
     """``asked`` with the log's ``columns`` of the key's last row at or before ``asked_at`` (null if there is none).
 
-    Times are cut into buckets of ``width`` and rows meet within (keys, bucket), so a key with very many rows is spread over
-    its buckets. What an earlier bucket leaves to a later one is its last row; only these, one a key and bucket, are followed
-    through a key's time. Rows with a null key or time, on either side, match nothing. Of log rows of equal time the last by
-    ``ties`` counts.
+    A key's rows meet in the order of time. Of keys with more than ``MANY`` rows, and of null keys, times are cut into buckets of
+    ``width`` and rows meet within (keys, bucket), so such a key is spread over its buckets. What an earlier bucket leaves to a
+    later one is its last row; only these, one a key and bucket, are followed through such a key's time. Rows with a null key or
+    time, on either side, match nothing. Of log rows of equal time the last by ``ties`` counts.
     """
     names = [f"_l{k}" for k in range(len(columns))]
     value = F.struct(*[F.col(c).alias(n) for c, n in zip(columns, names, strict=True)])
-    bucket = lambda c: F.floor(F.col(c) / width).cast("long")
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    large = log.select(*keys).unionByName(asked.select(*keys)).groupBy(*keys).count().filter(F.col("count") > MANY).select(*keys, F.lit(True).alias("_large"))
+
+    def dealt(df: DataFrame, at: str) -> DataFrame:
+        bucket = F.floor(F.col(at) / width).cast("long")
+        return df.join(F.broadcast(large), keys, "left").withColumn("_b", F.when(null_key | F.col("_large"), bucket).otherwise(F.lit(0)))  # at most a MANY-th of the rows
+
     after = F.struct(*[F.col(c).alias(f"t{k}") for k, c in enumerate(ties or [])], F.lit(0).alias("end"))
     whole = F.col(log_at).isNotNull()
     for k in keys:
         whole = whole & F.col(k).isNotNull()
-    rows = log.filter(whole).select(*keys, bucket(log_at).alias("_b"), F.col(log_at).alias("_at"), after.alias("_tie"), value.alias("_value"))
-    asks = asked.withColumn("_b", bucket(asked_at)).withColumn("_ask", F.struct(*[F.col(c) for c in asked.columns]))
+    rows = dealt(log.filter(whole), log_at).select(*keys, "_large", "_b", F.col(log_at).alias("_at"), after.alias("_tie"), value.alias("_value"))
+    asks = dealt(asked, asked_at).withColumn("_ask", F.struct(*[F.col(c) for c in asked.columns]))
 
-    last = rows.groupBy(*keys, "_b").agg(F.max_by("_value", F.struct("_at", "_tie")).alias("_last"))
-    wanted = asks.select(*keys, "_b").distinct().withColumn("_last", F.lit(None).cast(last.schema["_last"].dataType))
+    last = rows.filter("_large").groupBy(*keys, "_b").agg(F.max_by("_value", F.struct("_at", "_tie")).alias("_last"))
+    wanted = asks.filter("_large").select(*keys, "_b").distinct().withColumn("_last", F.lit(None).cast(last.schema["_last"].dataType))
     places = last.unionByName(wanted).groupBy(*keys, "_b").agg(F.max_by("_last", F.col("_last").isNotNull()).alias("_last"))
     earlier = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carried = places.select(*keys, "_b", F.last("_last", ignorenulls=True).over(earlier).alias("_value")).filter("_value is not null")

@@ -32,6 +32,15 @@ def test_as_of_against_brute_force(spark, width):
     assert len(got) == len(asked)
 
 
+def test_as_of_cuts_only_large_and_null_keys_into_buckets(spark, monkeypatch):
+    monkeypatch.setattr(asof, "MANY", 150)
+    test_as_of_against_brute_force(spark, 7)
+    small = spark.createDataFrame([(k % 50, k) for k in range(500)], "k long, t long")
+    out = asof.as_of(small, small.select("k", F.col("t").alias("at"), F.col("t").alias("v")), ["k"], "t", "at", ["v"], width=1)
+    out.collect()
+    assert out.count() == 500 and out.filter("v = t").count() == 500
+
+
 def test_as_of_has_no_cross_join_and_empty_tables_work(spark):
     left, right = spark.createDataFrame([], "k long, t long"), spark.createDataFrame([(1, 2, "x")], "k long, at long, v string")
     out = asof.as_of(left, right, ["k"], "t", "at", ["v"], width=10)
