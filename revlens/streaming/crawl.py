@@ -27,6 +27,10 @@ STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvide
 FIELDS = {"page_no": -1, "crawl": None, "cursor": "*", "high": None, "running": None, "pages": 0, "reviews": 0, "status": "partial", "reason": None}
 
 
+#: Reviews that a call remembers of those that it has put in the state.
+HELD = 50_000
+
+
 class StopRules(StatefulProcessor):
     """Follows a stream's pages in their order; a row for each page, whether it was asked for or came behind the stop.
 
@@ -45,7 +49,9 @@ class StopRules(StatefulProcessor):
         self.early = handle.getMapState("early", "page_no long", "page string")
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        now = FIELDS | (json.loads(self.stream.get()[0]) if self.stream.exists() else {})
+        there = self.stream.exists()
+        now = FIELDS | (json.loads(self.stream.get()[0]) if there else {})
+        self.held, self.whole = {}, not there
         for row in rows:
             page = row.asDict(recursive=True)
             if page["page_no"] > now["page_no"] + 1:
@@ -61,6 +67,9 @@ class StopRules(StatefulProcessor):
         self.stream.update((json.dumps(now),))
 
     def stored(self, review: dict) -> tuple[int, str] | None:
+        """What the state has of a review. ``held`` is what this call has put there; of a new stream that is all (``whole``)."""
+        if self.whole or review["recommendationid"] in self.held:
+            return self.held.get(review["recommendationid"])
         found = self.known.getValue((review["recommendationid"],))
         return tuple(found) if found is not None else None
 
@@ -100,7 +109,12 @@ class StopRules(StatefulProcessor):
                 seen = self.stored(r) if b is None else b  # the page itself may repeat it
                 kinds["new"] += seen is None
                 kinds["changed"] += seen is not None and seen[1] != r["source_hash"]
-                self.known.updateValue((r["recommendationid"],), (r["timestamp_updated"], r["source_hash"]))
+                value = (r["timestamp_updated"], r["source_hash"])
+                if self.held.get(r["recommendationid"], seen) != value:
+                    self.known.updateValue((r["recommendationid"],), value)
+                self.held[r["recommendationid"]] = value
+            if len(self.held) > HELD:
+                self.held, self.whole = {}, False
             now |= {"pages": now["pages"] + 1, "reviews": now["reviews"] + len(rows), "cursor": page["cursor_out"]}
             now["running"] = max([r["timestamp_updated"] for r in rows] + [now["running"] or 0]) or None
             if now["reason"]:

@@ -182,3 +182,32 @@ def test_rows_cursor_and_high_water_become_visible_together(spark, tmp_path):
     got = {(r["appid"], r["recommendationid"]): (r["timestamp_updated"], r["review_text"]) for r in store.read("reviews").collect()}
     assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in newest.items()}
     assert store.vacuum() > 0 and store.read("pages").count() == len(log)
+
+
+@pytest.mark.parametrize("held", [0, 50_000])
+def test_a_new_stream_asks_the_state_for_nothing_that_it_holds(monkeypatch, held):
+    """A review of a new stream is written once and never read, unless more are held than may be; the results are the same."""
+    from types import SimpleNamespace
+
+    monkeypatch.setattr(crawl, "HELD", held)
+    values, calls = {}, {"get": 0, "put": 0}
+
+    def get(key):
+        calls["get"] += 1
+        return values.get(key)
+
+    def put(key, value):
+        calls["put"] += 1
+        values[key] = value
+
+    rules = crawl.StopRules(incremental=False)
+    rules.known = SimpleNamespace(getValue=get, updateValue=put)
+    rules.stream = SimpleNamespace(exists=lambda: False, update=lambda x: None)
+    rules.early = SimpleNamespace(containsKey=lambda k: False)
+    review = lambda k, h: {"recommendationid": k, "timestamp_updated": 1, "source_hash": h}
+    pages = [[review("a", "1"), review("b", "1"), review("a", "2")], [review("a", "2"), review("b", "1")], [review("a", "3"), review("c", "1")]]
+    rows = [{"page_no": k, "crawl": k, "cursor_in": "*", "cursor_out": "c1", "error": None, "reviews": p, "raw": None} for k, p in enumerate(pages)]
+    out = list(rules.handleInputRows((1, "positive"), iter([SimpleNamespace(asDict=lambda recursive, r=r: r) for r in rows]), None))
+    assert [(r["new"], r["changed"]) for r in out] == [(2, 1), (0, 0), (1, 1)]
+    assert values == {("a",): (1, "3"), ("b",): (1, "1"), ("c",): (1, "1")}
+    assert calls["put"] == 5 and (calls["get"] == 0) == (held > 0)
