@@ -6,7 +6,8 @@ go on. Intervals without a common end inside are the leaf groups. All intervals
 
 Tokens have at least one byte, so exactly one token of each side ends at a common end: a group's last two are its link. How
 often a pair of ids is linked in the corpus is summed from one row a block and pair; each block gets the counts of its own
-pairs back. Nothing that is broadcast or gathered grows with the corpus.
+pairs back. Nothing that is broadcast or gathered grows with the corpus. What is stored and exchanged are rows of a document or
+of a pair, as Spark reads thousands of rows at once: with a block's links in a row, a batch of rows was a whole file.
 """
 
 from __future__ import annotations
@@ -30,8 +31,11 @@ from .common import blank, record_batch, shared_folder
 from .packing import BYTE_OF, PATTERN, merge_ranks
 
 BLOCK_BYTES = 4_000_000
-#: Words remembered by a task, with their pieces.
+#: A task holds a row group when it writes or reads.
+ROW_GROUP_BYTES = 16 << 20
+#: Words remembered by a task, with their pieces, and their length: a text without spaces is one word.
 REMEMBERED = 200_000
+REMEMBERED_CHARS = 32
 #: What is left to the model: letters of more than two bytes.
 UNUSUAL = re.compile("[\u0800-\U0010ffff]")
 SPACE = "▁"
@@ -116,7 +120,7 @@ class Pieces:
         found = self.seen.get(word)
         if found is None:
             found = self.whole(word)
-            if len(self.seen) < REMEMBERED:
+            if len(word) <= REMEMBERED_CHARS and len(self.seen) < REMEMBERED:
                 self.seen[word] = found
         return found
 
@@ -153,7 +157,7 @@ def near_middle(ends: np.ndarray, among: np.ndarray, first: np.ndarray, last: np
     """For each range of places ``first..last`` in ``ends``: the place nearest to its middle whose end is also in the sorted
     ``among``, and its place there; -1 if there is none. Rings around the middle double, so a range without one is read once.
     """
-    at, there = np.full(len(first), -1), np.full(len(first), -1)
+    at, there = np.full(len(first), -1, first.dtype), np.full(len(first), -1, first.dtype)
     middle = (first + last) // 2
     open_ = np.flatnonzero(first <= last)
     near = 0
@@ -162,7 +166,7 @@ def near_middle(ends: np.ndarray, among: np.ndarray, first: np.ndarray, last: np
         if near == 0:
             places, owner = middle[open_], open_
         else:
-            steps = np.repeat(np.arange(near, far), 2)
+            steps = np.repeat(np.arange(near, far, dtype=first.dtype), 2)
             steps[1::2] *= -1
             places, owner = (middle[open_][:, None] + steps).ravel(), np.repeat(open_, len(steps))
             inside = (places >= first[owner]) & (places <= last[owner])
@@ -183,6 +187,8 @@ def groups(a_ends: np.ndarray, b_ends: np.ndarray, a_docs: np.ndarray, b_docs: n
     ``a_ends``, ``b_ends``: byte offsets at which tokens end; both last ones are equal. ``a_docs``, ``b_docs``: how many
     tokens stand before each document, and at last their number; documents without tokens are left out.
     """
+    place = np.int32 if len(a_ends) + len(b_ends) < 2**30 else np.int64
+    a_docs, b_docs = a_docs.astype(place), b_docs.astype(place)
     a0, a1, b0, b1 = a_docs[:-1], a_docs[1:], b_docs[:-1], b_docs[1:]
     some = a1 > a0
     a0, a1, b0, b1 = a0[some], a1[some], b0[some], b1[some]
@@ -194,7 +200,7 @@ def groups(a_ends: np.ndarray, b_ends: np.ndarray, a_docs: np.ndarray, b_docs: n
         a0, a1, b0, b1, at, there = (x[~leaf] for x in (a0, a1, b0, b1, at + 1, there + 1))
         # both halves stay side by side, so ends are looked for in their order
         a0, a1, b0, b1 = (np.stack(x, 1).ravel() for x in ((a0, at), (at, a1), (b0, there), (there, b1)))
-    a = np.flatnonzero(end_of)
+    a = np.flatnonzero(end_of).astype(place)
     return a, end_of[a]
 
 
@@ -203,30 +209,29 @@ def digits(most: int) -> np.ndarray:
     return np.char.encode(np.arange(most + 1).astype("U7"), "ascii").astype("S8").view("<u8")
 
 
-def spelled(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, docs: np.ndarray, words: np.ndarray) -> tuple[bytes, np.ndarray]:
-    """``a1,a2|b1;...`` of all documents one after the other, and where each ends. ``docs``: groups up to each document's end;
-    ``words``: the digits of all ids."""
-    size_a, size_b = np.diff(ga, prepend=0), np.diff(gb, prepend=0)
+def spelled(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray, docs: np.ndarray, words: np.ndarray) -> Iterator[bytes]:
+    """``a1,a2|b1;...`` of each document. ``docs``: groups up to each document's end; ``words``: the digits of all ids."""
+    size_a, size_b = np.diff(ga, prepend=ga.dtype.type(0)), np.diff(gb, prepend=gb.dtype.type(0))
     out = np.empty(len(a) + len(b), "<u8")
-    out[np.arange(len(a)) + np.repeat(gb - size_b, size_a)] = words[a]
-    out[np.arange(len(b)) + np.repeat(ga, size_b)] = words[b]
+    out[np.arange(len(a), dtype=gb.dtype) + np.repeat(gb - size_b, size_a)] = words[a]
+    out[np.arange(len(b), dtype=ga.dtype) + np.repeat(ga, size_b)] = words[b]
     chars = out.view(np.uint8).reshape(-1, 8)
     chars[:, 7] = ord(",")
     chars[ga + gb - size_b - 1, 7] = ord("|")
     chars[ga + gb - 1, 7] = ord(";")
     last = docs[np.diff(docs, prepend=0) > 0] - 1
     chars[(ga + gb - 1)[last], 7] = 0
-    ends, at = np.zeros(len(docs), np.int64), np.r_[0, ga + gb][docs]
-    for k in np.flatnonzero(np.diff(at, prepend=0)):
-        ends[k] = np.count_nonzero(chars[at[k - 1] if k else 0 : at[k]])
-    return chars.tobytes().translate(None, b"\0"), ends.cumsum()
+    at = np.r_[0, np.r_[0, ga + gb][docs]].tolist()
+    for start, end in itertools.pairwise(at):
+        yield chars[start:end].tobytes().translate(None, b"\0")
 
 
+#: A row a document. ``links``: the place of each link's pair in the block's ``pairs``, which its first document has.
 BLOCK_FIELDS = [
-    ("block", pa.string()), ("doc_id", pa.list_(pa.int64())), ("n_a", pa.list_(pa.int64())), ("n_b", pa.list_(pa.int64())), ("n_groups", pa.list_(pa.int64())),
-    ("groups_sha256", pa.list_(pa.string())), ("links", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
+    ("block", pa.string()), ("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
+    ("groups_sha256", pa.string()), ("links", pa.binary()), ("pairs", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
 ]
-BLOCK_TYPE = "block string, doc_id array<long>, n_a array<long>, n_b array<long>, n_groups array<long>, groups_sha256 array<string>, links binary, pairs array<long>, counts array<long>"
+BLOCK_TYPE = "block string, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary, pairs array<long>, counts array<long>"
 
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -234,18 +239,16 @@ def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def aligned_block(name: str, ids: list, tokens: list[tuple[np.ndarray, np.ndarray]], a_lengths: np.ndarray, b_lengths: np.ndarray, words: np.ndarray) -> list:
-    """One row of BLOCK_FIELDS for documents with their tokens on both sides."""
+    """Rows of BLOCK_FIELDS for documents with their tokens on both sides."""
     a, b = (np.concatenate([t[k] for t in tokens]).astype(np.int32) for k in (0, 1))
     a_docs, b_docs = (np.cumsum([0, *(len(t[k]) for t in tokens)]) for k in (0, 1))
-    ga, gb = groups(a_lengths[a].cumsum(), b_lengths[b].cumsum(), a_docs, b_docs)
+    ga, gb = groups(a_lengths[a].cumsum(dtype=np.uint32), b_lengths[b].cumsum(dtype=np.uint32), a_docs, b_docs)
     upto = np.searchsorted(ga, a_docs[1:], side="right")
-    text, ends = spelled(a, b, ga, gb, upto, words)
-    digests, start = [], 0
-    for n, end in zip(np.diff(upto, prepend=0).tolist(), ends.tolist(), strict=True):
-        digests.append(hashlib.sha256(text[start:end]).hexdigest() if n else "")
-        start = end
+    digests = [hashlib.sha256(text).hexdigest() if text else "" for text in spelled(a, b, ga, gb, upto, words)]
     place, pairs = pd.factorize(pair_key(a[ga - 1], b[gb - 1]))
-    return [[name], [ids], [np.diff(a_docs)], [np.diff(b_docs)], [np.diff(upto, prepend=0)], [digests], [place.astype("<u4").tobytes()], [pairs], [np.bincount(place, minlength=len(pairs))]]
+    links = pa.Array.from_buffers(pa.binary(), len(ids), [None, *map(pa.py_buffer, (np.r_[0, 4 * upto].astype("<i4"), place.astype("<u4")))])
+    rest = [None] * (len(ids) - 1)
+    return [[name] * len(ids), ids, np.diff(a_docs), np.diff(b_docs), np.diff(upto, prepend=0), digests, links, [pairs, *rest], [np.bincount(place, minlength=len(pairs)), *rest]]
 
 
 def blocks(docs: DataFrame, a_path: str, b_path: str, *, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
@@ -290,28 +293,24 @@ def pair_counts(stored: DataFrame) -> DataFrame:
 
 
 def scored(stored: DataFrame, counts: DataFrame) -> DataFrame:
-    """Each block's documents with n_links, n_best and count_sum. A block gets one entry for each of its own pairs."""
-    wanted = stored.select("block", F.posexplode("pairs").alias("place", "pair"))
-    entries = F.array_sort(F.collect_list(F.struct("place", "count", "best")))  # at most as many as a block has pairs
-    known = wanted.join(counts, "pair").groupBy("block").agg(entries.alias("e")).select("block", F.col("e.count").alias("count"), F.col("e.best").alias("best"))
-    rows = stored.drop("pairs", "counts").join(known, "block", "left")
+    """The documents with n_links, n_best and count_sum. A block's documents meet one row for each of its own pairs."""
+    known = stored.select("block", F.posexplode("pairs").alias("place", "pair")).join(counts, "pair").select(F.col("block").alias("pairs_of"), "place", "count", "best")
+    docs = stored.drop("pairs", "counts")
     out = pa.schema([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("n_best", pa.int64()), ("count_sum", pa.int64()), ("groups_sha256", pa.string())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = {name: batch.column(k) for k, name in enumerate(batch.schema.names)}
-            for k in range(batch.num_rows):
-                of = lambda name: column[name][k].values  # noqa: B023, E731
-                links = np.frombuffer(column["links"][k].as_py(), "<u4")
-                n = np.asarray(of("n_groups"))
-                ends = np.r_[0, n.cumsum()]
-                best, total = (np.zeros(len(links) + 1, np.int64) for _ in range(2))
-                if len(links):
-                    best[1:] = np.asarray(of("best").cast(pa.int8()))[links].astype(np.int64).cumsum()
-                    total[1:] = np.asarray(of("count"))[links].cumsum()
-                yield record_batch(out, [of("doc_id"), of("n_a"), of("n_b"), n, n, np.diff(best[ends]), np.diff(total[ends]), of("groups_sha256")])
+    def run(rows: pa.Table, pairs: pa.Table) -> pa.Table:
+        links = np.frombuffer(b"".join(rows["links"].to_pylist()), "<u4")
+        n = rows["n_groups"].to_numpy()
+        ends = np.r_[0, n.cumsum()]
+        place = pairs["place"].to_numpy()
+        sums = []
+        for values in (pairs["best"].cast(pa.int8()), pairs["count"]):
+            of = np.zeros(len(place), np.int64)
+            of[place] = values.to_numpy()
+            sums.append(np.diff(np.r_[0, of[links].cumsum()][ends]))
+        return pa.table([rows["doc_id"], rows["n_a"], rows["n_b"], n, n, *sums, rows["groups_sha256"]], schema=out)
 
-    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
+    return docs.groupBy("block").cogroup(known.groupBy("pairs_of")).applyInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string")
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id", text_col: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
@@ -324,7 +323,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, *, id_col: str = "doc_id",
     """
     spark = docs.sparkSession
     path = f"{shared_folder(spark)}/alignment-{uuid.uuid4().hex}"
-    blocks(docs, a_path, b_path, id_col=id_col, text_col=text_col, block_bytes=block_bytes).write.option("compression", "zstd").parquet(path)
+    blocks(docs, a_path, b_path, id_col=id_col, text_col=text_col, block_bytes=block_bytes).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     stored = spark.read.schema(BLOCK_TYPE).parquet(path)
     return scored(stored, pair_counts(stored))
 

@@ -94,6 +94,22 @@ def test_null_and_repeated_ids_and_empty_tables(spark):
     assert alignment.align(spark.createDataFrame([], "doc_id long, text string"), A_PATH, B_PATH).collect() == []
 
 
+def test_stored_rows_are_documents_and_hold_their_own_links(spark):
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(["the cat", None, "x y z " * 500, "", "中文 the"])], "doc_id long, text string").coalesce(1)
+    rows = alignment.blocks(docs, A_PATH, B_PATH, id_col="doc_id", text_col="text", block_bytes=alignment.BLOCK_BYTES).collect()
+    assert [r["doc_id"] for r in rows] == [0, 1, 2, 3, 4] and len({r["block"] for r in rows}) == 1
+    assert [len(r["links"]) for r in rows] == [4 * r["n_groups"] for r in rows]
+    assert [r["pairs"] is not None for r in rows] == [True, False, False, False, False]
+    assert sum(rows[0]["counts"]) == sum(r["n_groups"] for r in rows)
+
+
+def test_long_words_are_not_remembered():
+    second = alignment.Pieces(B_PATH)
+    words = [" " + "中" * 3, " " + "文" * 5000]
+    assert [second.word(w)[0].tolist() for w in words] == [second.whole(w)[0].tolist() for w in words]
+    assert list(second.seen) == words[:1]
+
+
 def test_divide_and_conquer_finds_every_common_end():
     rng = np.random.default_rng(1)
     for size in (1, 2, 3, 50, 2000):
